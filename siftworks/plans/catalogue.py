@@ -2,5 +2,598 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siftworks.functions import dates as D
+from siftworks.functions import text as T
+from siftworks.functions import vocabulary as V
+from siftworks.functions.places import NEUTRAL_WORDS, ZONES
+from siftworks.operators import crawl, dedup, publication, retention, scoring
+from siftworks.plans import samples
+from siftworks.plans.collect import collect, normalise, valid
+from siftworks.plans.tables import PARTS, POSTS_SQL, TYPES, posts, sql_any, sql_first_word, sql_text, sql_values, sql_word, table
+from siftworks.sources import feeds, jobpages, registry
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function under its name, with its oracle."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- scoring ---------------------------------------------------------------
+
+RATE = scoring.Scoring()
+BONUS = scoring.Scoring.of(scoring.PRIORITIES, {"a": (10, ["blue", "RED"]), "b": (5, ["bolt", "gear", "red"]), "c": (3, ["widget", "ring"])}, 12, PARTS)
+BONUS_POINTS = {"Blue": 10, "Red": 10, "Bolt": 5, "Gear": 5, "Widget": 3, "Ring": 3}
+
+
+def sql_zone(expr: str, zone: str) -> str:
+    return sql_first_word(expr, [zone, *ZONES[zone]])
+
+
+def sql_neutral(expr: str) -> str:
+    words = ", ".join(map(sql_text, NEUTRAL_WORDS))
+    return f"len(list_filter(regexp_extract_all(lower({expr}), '\\p{{L}}+'), lambda w: w NOT IN ({words}))) = 0"
+
+
+def sql_geo(source: str) -> str:
+    """Rows of ``source`` (location, remote_type) with score, category, geo_detail."""
+    return f"""
+  SELECT *, CASE WHEN world THEN 100 WHEN asia IS NOT NULL THEN 80 WHEN europe IS NOT NULL THEN 60 WHEN france IS NOT NULL THEN 40 ELSE 0 END AS geo,
+    CASE WHEN world THEN 'remote_global' WHEN asia IS NOT NULL THEN 'asia_relocation' WHEN europe IS NOT NULL THEN 'europe' WHEN france IS NOT NULL THEN 'france' ELSE 'default' END AS category,
+    CASE WHEN world THEN '' ELSE coalesce(asia, europe, france, '') END AS geo_detail
+  FROM (SELECT *, remote_type = 'remote' AND {sql_neutral("location")} AS world, {sql_zone("location", "asia")} AS asia, {sql_zone("location", "europe")} AS europe, {sql_zone("location", "france")} AS france FROM {source})"""
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, n, r = (table(spark, sf_dir, x) for x in ("customer", "nation", "region"))
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    mode = F.when(F.col("c_mktsegment") == "BUILDING", "remote").otherwise("onsite")
+    return rows.select("c_custkey", F.col("r_name").alias("location"), mode.alias("remote_type"), F.array().cast("array<string>").alias("tech"))
+
+
+CUSTOMERS_SQL = """
+cust AS (SELECT c_custkey, r_name AS location, CASE WHEN c_mktsegment = 'BUILDING' THEN 'remote' ELSE 'onsite' END AS remote_type
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)"""
+
+
+@query(f"WITH {CUSTOMERS_SQL}, g AS ({sql_geo('cust')}) SELECT c_custkey, location, geo AS score, category, geo_detail FROM g")
+def geo_score_customer(spark, sf_dir):
+    """P5, P12, G6 over customers."""
+    return scoring.score(customers(spark, sf_dir), RATE).select("c_custkey", "location", "score", "category", "geo_detail").orderBy(F.col("score").desc(), "c_custkey")
+
+
+@query(f"WITH {CUSTOMERS_SQL}, g AS ({sql_geo('cust')}) SELECT category, count(*) AS n, CASE category WHEN 'remote_global' THEN 1 WHEN 'asia_relocation' THEN 2 WHEN 'europe' THEN 3 WHEN 'france' THEN 4 ELSE 5 END AS ord FROM g GROUP BY category")
+def geo_category_counts(spark, sf_dir):
+    """G2."""
+    return scoring.category_counts(scoring.score(customers(spark, sf_dir), RATE), RATE)
+
+
+@query(f"WITH v AS (SELECT * FROM {sql_values(samples.LOCATIONS, 'k, location, remote_type')}), g AS ({sql_geo('v')}) SELECT k, geo AS score, category, geo_detail, {sql_neutral('location')} AS neutral FROM g")
+def remote_global_rule(spark, sf_dir):
+    """P12, G6 on awkward locations."""
+    rows = spark.createDataFrame(samples.LOCATIONS, "k int, location string, remote_type string").withColumn("tech", F.array().cast("array<string>"))
+    return scoring.score(rows, RATE).select("k", "score", "category", "geo_detail", scoring.names_no_place(F.col("location")).alias("neutral"))
+
+
+TITLE_TAGS = "list_sort(list_filter([{}], lambda x: x IS NOT NULL))".format(", ".join(f"CASE WHEN {sql_word('title', t[0], 'A-Za-z0-9_+#', 'A-Za-z_+#')} THEN {sql_text(n)} END" for n, t in PARTS.items()))
+
+
+def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posts(spark, sf_dir).withColumn("tech", V.tag(F.col("title"), PARTS))
+
+
+TAGGED_SQL = f"{POSTS_SQL}, tagged AS (SELECT *, {TITLE_TAGS} AS tech FROM post)"
+SQL_POINTS = "list_sum([0] || list_transform(tech, lambda t: CASE " + " ".join(f"WHEN t = '{k}' THEN {v}" for k, v in BONUS_POINTS.items()) + " ELSE 0 END))"
+SQL_STACK = "array_to_string(list_filter(tech, lambda t: t IN ({})), ',')".format(", ".join(map(sql_text, BONUS_POINTS)))
+
+
+@query(f"WITH {TAGGED_SQL} SELECT id, ord1, ord2, ord3, array_to_string(tech, ',') AS tech, CAST(least({SQL_POINTS}, 12) AS INTEGER) AS bonus, {SQL_STACK} AS stack FROM tagged")
+def stack_bonus_capped(spark, sf_dir):
+    """F12, G5, G11, J3."""
+    rows = scoring.score(tagged(spark, sf_dir), BONUS)
+    return rows.select("id", "ord1", "ord2", "ord3", F.array_join("tech", ",").alias("tech"), "bonus", F.array_join("stack", ",").alias("stack"))
+
+
+ORDER = ("id", "ord1", "ord2", "ord3")
+RANKED_SQL = f"WITH {TAGGED_SQL}, g AS ({sql_geo('tagged')}), s AS (SELECT *, CAST(geo + least({SQL_POINTS}, 12) AS INTEGER) AS score FROM g)"
+
+
+@query(f"{RANKED_SQL} SELECT id, title, location, score, category, date FROM s ORDER BY s.score DESC, date DESC, id, ord1, ord2, ord3 LIMIT 100")
+def rank_total_order(spark, sf_dir):
+    """The first hundred of the final order."""
+    return scoring.ranked(scoring.score(tagged(spark, sf_dir), BONUS), *ORDER).select("id", "title", "location", "score", "category", "date").limit(100)
+
+
+@query(f"{RANKED_SQL}, t AS (SELECT id, s.score FROM s ORDER BY s.score DESC, date DESC, id, ord1, ord2, ord3 LIMIT 10) SELECT id, t.score AS score, CAST(greatest((SELECT count(*) FROM s) - 10, 0) AS BIGINT) AS more FROM t")
+def top10_plus_rest(spark, sf_dir):
+    """T5: a report's first ten rows and how many more there are."""
+    scored = scoring.score(tagged(spark, sf_dir), BONUS)
+    head, more = scoring.top(scoring.ranked(scored, *ORDER).select("id", "score"), 10)
+    return head.crossJoin(scored.agg(more))  # ten rows and one
+
+
+# --- retention -------------------------------------------------------------
+
+TITLES = retention.Retention(title_include=("bolt", "Gear", "widget", "ring"), title_exclude=("red bolt", "COLD"))
+SENIOR = retention.Retention(seniority_keep=("economy", "standard"), seniority_drop=("promo", "MEDIUM"), levels=TYPES)
+GATE = retention.Retention(require_any=("remote", "middle"), relocation_regions=("asia", "europe"))
+TECHS = retention.Retention(tech_any=("blue", " Gear ", "zinc", ""), vocabulary=V.extended(["zinc"], PARTS))
+ALL = retention.Retention(TITLES.title_include, TITLES.title_exclude, SENIOR.seniority_keep, SENIOR.seniority_drop, GATE.require_any, GATE.relocation_regions, ("blue", "hot", "small", "new"), PARTS, TYPES)
+
+SQL_LOW = "lower(title)"
+SQL_EXCLUDED = f"CASE WHEN contains({SQL_LOW}, 'red bolt') THEN 'red bolt' WHEN contains({SQL_LOW}, 'cold') THEN 'COLD' END"
+SQL_INCLUDED = "(" + " OR ".join(f"contains({SQL_LOW}, '{w}')" for w in ("bolt", "gear", "widget", "ring")) + ")"
+SQL_DROPPED = f"CASE WHEN {sql_word('title', 'promo')} THEN 'promo' WHEN {sql_word('title', 'medium')} THEN 'MEDIUM' END"
+SQL_KEPT_LEVEL = sql_any([sql_word("title", "economy"), sql_word("title", "standard")])
+SQL_LEVELS = "array_to_string(list_sort(list_filter([{}], lambda x: x IS NOT NULL)), ', ')".format(", ".join(f"CASE WHEN {sql_word('title', w)} THEN '{w}' END" for w in TYPES))
+SQL_BOTH = "(location || ' ' || remote_type)"
+SQL_NEAR = sql_any([f"contains(lower({SQL_BOTH}), 'remote')", f"contains(lower({SQL_BOTH}), 'middle')", *[sql_word(SQL_BOTH, t) for z in ("asia", "europe") for t in (z, *ZONES[z])]])
+
+
+def sql_verdict(*rules: str) -> str:
+    """kept, reason, detail columns from (hit, reason, detail) rules in order."""
+    hits = [r.split("@@") for r in rules]
+    when = lambda i: "CASE " + " ".join(f"WHEN {h[0]} THEN {h[i]}" for h in hits) + " ELSE '' END"
+    return f"NOT ({' OR '.join('coalesce(' + h[0] + ', FALSE)' for h in hits)}) AS kept, {when(1)} AS reason, {when(2)} AS detail"
+
+
+R_TITLE = (f"{SQL_EXCLUDED} IS NOT NULL@@'titre-exclu'@@{SQL_EXCLUDED}", f"NOT {SQL_INCLUDED}@@'titre-non-inclus'@@title")
+R_LEVEL = (f"{SQL_DROPPED} IS NOT NULL@@'seniorite'@@{SQL_DROPPED}", f"NOT {SQL_KEPT_LEVEL} AND {SQL_LEVELS} <> ''@@'seniorite'@@{SQL_LEVELS}")
+R_PLACE = (f"NOT {SQL_NEAR}@@'localisation'@@CASE WHEN location <> '' THEN location ELSE remote_type END",)
+R_TECH3 = ("NOT list_has_any(tech, ['Blue', 'Gear', 'zinc'])@@'tech'@@'Blue, Gear, zinc'",)
+R_TECH4 = ("NOT list_has_any(tech, ['Blue', 'Hot', 'Small', 'New'])@@'tech'@@'Blue, Hot, New, Small'",)
+
+
+def judged(spark: SparkSession, sf_dir: str, rules: retention.Retention) -> DataFrame:
+    rows = retention.judge(tagged(spark, sf_dir), rules)
+    return rows.select(*ORDER, "verdict.kept", "verdict.reason", "verdict.detail")
+
+
+def sql_judged(*rules: str) -> str:
+    return f"WITH {TAGGED_SQL} SELECT id, ord1, ord2, ord3, {sql_verdict(*rules)} FROM tagged"
+
+
+@query(sql_judged(*R_TITLE))
+def title_filter(spark, sf_dir):
+    """P1."""
+    return judged(spark, sf_dir, TITLES)
+
+
+@query(sql_judged(*R_LEVEL))
+def seniority_filter(spark, sf_dir):
+    """P2, P3."""
+    return judged(spark, sf_dir, SENIOR)
+
+
+@query(sql_judged(*R_PLACE))
+def location_gate(spark, sf_dir):
+    """P4, P5, J4."""
+    return judged(spark, sf_dir, GATE)
+
+
+@query(sql_judged(*R_TECH3))
+def tech_any(spark, sf_dir):
+    """P6, J9."""
+    return judged(spark, sf_dir, TECHS)
+
+
+@query(sql_judged(*R_TITLE, *R_LEVEL, *R_PLACE, *R_TECH4))
+def retention_verdict(spark, sf_dir):
+    """P7, P8."""
+    return judged(spark, sf_dir, ALL)
+
+
+@query(f"WITH j AS ({sql_judged(*R_TITLE, *R_LEVEL, *R_PLACE, *R_TECH4)}) SELECT reason, count(*) AS n, list_position(['titre-exclu', 'titre-non-inclus', 'seniorite', 'localisation', 'tech'], reason) AS ord FROM j WHERE NOT kept GROUP BY reason")
+def retention_reason_counts(spark, sf_dir):
+    """G1."""
+    return retention.reason_counts(retention.judge(tagged(spark, sf_dir), ALL))
+
+
+# --- vocabulary ------------------------------------------------------------
+
+#: Function words of the documents as a vocabulary, with an exact-case term, a
+#: term of two words and one with a sign.
+DOC_WORDS = {w: (w,) for w in ("the", "and", "of", "que", "les", "der", "und", "para", "con", "tion")} | {"The": ("The",), "of the": ("of the",), "Is": ("Is", "ist"), "x|y": ("| on",)}
+
+
+def sql_tags(expr: str, vocabulary) -> str:
+    one = lambda n, ts: f"CASE WHEN {sql_any([sql_word(expr, t, 'A-Za-z0-9_+#', 'A-Za-z_+#') for t in ts])} THEN {sql_text(n)} END"
+    return "array_to_string(list_filter([{}], lambda x: x IS NOT NULL), ',')".format(", ".join(one(n, vocabulary[n]) for n in sorted(vocabulary, key=str.lower)))
+
+
+@query(f"SELECT doc_id, {sql_tags('text', DOC_WORDS)} AS tags FROM documents")
+def tech_extract_docs(spark, sf_dir):
+    """F12, F14, J7 over whole documents."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(V.tag(F.col("text"), DOC_WORDS), ",").alias("tags"))
+
+
+@query(f"SELECT k, {sql_tags('blob', V.TECHNOLOGIES)} AS tags FROM {sql_values(samples.TECH_TEXTS, 'k, blob')}")
+def tech_extract_terms(spark, sf_dir):
+    """F12, F13 with the real vocabulary."""
+    rows = spark.createDataFrame(samples.TECH_TEXTS, "k int, blob string")
+    return rows.select("k", F.array_join(V.tag(F.col("blob")), ",").alias("tags"))
+
+
+# --- identity and dedup ----------------------------------------------------
+
+
+@query("SELECT s_suppkey, 'li:' || coalesce(nullif(trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-'), ''), '_') || ':' || s_suppkey AS stable_id FROM supplier")
+def stable_id_slug(spark, sf_dir):
+    """F15, F16 on ASCII names."""
+    return table(spark, sf_dir, "supplier").select("s_suppkey", T.stable_id(F.lit("li"), F.col("s_name"), F.col("s_suppkey"), T.ascii_slug).alias("stable_id"))
+
+
+@query(f"SELECT k, slug FROM {sql_values([(i, s) for i, (_, s) in enumerate(samples.SLUGS)], 'k, slug')}")
+def slug_unicode(spark, sf_dir):
+    """F15 on accents, ligatures and signs."""
+    rows = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(samples.SLUGS)], "k int, name string")
+    return rows.select("k", T.slug(F.col("name")).alias("slug"))
+
+
+CUTOFF = "2024-01-10"
+EVENT_KEYS_SQL = f"ev AS (SELECT event_id, user_id || ':' || event_type AS stable_id, ts FROM events), cut AS (SELECT min(ts) + (max(ts) - min(ts)) / 4 AS at FROM events), seen AS (SELECT stable_id, min(ts) AS first_seen FROM ev WHERE event_id % 7 = 0 GROUP BY stable_id)"
+
+
+def event_keys(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(events with their key, seen store of some of them)."""
+    ev = table(spark, sf_dir, "events").select("event_id", F.concat_ws(":", "user_id", "event_type").alias("stable_id"), "ts")
+    seen = ev.where("event_id % 7 = 0").groupBy("stable_id").agg(F.min("ts").alias("first_seen"))
+    return ev, seen
+
+
+@query(f"WITH {EVENT_KEYS_SQL} SELECT event_id, CASE WHEN row_number() OVER (PARTITION BY e.stable_id ORDER BY e.ts, event_id) > 1 THEN 'repeat' WHEN s.stable_id IS NOT NULL THEN 'seen' ELSE 'new' END AS status FROM ev e LEFT JOIN seen s ON e.stable_id = s.stable_id")
+def dedup_three_way(spark, sf_dir):
+    """O1, J1."""
+    ev, seen = event_keys(spark, sf_dir)
+    return dedup.split_status(ev, seen, "ts", "event_id").select("event_id", "status")
+
+
+@query(f"WITH {EVENT_KEYS_SQL}, x AS (SELECT CASE WHEN row_number() OVER (PARTITION BY e.stable_id ORDER BY e.ts, event_id) > 1 THEN 'repeat' WHEN s.stable_id IS NOT NULL THEN 'seen' ELSE 'new' END AS status FROM ev e LEFT JOIN seen s ON e.stable_id = s.stable_id) SELECT status, count(*) AS n FROM x GROUP BY status")
+def dedup_status_counts(spark, sf_dir):
+    """G4."""
+    ev, seen = event_keys(spark, sf_dir)
+    return dedup.status_counts(dedup.split_status(ev, seen, "ts", "event_id"))
+
+
+@query(f"WITH {EVENT_KEYS_SQL} SELECT e.stable_id, coalesce(min(s.first_seen), TIMESTAMP '2030-01-01') AS first_seen FROM ev e LEFT JOIN seen s ON e.stable_id = s.stable_id GROUP BY e.stable_id")
+def first_seen_merge(spark, sf_dir):
+    """K2: dates stay, new keys get the run's date."""
+    ev, seen = event_keys(spark, sf_dir)
+    return dedup.remember(seen, ev, F.to_timestamp(F.lit("2030-01-01")))
+
+
+# --- crawl -----------------------------------------------------------------
+
+CURSOR = "2024-01-12T00:00:00+00:00"
+ENTRIES_SQL = "ent AS (SELECT 'https://x.example.com/job/' || event_type || '-' || event_id AS loc, CASE WHEN event_id % 5 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') END AS lastmod, event_id AS pos FROM events)"
+CURSOR_SQL = "cur AS (SELECT strftime(min(ts) + (max(ts) - min(ts)) / 2, '%Y-%m-%dT%H:%M:%S+00:00') AS mark FROM events)"
+
+
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as sitemap entries, a fifth without a date."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.concat(F.lit("https://x.example.com/job/"), "event_type", F.lit("-"), F.col("event_id").cast("string")).alias("loc"),
+        F.when(F.col("event_id") % 5 == 0, F.lit("")).otherwise(D.iso(F.col("ts"))).alias("lastmod"),
+        F.col("event_id").alias("pos"),
+    )
+
+
+def middle(spark: SparkSession, sf_dir: str) -> str:
+    """A cursor in the middle of the events: one aggregate row."""
+    row = table(spark, sf_dir, "events").agg(D.iso(F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("at")).first()
+    return row["at"]
+
+
+NEW_SQL = f"{ENTRIES_SQL}, {CURSOR_SQL}, new AS (SELECT ent.* FROM ent, cur WHERE (lastmod <> '' AND lastmod > cur.mark) OR (lastmod = '' AND pos % 3 <> 0))"
+
+
+@query(f"WITH {NEW_SQL} SELECT loc, lastmod, pos FROM new")
+def incremental_select(spark, sf_dir):
+    """O3."""
+    rows = entries(spark, sf_dir)
+    return crawl.select_new(rows, F.lit(middle(spark, sf_dir)), rows.where("pos % 3 = 0")).select("loc", "lastmod", "pos")
+
+
+@query(f"WITH {NEW_SQL}, c AS (SELECT * FROM new WHERE NOT contains(lower(regexp_replace(split_part(loc, '/', -1), '[-_+]+', ' ', 'g')), 'error')), l AS (SELECT * FROM c ORDER BY lastmod, pos LIMIT 400) SELECT count(*) AS n, min(pos) AS low, max(pos) AS high, greatest(max(lastmod), (SELECT mark FROM cur)) AS cursor FROM l")
+def cursor_advance_capped(spark, sf_dir):
+    """The cap holds the cursor back."""
+    at = middle(spark, sf_dir)
+    rows = entries(spark, sf_dir)
+    new = crawl.select_new(rows, F.lit(at), rows.where("pos % 3 = 0"))
+    found = crawl.candidates(new, crawl.Robots(), "/job/", exclude=("Error",))
+    loaded = crawl.capped(found, 400)
+    n = loaded.agg(F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+    return n.crossJoin(crawl.advance(found, loaded, F.lit(at)))  # one row each
+
+
+@query("WITH k AS (SELECT url AS loc FROM pages WHERE page_id % 3 = 0), l AS (SELECT url AS loc FROM pages WHERE page_id % 4 = 1), t AS (SELECT url AS loc FROM pages WHERE page_id % 5 <> 2) SELECT loc FROM ((SELECT loc FROM k UNION SELECT loc FROM l) INTERSECT SELECT loc FROM t) ORDER BY loc LIMIT 5000")
+def known_url_maintenance(spark, sf_dir):
+    """O6, T8, set operations."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("loc"), F.when(F.col("page_id") % 5 == 2, "2024-01-01").otherwise("").alias("lastmod"))
+    return crawl.known_urls(p.where("page_id % 3 = 0"), p.where("page_id % 4 = 1"), p)
+
+
+ROBOTS = crawl.read_robots(samples.ROBOTS, "SiftBot/1.0")
+SQL_PATH = "coalesce(nullif(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), ''), '/') || CASE WHEN regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) <> '' THEN '?' || regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) ELSE '' END"
+
+
+@query(f"WITH p AS (SELECT page_id, {SQL_PATH} AS path FROM pages), r AS (SELECT * FROM {sql_values(samples.ROBOTS_RULES, 'kind, pattern, regex')}), m AS (SELECT page_id, kind, max(length(pattern)) AS len FROM p JOIN r ON regexp_matches(path, regex) GROUP BY page_id, kind) SELECT page_id, path, coalesce((SELECT len FROM m WHERE m.page_id = p.page_id AND kind = 'allow'), -1) >= coalesce((SELECT len FROM m WHERE m.page_id = p.page_id AND kind = 'disallow'), -1) AS allowed FROM p")
+def robots_allow(spark, sf_dir):
+    """P10, P13, J5, G9."""
+    return table(spark, sf_dir, "pages").select("page_id", T.path_of(F.col("url")).alias("path"), crawl.allowed(F.col("url"), ROBOTS).alias("allowed"))
+
+
+SQL_SLUG = "lower(trim(regexp_replace(split_part(regexp_replace(url, '/+$', ''), '/', -1), '[-_+]+', ' ', 'g')))"
+
+
+@query(f"SELECT page_id, {SQL_SLUG} AS words FROM pages")
+def slug_text(spark, sf_dir):
+    """F24."""
+    return table(spark, sf_dir, "pages").select("page_id", T.slug_text(F.col("url")).alias("words"))
+
+
+@query(f"SELECT page_id FROM pages WHERE (contains({SQL_SLUG}, '1') OR contains({SQL_SLUG}, '5')) AND NOT contains({SQL_SLUG}, 'ref')")
+def slug_filter(spark, sf_dir):
+    """P9."""
+    return table(spark, sf_dir, "pages").where(crawl.slug_matches(F.col("url"), ("1", "5"), ("REF",))).select("page_id")
+
+
+@query(f"SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+') || '/' AS origin, {SQL_PATH} AS path FROM pages")
+def url_parts(spark, sf_dir):
+    """F25."""
+    return table(spark, sf_dir, "pages").select("page_id", T.origin_of(F.col("url")).alias("origin"), T.path_of(F.col("url")).alias("path"))
+
+
+@query("SELECT url, 'https://' || id || '/' AS x FROM (SELECT url, substr(sha1(url), 1, 12) AS id FROM pages)")
+def derive_id(spark, sf_dir):
+    """F10."""
+    return table(spark, sf_dir, "pages").select("url", F.concat(F.lit("https://"), T.derived_id(F.col("url")), F.lit("/")).alias("x"))
+
+
+# --- pages, HTML, JSON -----------------------------------------------------
+
+
+@query("SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages")
+def html_title(spark, sf_dir):
+    """A page's title, in the JVM."""
+    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title"))
+
+
+@query("SELECT page_id, replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&eacute;', 'é') AS html FROM pages")
+def entity_resolve(spark, sf_dir):
+    """F19 on whole pages."""
+    return table(spark, sf_dir, "pages").select("page_id", T.resolve_entities("html").alias("html"))
+
+
+@query("SELECT doc_id, regexp_matches(text, '</?[A-Za-z!?]|&lt;/?[A-Za-z!?]|&[A-Za-z][A-Za-z0-9]{1,31};|&#\\d+;') AS markup FROM documents")
+def markup_detect(spark, sf_dir):
+    """F5's guard."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.has_markup(F.col("text")).alias("markup"))
+
+
+@query()
+def html_to_text(spark, sf_dir):
+    """F4 on whole pages; tested against a reading of the parser's rules."""
+    return table(spark, sf_dir, "pages").select("page_id", T.html_to_text("html").alias("body"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_field(spark, sf_dir):
+    """JSON extraction."""
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(text, '[\\s]+', ' ', 'g')) AS flat FROM documents")
+def flatten_text(spark, sf_dir):
+    """F1, F2."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.squash(F.col("text")).alias("flat"))
+
+
+@query("SELECT r_name, array_to_string(list(n_name ORDER BY n_nationkey), '; ') AS joined FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY r_name")
+def join_locations(spark, sf_dir):
+    """F3, G12."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    rows = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("ns"))
+    twice = F.concat(F.transform("ns", lambda x: F.concat(F.lit(" "), x["n_name"])), F.array(F.lit(""), F.get("ns", F.lit(0))["n_name"]))
+    return rows.select("r_name", T.join_distinct(twice).alias("joined"))
+
+
+@query(f"SELECT k, iso FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.DATES)], 'k, iso')}")
+def date_normalise(spark, sf_dir):
+    """F6."""
+    rows = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(samples.DATES)], "k int, raw string")
+    return rows.select("k", D.to_iso_utc(F.col("raw")).alias("iso"))
+
+
+@query(f"SELECT k, mode FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.MODES)], 'k, mode')}")
+def remote_infer(spark, sf_dir):
+    """F7, F9."""
+    rows = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(samples.MODES)], "k int, place string")
+    return rows.select("k", T.work_mode(F.lit("unknown"), F.col("place")).alias("mode"))
+
+
+@query(f"SELECT k, mode FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.MODE_NAMES)], 'k, mode')}")
+def remote_normalise(spark, sf_dir):
+    """F8."""
+    rows = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(samples.MODE_NAMES)], "k int, raw string")
+    return rows.select("k", T.normalise_work_mode(F.col("raw")).alias("mode"))
+
+
+@query(f"SELECT * FROM {sql_values([(i, *o) for i, (_, o) in enumerate(samples.HEADLINES)], 'k, company, title, location')}")
+def hn_headline(spark, sf_dir):
+    """F27."""
+    rows = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(samples.HEADLINES)], "k int, head string")
+    return rows.select("k", T.headline(F.col("head")).alias("h")).select("k", "h.company", "h.title", "h.location")
+
+
+@query(f"SELECT * FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.MOJIBAKE)], 'k, fixed')}")
+def mojibake_repair(spark, sf_dir):
+    """F28."""
+    rows = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(samples.MOJIBAKE)], "k int, raw string")
+    return rows.select("k", T.repair_mojibake("raw").alias("fixed"))
+
+
+# --- sources ---------------------------------------------------------------
+
+
+@query(f"SELECT * FROM {sql_values(samples.FEED_ROWS, 'source, id, company, title, location, remote_type, url, date, description')}")
+def feeds_parsed(spark, sf_dir):
+    """One payload of each feed, the rows without a problem."""
+    out = None
+    for i, (name, payload) in enumerate(samples.PAYLOADS.items()):
+        raw = spark.createDataFrame([(i, name, "Acme", "acme", 1, payload)], "source_ord int, source string, company string, token string, page int, payload string")
+        rows = feeds.parse(raw, name).where("problem IS NULL").select(samples.FEED_COLUMNS)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query(f"SELECT * FROM {sql_values(samples.PAGE_ROWS, 'id, source, company, title, location, remote_type, url, date, description')}")
+def job_pages(spark, sf_dir):
+    """S18, F22, F23."""
+    pages = spark.createDataFrame(samples.JOB_PAGES, "url string, html string")
+    return jobpages.parse_pages(pages, "pages")
+
+
+@query(f"SELECT v.name, v.n_rows, v.state FROM {sql_values(samples.HEALTH, 'name, n_rows, state')}")
+def source_health(spark, sf_dir):
+    """Sources without rows are there too."""
+    reg = spark.createDataFrame([(i, n) for i, (n, *_) in enumerate(samples.HEALTH)], "source_ord int, name string")
+    raw = spark.createDataFrame([(i, n, "Acme", "acme", 1, p) for i, (n, p) in enumerate(samples.HEALTH_PAYLOADS) if p is not None], "source_ord int, source string, company string, token string, page int, payload string")
+    return feeds.health(reg, feeds.parse_json_feed(raw, "remotive")).select("name", F.col("n_rows").cast("int").alias("n_rows"), "state")
+
+
+@query(f"SELECT feed, CASE WHEN feed IN ('remotive', 'japandev') THEN 'slow' WHEN known THEN 'fast' END AS cadence FROM {sql_values([(n, True) for n in registry.CAPABILITIES] + [('nobody', False)], 'feed, known')}")
+def cadence_split(spark, sf_dir):
+    """S24, J8."""
+    rows = spark.createDataFrame([(n,) for n in [*registry.CAPABILITIES, "nobody"]], "feed string")
+    return rows.select("feed", registry.cadence_column(F.col("feed")).alias("cadence"))
+
+
+@query(f"SELECT k, problem FROM {sql_values([(i, p) for i, (*_, p) in enumerate(samples.REGISTRY)], 'k, problem')}")
+def registry_problems(spark, sf_dir):
+    """S22."""
+    rows = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(samples.REGISTRY)], "k int, name string, feed string, token string")
+    return rows.select("k", registry.problem_column(F.col("name"), F.col("feed"), F.col("token")).alias("problem"))
+
+
+# --- publication -----------------------------------------------------------
+
+REGISTRY_SQL = "reg AS (SELECT 'li:' || lower(replace(s_name, '#', '-')) AS k, s_suppkey, s_suppkey % 4 AS m FROM supplier)"
+
+
+def suppliers_ranked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(suppliers as ranked postings, a registry of three quarters of them:
+    complete, under way, or made but not yet placed)."""
+    s = table(spark, sf_dir, "supplier")
+    ranked = s.select(F.concat(F.lit("li:"), F.col("s_suppkey").cast("string")).alias("stable_id"), "s_acctbal", "s_suppkey")
+    m = F.col("s_suppkey") % 4
+    reg = s.where(m != 0).select(
+        F.concat(F.lit("li:"), F.col("s_suppkey").cast("string")).alias("stable_id"),
+        F.when(m != 2, F.col("s_suppkey")).alias("issue"),
+        F.when(m == 1, F.concat(F.lit("i"), F.col("s_suppkey").cast("string"))).alias("item"),
+        F.when(m == 2, F.to_timestamp(F.lit("2024-01-01"))).alias("pending_since"),
+        F.when((m == 3) & (F.col("s_suppkey") % 3 == 0), F.lit(True)).alias("off_board"),
+    )
+    return ranked, reg
+
+
+@query("WITH s AS (SELECT 'li:' || s_suppkey AS stable_id, s_acctbal, s_suppkey, NOT (s_suppkey % 4 = 1 OR (s_suppkey % 4 = 3 AND s_suppkey % 3 = 0)) AS needs_call FROM supplier), r AS (SELECT *, row_number() OVER (PARTITION BY needs_call ORDER BY s_acctbal, s_suppkey) AS rn FROM s) SELECT stable_id, s_suppkey, needs_call, CASE WHEN NOT needs_call THEN 'complete' WHEN rn <= 20 THEN 'publish' ELSE 'defer' END AS outcome FROM r")
+def publication_plan(spark, sf_dir):
+    """O9, T6, J2."""
+    ranked, reg = suppliers_ranked(spark, sf_dir)
+    return publication.plan(ranked, reg, "s_acctbal", "s_suppkey", cap=20).select("stable_id", "s_suppkey", "needs_call", "outcome")
+
+
+@query("SELECT 'li:' || s_suppkey AS stable_id, CASE s_suppkey % 4 WHEN 1 THEN 'complete' WHEN 2 THEN 'pending' ELSE CASE WHEN s_suppkey % 3 = 0 THEN 'off_board' ELSE 'to_place' END END AS state FROM supplier WHERE s_suppkey % 4 <> 0")
+def card_states(spark, sf_dir):
+    """O10."""
+    _, reg = suppliers_ranked(spark, sf_dir)
+    return reg.select("stable_id", publication.card_state(reg).alias("state"))
+
+
+@query("WITH i AS (SELECT o_orderkey AS number, 'n' || o_orderkey AS node_id, o_custkey FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderstatus <> 'P'), c AS (SELECT 'co:' || o_custkey AS stable_id, min(number) AS issue, arg_min(node_id, number) AS node_id FROM i GROUP BY o_custkey), b AS (SELECT o_orderkey AS number, 'item' || o_orderkey AS item FROM orders WHERE o_orderkey % 2 = 0) SELECT stable_id, issue, c.node_id, item, item IS NULL AS off_board FROM c LEFT JOIN b ON issue = number")
+def registry_rebuild(spark, sf_dir):
+    """K7, K8, K9, G8, J6."""
+    o = table(spark, sf_dir, "orders")
+    body = F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("text\n<!-- jobradar:id="), publication.comment_safe(F.concat(F.lit("co:"), F.col("o_custkey").cast("string"))), F.lit(" -->\n"))).otherwise("no mark")
+    issues = o.select(F.col("o_orderkey").alias("number"), F.concat(F.lit("n"), F.col("o_orderkey").cast("string")).alias("node_id"), body.alias("body"), (F.col("o_orderstatus") == "P").alias("is_pull_request"))
+    items = o.select(F.when(F.col("o_orderkey") % 2 == 0, "Acme/Board").otherwise("other/board").alias("repo"), F.col("o_orderkey").alias("number"), F.concat(F.lit("item"), F.col("o_orderkey").cast("string")).alias("item"), F.col("o_orderkey").alias("pos"))
+    return publication.rebuild(issues, items, "acme/board")
+
+
+SQL_ESCAPED = "regexp_replace(regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '([\\\\`*_\\[\\]<>~&|])', '\\\\\\1', 'g'), '([@#])([\\p{L}\\p{N}_])', '\\1' || chr(8288) || '\\2', 'g')"
+
+
+@query(f"SELECT doc_id, {SQL_ESCAPED} AS escaped FROM documents")
+def markdown_escape(spark, sf_dir):
+    """F31."""
+    return table(spark, sf_dir, "documents").select("doc_id", publication.escaped(F.col("text")).alias("escaped"))
+
+
+@query("SELECT doc_id, source || ' — ' || text AS title, CASE WHEN length(f) > 256 THEN rtrim(substr(f, 1, 255)) || '…' ELSE f END AS short FROM (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS f FROM documents WHERE trim(text) <> '')")
+def issue_title(spark, sf_dir):
+    """F29, F36."""
+    docs = table(spark, sf_dir, "documents").where(T.strip(F.col("text")) != "")
+    return docs.select("doc_id", publication.card_title(F.col("source"), F.col("text")).alias("title"), publication.short_title(F.col("text")).alias("short"))
+
+
+@query(f"SELECT * FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.LINKS)], 'k, link')}")
+def link_markdown(spark, sf_dir):
+    """F33."""
+    rows = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(samples.LINKS)], "k int, url string")
+    return rows.select("k", publication.link(F.col("url")).alias("link"))
+
+
+@query(f"SELECT {sql_text(samples.CARD)} AS card, 'li:big-corp:a--b c' AS stable_id")
+def card_markdown(spark, sf_dir):
+    """A whole card, and the id read back from it."""
+    rows = spark.createDataFrame([samples.CARD_ROW], samples.CARD_SCHEMA)
+    cards = rows.select(publication.card_body({c: F.col(c) for c in rows.columns}).alias("card"))
+    return cards.select("card", publication.marked_id(F.col("card")).alias("stable_id"))
+
+
+# --- the whole run ---------------------------------------------------------
+
+SEEN_SQL = "seen AS (SELECT DISTINCT 'li:' || trim(regexp_replace(lower(company), '[^a-z0-9]+', '-', 'g'), '-') || ':' || id AS stable_id FROM post WHERE ord1 % 3 = 0)"
+COLLECT_SQL = f"""
+WITH {TAGGED_SQL}, {SEEN_SQL},
+j AS (SELECT *, 'li:' || trim(regexp_replace(lower(company), '[^a-z0-9]+', '-', 'g'), '-') || ':' || id AS stable_id, {sql_verdict(*R_TITLE, *R_LEVEL, *R_PLACE, *R_TECH4)} FROM tagged),
+d AS (SELECT *, row_number() OVER (PARTITION BY stable_id ORDER BY ord1, ord2, ord3) AS rn FROM j WHERE kept),
+n AS (SELECT d.* FROM d LEFT JOIN seen USING (stable_id) WHERE rn = 1 AND seen.stable_id IS NULL),
+g AS ({sql_geo('n')})
+SELECT stable_id, title, location, remote_type, date, CAST(geo + least({SQL_POINTS}, 12) AS INTEGER) AS score, category, array_to_string(tech, ',') AS tech FROM g"""
+
+
+def run_posts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    raw = posts(spark, sf_dir)
+    seen = raw.where("ord1 % 3 = 0").select(T.stable_id(F.col("source"), F.col("company"), F.col("id"), T.ascii_slug).alias("stable_id")).distinct()
+    return collect(raw, seen, ALL, BONUS, "ord1", "ord2", "ord3", slugger=T.ascii_slug)
+
+
+@query(COLLECT_SQL)
+def collect_ranked(spark, sf_dir):
+    """The main query: normalise, judge, dedup, score, rank."""
+    return run_posts(spark, sf_dir)["ranked"].select("stable_id", "title", "location", "remote_type", "date", "score", "category", F.array_join("tech", ",").alias("tech"))
+
+
+@query(f"WITH {TAGGED_SQL} SELECT id, company, title, location, remote_type, url, date, array_to_string(tech, ',') AS tech, 'li:' || trim(regexp_replace(lower(company), '[^a-z0-9]+', '-', 'g'), '-') || ':' || id AS stable_id FROM tagged")
+def normalise_posts(spark, sf_dir):
+    """F11 and the row constraint."""
+    rows = valid(normalise(posts(spark, sf_dir), PARTS, T.ascii_slug))
+    return rows.select("id", "company", "title", "location", "remote_type", "url", "date", F.array_join("tech", ",").alias("tech"), "stable_id")
