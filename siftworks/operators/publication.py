@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from siftworks.functions.dates import day_of
 from siftworks.functions.text import squash, strip, text
@@ -61,7 +62,7 @@ def link(url: Column) -> Column:
     return F.when(fine, F.concat(F.lit("["), escaped(host), F.lit("](<"), F.replace(u, F.lit(" "), F.lit("%20")), F.lit(">)"))).otherwise(escaped(u))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def comment_safe(s: pd.Series) -> pd.Series:
     """An id as it can stand in a comment; :func:`marked_id` undoes it."""
     from urllib.parse import quote
@@ -69,7 +70,7 @@ def comment_safe(s: pd.Series) -> pd.Series:
     return s.map(lambda x: quote(x or "", safe=":-").replace("--", "-%2D"))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def unquoted(s: pd.Series) -> pd.Series:
     from urllib.parse import unquote
 

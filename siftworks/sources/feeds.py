@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from siftworks.functions import dates as D
 from siftworks.functions import text as T
@@ -225,7 +226,8 @@ def parse_json_feed(payloads: DataFrame, name: str) -> DataFrame:
     return rows.withColumn("problem", problem).drop("__object", "__there")
 
 
-RSS_ITEM = "array<struct<title:string,link:string,guid:string,description:string,content:string,pubDate:string,extras:map<string,string>>>"
+# types and not DDL: a module must load before there is a session
+RSS_ITEM = ArrayType(StructType([*(StructField(n, StringType()) for n in ("title", "link", "guid", "description", "content", "pubDate")), StructField("extras", MapType(StringType(), StringType()))]))
 
 
 @pandas_udf(RSS_ITEM)

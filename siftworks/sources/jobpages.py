@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from siftworks.functions import dates as D
 from siftworks.functions import text as T
@@ -13,7 +14,7 @@ from siftworks.session import ship_package
 
 # Fixed value: where pages keep linked data.
 LINKED_DATA = r"(?is)<script[^>]+type\s*=\s*['\"]application/ld\+json['\"][^>]*>(.*?)</script>"
-POSTING = "struct<ident:string,company:string,title:string,place:string,mode:string,url:string,posted:string,contract:string,body:string>"
+POSTING = StructType([StructField(n, StringType()) for n in ("ident", "company", "title", "place", "mode", "url", "posted", "contract", "body")])
 
 
 def linked_blocks(html: Column) -> Column:
@@ -79,7 +80,7 @@ def parse_pages(pages: DataFrame, source: str, *, url_col: str = "url", html_col
     )
 
 
-SITEMAP = "struct<urls:array<struct<loc:string,lastmod:string>>,children:array<string>>"
+SITEMAP = StructType([StructField("urls", ArrayType(StructType([StructField("loc", StringType()), StructField("lastmod", StringType())]))), StructField("children", ArrayType(StringType()))])
 
 
 @pandas_udf(SITEMAP)
