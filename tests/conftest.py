@@ -48,7 +48,7 @@ def plain(v):
 
     if isinstance(v, (list, tuple, dict)) or hasattr(v, "tolist") and getattr(v, "ndim", 0):
         return str(list(v) if not isinstance(v, dict) else sorted(v.items()))
-    if v is None or v is pd.NaT or isinstance(v, float) and v != v:
+    if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
         return None
     if isinstance(v, pd.Timestamp):
         return str(v.tz_localize(None) if v.tzinfo else v)
