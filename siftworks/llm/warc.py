@@ -243,7 +243,9 @@ def read_records(index: DataFrame, *, with_payload: bool = False, gap: int = 64
                         yield pa.RecordBatch.from_pylist(out, schema=target)
 
     runs = index.select("file", "offset", "length").withColumn("run", F.floor(F.col("offset") / run_bytes))
-    return runs.repartition("file", "run").sortWithinPartitions("file", "offset").mapInArrow(read, schema)
+    # as many tasks as runs: index rows are small, the bytes behind them are not
+    n = max(1, runs.select("file", "run").distinct().count())
+    return runs.repartition(n, "file", "run").sortWithinPartitions("file", "offset").mapInArrow(read, schema)
 
 
 def number(urn: str) -> int | None:

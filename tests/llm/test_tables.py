@@ -219,7 +219,7 @@ def test_op6_plan_is_native(spark, data_dir):
 # --- 9 -----------------------------------------------------------------------
 
 RULES = {
-    "assign": (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 8),
+    "assign": (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 2, 8),
     "access": (re.compile(r"AKIA[A-Z0-9]+"), 0, 16),
     "hex": (re.compile(r"[0-9a-f]+"), 0, 32),
 }
