@@ -126,39 +126,41 @@ def first_word(c: Column, terms: Iterable[str]) -> Column:
     return F.coalesce(*tried) if tried else F.lit(None).cast("string")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tag(c: Column, vocabulary: Vocabulary = TECHNOLOGIES) -> Column:
     """Canonical names whose terms occur in a text, sorted without case.
 
-    The text is cut once into runs of term characters; a run, less its trailing
-    digits, is compared with the single-token terms.  Where letters follow
-    digits inside a run ("python3x"), which the cut cannot judge, and for terms
-    with other characters, the bounded regular expression decides.
+    The text is cut once into runs of term characters; the runs, less trailing
+    digits, are intersected once with all single-token terms, so a long text
+    costs one pass whatever the vocabulary's size.  Where letters follow digits
+    inside a run ("python3x"), which the cut cannot judge, and for terms with
+    other characters, the bounded regular expression decides.
     """
     s = text(c)
-    tokens = F.array_distinct(F.transform(F.filter(F.split(s, r"[^A-Za-z0-9_+#]+"), lambda t: t != ""), lambda t: F.regexp_replace(t, r"[0-9]+$", "")))
-    lowered = F.transform(tokens, F.lower)
-    mixed = s.rlike(r"[A-Za-z_+#][0-9]+[A-Za-z_+#]")
-    names: list[Column] = []
-    for name in sorted(vocabulary, key=str.lower):
-        exact, loose, rest = [], [], []
-        for t in (x for x in vocabulary[name] if x):
-            if re.fullmatch(TOKEN_TERM, t):
-                (exact if any(ch.isupper() for ch in t) else loose).append(t)
-            else:
-                rest.append(t)
-        hit = F.lit(False)
-        if exact:
-            hit = hit | F.arrays_overlap(tokens, F.array(*map(F.lit, exact)))
-        if loose:
-            hit = hit | F.arrays_overlap(lowered, F.array(*map(F.lit, loose)))
-        for t in rest:
-            hit = hit | s.rlike(term_pattern(t))
-        for t in exact + loose:
-            hit = hit | (mixed & s.rlike(term_pattern(t)))
-        names.append(F.when(hit, F.lit(name)))
-    if not names:
-        return F.array().cast("array<string>")
-    return F.filter(F.array(*names), lambda n: n.isNotNull())
+    terms = {n: [t for t in vocabulary[n] if t] for n in sorted(vocabulary, key=str.lower)}
+    token = {t: bool(re.fullmatch(TOKEN_TERM, t)) for ts in terms.values() for t in ts}
+    cased = {t: any(ch.isupper() for ch in t) for t in token}
+    listed = lambda want: F.array(*[F.lit(t) for t in token if token[t] and cased[t] == want]).cast("array<string>")
+    runs = F.transform(F.split(s, r"[^A-Za-z0-9_+#]+"), lambda t: F.regexp_replace(t, r"[0-9]+$", ""))
+
+    def found(r: Column) -> Column:
+        exact, loose = F.array_intersect(r, listed(True)), F.array_intersect(F.transform(r, F.lower), listed(False))
+        return F.struct(F.concat(exact, loose).alias("hits"), s.rlike(r"[A-Za-z_+#][0-9]+[A-Za-z_+#]").alias("mixed"))
+
+    def names(f: Column) -> Column:
+        out = []
+        for name, ts in terms.items():
+            hit = F.lit(False)
+            for t in ts:
+                hit = hit | (F.array_contains(f["hits"], t) | (f["mixed"] & s.rlike(term_pattern(t))) if token[t] else s.rlike(term_pattern(t)))
+            out.append(F.when(hit, F.lit(name)))
+        return F.filter(F.array(*out), lambda n: n.isNotNull())
+
+    return let(let(runs, found), names) if terms else F.array().cast("array<string>")
 
 
 def tag_posting(title: Column, description: Column, vocabulary: Vocabulary = TECHNOLOGIES) -> Column:
