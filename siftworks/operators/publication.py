@@ -19,11 +19,12 @@ UNTITLED = "(poste sans titre)"
 MODES = {"remote": "télétravail", "hybrid": "hybride", "onsite": "sur site"}
 LONGEST_BODY = 25_000
 CUT_NOTE = "… (description tronquée — la suite est sur le lien ATS)"
-ID_MARK = "jobradar:id="
 JOINER = "⁠"
 ACTIVE_MARKDOWN = r"([\\`*_\[\]<>~&|])"
 LONGEST_TITLE = 256
 
+#: Mark of a card's id; a board with cards of another mark is read with that.
+ID_MARK = "posting:id="
 #: Calls of one run, and how far a search for a half-made card looks back.
 CAP = 50
 RECOVERY_MINUTES = 10
@@ -77,13 +78,13 @@ def unquoted(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unquote(x))
 
 
-def marked_id(body: Column) -> Column:
+def marked_id(body: Column, mark: str = ID_MARK) -> Column:
     """The id in a card's mark; null where there is none."""
-    found = F.regexp_extract(text(body), f"<!-- {ID_MARK}(\\S+) -->", 1)
+    found = F.regexp_extract(text(body), f"<!-- \\Q{mark}\\E(\\S+) -->", 1)
     return unquoted(F.nullif(found, F.lit("")))
 
 
-def card_body(p: dict[str, Column]) -> Column:
+def card_body(p: dict[str, Column], mark: str = ID_MARK) -> Column:
     """Markdown of a posting's card from columns: company, title, location,
     remote_type, score, reason, tech, url, date, source, description, stable_id."""
     mode = F.create_map(*[F.lit(x) for kv in MODES.items() for x in kv])
@@ -102,8 +103,8 @@ def card_body(p: dict[str, Column]) -> Column:
     lines = F.filter(F.array(*[F.when(v != "", F.concat(F.lit(f"**{k}** : "), v, F.lit("  "))) for k, v in fields]), lambda x: x.isNotNull())
     described = body_markdown(p["description"])
     block = F.when(described == "", F.lit("")).otherwise(F.concat(F.lit("---\n\n**Description**\n\n"), described, F.lit("\n\n")))
-    mark = F.concat(F.lit(f"<!-- {ID_MARK}"), comment_safe(p["stable_id"]), F.lit(" -->\n"))
-    return F.concat(F.array_join(lines, "\n"), F.when(F.size(lines) > 0, F.lit("\n\n")).otherwise(F.lit("\n")), block, mark)
+    end = F.concat(F.lit(f"<!-- {mark}"), comment_safe(p["stable_id"]), F.lit(" -->\n"))
+    return F.concat(F.array_join(lines, "\n"), F.when(F.size(lines) > 0, F.lit("\n\n")).otherwise(F.lit("\n")), block, end)
 
 
 def needs_call(registry: DataFrame) -> Column:
@@ -198,11 +199,11 @@ def in_recovery_window(created: Column, pending_since: Column) -> Column:
     return created >= pending_since - F.make_interval(mins=F.lit(RECOVERY_MINUTES))
 
 
-def cards(issues: DataFrame) -> DataFrame:
+def cards(issues: DataFrame, mark: str = ID_MARK) -> DataFrame:
     """stable_id, issue, node_id of issues (number, node_id, body,
     is_pull_request): pull requests and unmarked ones left out, the lowest
     number of each id."""
-    rows = issues.where(~F.coalesce("is_pull_request", F.lit(False))).withColumn("stable_id", marked_id(F.col("body"))).where("stable_id is not null")
+    rows = issues.where(~F.coalesce("is_pull_request", F.lit(False))).withColumn("stable_id", marked_id(F.col("body"), mark)).where("stable_id is not null")
     return rows.groupBy("stable_id").agg(F.min_by(F.struct("number", "node_id"), "number").alias("first")).select("stable_id", F.col("first.number").alias("issue"), F.col("first.node_id").alias("node_id"))
 
 
@@ -212,11 +213,11 @@ def board_items(items: DataFrame, repository: str) -> DataFrame:
     return items.where(F.lower("repo") == repository.lower()).groupBy("number").agg(F.max_by("item", "pos").alias("item"))
 
 
-def rebuild(issues: DataFrame, items: DataFrame, repository: str) -> DataFrame:
+def rebuild(issues: DataFrame, items: DataFrame, repository: str, mark: str = ID_MARK) -> DataFrame:
     """The registry from the service: marked issues with their items; an issue
     without one is off the board."""
     placed = board_items(items, repository)
-    return cards(issues).join(placed, F.col("issue") == F.col("number"), "left").select("stable_id", "issue", "node_id", "item", F.col("item").isNull().alias("off_board"))
+    return cards(issues, mark).join(placed, F.col("issue") == F.col("number"), "left").select("stable_id", "issue", "node_id", "item", F.col("item").isNull().alias("off_board"))
 
 
 def outcome_counts(planned: DataFrame) -> DataFrame:

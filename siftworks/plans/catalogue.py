@@ -531,7 +531,7 @@ def card_states(spark, sf_dir):
 def registry_rebuild(spark, sf_dir):
     """K7, K8, K9, G8, J6."""
     o = table(spark, sf_dir, "orders")
-    body = F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("text\n<!-- jobradar:id="), publication.comment_safe(F.concat(F.lit("co:"), F.col("o_custkey").cast("string"))), F.lit(" -->\n"))).otherwise("no mark")
+    body = F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("text\n<!-- posting:id="), publication.comment_safe(F.concat(F.lit("co:"), F.col("o_custkey").cast("string"))), F.lit(" -->\n"))).otherwise("no mark")
     issues = o.select(F.col("o_orderkey").alias("number"), F.concat(F.lit("n"), F.col("o_orderkey").cast("string")).alias("node_id"), body.alias("body"), (F.col("o_orderstatus") == "P").alias("is_pull_request"))
     items = o.select(F.when(F.col("o_orderkey") % 2 == 0, "Acme/Board").otherwise("other/board").alias("repo"), F.col("o_orderkey").alias("number"), F.concat(F.lit("item"), F.col("o_orderkey").cast("string")).alias("item"), F.col("o_orderkey").alias("pos"))
     return publication.rebuild(issues, items, "acme/board")

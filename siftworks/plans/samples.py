@@ -225,5 +225,5 @@ CARD_ROW = ("Big *Corp*", "Dev @home", "Paris", "hybrid", 70, "europe", ["Go", "
 CARD = (
     "**Entreprise** : Big \\*Corp\\*  \n**Poste** : Dev @⁠home  \n**Localisation** : Paris · hybride  \n**Score** : 70 — europe  \n"
     "**Tech** : Go, C#  \n**Lien ATS** : [b.io](<https://b.io/1>)  \n**Publiée le** : 2026-09-05  \n**Source** : li  \n\n"
-    "---\n\n**Description**\n\n\\# Head\n\n\\---\n\nline #⁠1 \\& more\n\n<!-- jobradar:id=li:big-corp:a-%2Db%20c -->\n"
+    "---\n\n**Description**\n\n\\# Head\n\n\\---\n\nline #⁠1 \\& more\n\n<!-- posting:id=li:big-corp:a-%2Db%20c -->\n"
 )

@@ -1,0 +1,99 @@
+"""Fetching payloads: one policy, and a Spark data source that applies it."""
+
+from __future__ import annotations
+
+import json
+import time
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+# Fixed values of the policy.
+TIMEOUT, RETRY_AFTER = 15.0, 2.0
+SLOW_TIMEOUTS = {"remoteok": 60.0}
+RETRIED = frozenset({500, 502, 503, 504})
+
+
+class FetchError(Exception):
+    """A source that could not be read; names the source."""
+
+
+def fetch(source: str, url: str, call: Callable[[str, float], tuple[int, bytes]], sleep: Callable[[float], None] = time.sleep) -> bytes | None:
+    """The body at ``url``, or None for 404.
+
+    ``call(url, timeout)`` returns (status, body) and raises OSError for network
+    trouble.  Trouble and the statuses in ``RETRIED`` are tried once more;
+    429 is not, nor any other status from 400, which are errors.
+    """
+    timeout = SLOW_TIMEOUTS.get(source, TIMEOUT)
+    for last in (False, True):
+        try:
+            status, body = call(url, timeout)
+        except OSError as e:
+            if last:
+                raise FetchError(f"{source}: {e}") from e
+        else:
+            if status == 404:
+                return None
+            if status < 400:
+                return body
+            if last or status not in RETRIED:
+                raise FetchError(f"{source}: status {status}")
+        sleep(RETRY_AFTER)
+    raise AssertionError("unreachable")
+
+
+def call_url(url: str, timeout: float) -> tuple[int, bytes]:
+    """One request with the standard library."""
+    from urllib import error, request
+
+    try:
+        with request.urlopen(request.Request(url, headers={"User-Agent": "siftworks"}), timeout=timeout) as r:
+            return getattr(r, "status", None) or 200, r.read()
+    except error.HTTPError as e:
+        return e.code, b""
+
+
+@dataclass
+class Request(InputPartition):
+    """One payload to fetch: a task of its own, so a failing source fails alone."""
+
+    source_ord: int
+    source: str
+    company: str
+    token: str
+    page: int
+    url: str
+
+
+class PayloadReader(DataSourceReader):
+    def __init__(self, requests: list[dict]):
+        self.requests = requests
+
+    def partitions(self) -> list[InputPartition]:
+        return [Request(**r) for r in self.requests]
+
+    def read(self, partition: Request) -> Iterator[tuple]:
+        p = partition
+        try:
+            body, problem = fetch(p.source, p.url, call_url), None
+        except FetchError as e:  # a row of its own: other sources go on
+            body, problem = None, str(e)
+        yield p.source_ord, p.source, p.company, p.token, p.page, None if body is None else body.decode("utf-8", "replace"), problem
+
+
+class PayloadSource(DataSource):
+    """``spark.read.format("payloads").option("requests", json)``: payload rows
+    for the feed parsers; ``problem`` says why a payload is missing (null
+    payload without a problem: not found)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "payloads"
+
+    def schema(self) -> str:
+        return "source_ord int, source string, company string, token string, page int, payload string, problem string"
+
+    def reader(self, schema) -> PayloadReader:
+        return PayloadReader(json.loads(self.options["requests"]))
