@@ -127,5 +127,27 @@ FROM e GROUP BY conv_id
 """
 
 
+def op9_sql() -> str:
+    """Spans by running lengths of the texts between matches and the matches."""
+    parts = []
+    for i, (kind, pattern, group, least) in enumerate(secret_scan.RULES):
+        p = "'" + pattern.replace("'", "''") + "'"
+        parts.append(
+            f"SELECT doc_id, {i} AS rule, '{kind}' AS kind, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}) AS ms, "
+            f"list_transform(regexp_extract_all(text, {p}, {group}), lambda x: length(x) >= {least}) AS fit FROM d WHERE regexp_matches(text, {p})"
+        )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(parts)}),
+n AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m),
+e AS (SELECT doc_id, rule, kind, length(ms[i]) AS size, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS st FROM n WHERE fit[i]),
+f AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(kind || ':' || CAST(st AS BIGINT) || ':' || CAST(st + size AS BIGINT), ',' ORDER BY st, rule) FILTER (rule < 3) AS base,
+  string_agg(kind || ':' || CAST(st AS BIGINT) || ':' || CAST(st + size AS BIGINT), ',' ORDER BY st, rule) AS spans FROM e GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN f ON d.doc_id = f.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc_index": OP4_SQL, "op6_chat_format": OP6_SQL}
+    return {"op4_warc_index": OP4_SQL, "op6_chat_format": OP6_SQL, "op9_secret_ledger": op9_sql()}

@@ -158,7 +158,7 @@ def test_op4_empty(spark):
     assert warc.read_records(warc.build_index(spark, path)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op4_warc_index", "op6_chat_format"])
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(name, spark, data_dir, duck):
     got = queries.queries()[name](spark, data_dir).toPandas()
     want = duck.execute(queries.oracle_sql()[name]).df()
