@@ -3,21 +3,19 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftworks.session import ship_package
+
 #: ASCII white space as the word rule counts it: space and U+0009..U+000D.
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
 
-_shipped: set[str] = set()
-
+__all__ = ["WORD_REGEX", "materialise", "shared_dir", "ship_package", "slices", "tables", "text_of", "with_outputs", "word_count", "work_dir"]
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
@@ -47,26 +45,6 @@ def materialise(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever they run.
-
-    One zip a Spark application, sent by ``addPyFile`` so that executors that
-    join later fetch it too.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="siftworks-zip-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    target = os.path.join(folder, f"{root.name}.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    context.addPyFile(target)
-    _shipped.add(context.applicationId)
-
-
 def text_of(name: str) -> Column:
     """The text column, null read as empty."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
