@@ -112,18 +112,24 @@ def word_pattern(term: str) -> str:
 
 
 def has_word(c: Column, terms: Iterable[str]) -> Column:
-    """Is one of the terms a whole word of the text?"""
+    """Is one of the terms a whole word of the text?  One expression for the
+    terms of any case and one for those of exact case."""
+    terms = [t for t in terms if t]
     out = F.lit(False)
-    for t in terms:
-        if t:
-            out = out | text(c).rlike(word_pattern(t))
+    for exact in (False, True):
+        some = [t for t in terms if any(ch.isupper() for ch in t) == exact]
+        if some:
+            either = WORD_LEFT + "(?:" + "|".join(map(quoted, some)) + ")" + WORD_RIGHT
+            out = out | text(c).rlike(either if exact else "(?iu)" + either)
     return out
 
 
 def first_word(c: Column, terms: Iterable[str]) -> Column:
-    """The first term, in the order given, that is a whole word; else null."""
-    tried = [F.when(text(c).rlike(word_pattern(t)), F.lit(t)) for t in terms if t]
-    return F.coalesce(*tried) if tried else F.lit(None).cast("string")
+    """The first term, in the order given, that is a whole word; else null.
+    Terms are tried one by one only where any of them is there."""
+    terms = [t for t in terms if t]
+    tried = [F.when(text(c).rlike(word_pattern(t)), F.lit(t)) for t in terms]
+    return F.when(has_word(c, terms), F.coalesce(*tried)) if tried else F.lit(None).cast("string")
 
 
 def let(value: Column, body) -> Column:
