@@ -26,13 +26,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one of least id.
 
-    Of rows that repeat that id, the first by text stays.
+    Of rows that repeat that id the first by text stays; rows without an id,
+    which no group can name, stay once a text.  The texts are shuffled once:
+    the join and the window share the partitioning by id.
     """
-    found = simhash.near_duplicates(docs)
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep")).distinct()
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["keep"]), "left_semi")
+    chosen = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(chosen, "doc_id", "left_semi")
     turn = W.partitionBy("doc_id").orderBy("text")
-    return kept.withColumn("__turn", F.row_number().over(turn)).where("__turn = 1").select(COLUMNS)
+    named = kept.withColumn("__turn", F.row_number().over(turn)).where("__turn = 1").select(COLUMNS)
+    return named.unionByName(docs.where("doc_id IS NULL").select(COLUMNS).dropDuplicates(["text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +43,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: none, once or twice."""
-    taken = mixing.copies(mixing.mix(docs)).where("copies > 0").select(F.col("doc_id").alias("id"), "copies")
+    """Documents as often as the mix takes them: none, once or twice.  Rows
+    that share an id enter equally often."""
+    taken = mixing.copies(mixing.mix(docs)).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").alias("copies")).where("copies > 0")
     rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id")))
     return rows.withColumn("pass", F.explode(F.sequence(F.lit(1), "copies"))).select(COLUMNS)
 
