@@ -146,6 +146,7 @@ class Retriever:
         idf = np.array(list(weights.values()))
         #: Latent vector of one occurrence of each word, and its own weight.
         self.latent = (idf[:, None] * vectors).astype(np.float32)
+        self.squares = (idf * idf).astype(np.float32)
         rows = np.zeros((len(items), vectors.shape[1]), np.float32)
         for k, (_, ws) in enumerate(items):
             for w in ws:
@@ -157,7 +158,10 @@ class Retriever:
         """(first word, item, cosine) of the windows that come close.
 
         Windows are pairs of neighbouring half-window blocks; a window without
-        a word of the vocabulary has no vector and is no candidate.
+        a word of the vocabulary has no vector and is no candidate.  The dot
+        product is taken in the latent space; the window's length is that of
+        its words' weights before projection, as projection would make one
+        telling word look like its whole passage.
         """
         import numpy as np
 
@@ -170,6 +174,7 @@ class Retriever:
         blocks = at // half
         firsts = np.flatnonzero(np.diff(blocks, prepend=-1))
         sums = np.add.reduceat(self.latent[ids[at]], firsts, axis=0)
+        lengths = np.add.reduceat(self.squares[ids[at]], firsts)
         here = blocks[firsts]
         # a window of two blocks begins at each block and at the one before it
         starts = np.unique(np.concatenate([here, here[here > 0] - 1]))
@@ -177,9 +182,9 @@ class Retriever:
         a = np.array([place.get(int(b), -1) for b in starts])
         b = np.array([place.get(int(x) + 1, -1) for x in starts])
         padded = np.vstack([sums, np.zeros((1, sums.shape[1]), sums.dtype)])
-        window = padded[a] + padded[b]
-        norm = np.linalg.norm(window, axis=1, keepdims=True)
-        close = (window / np.maximum(norm, 1e-12)) @ self.passages.T
+        lengths = np.append(lengths, 0)
+        norm = np.sqrt(lengths[a] + lengths[b])[:, None]
+        close = ((padded[a] + padded[b]) / np.maximum(norm, 1e-12)) @ self.passages.T
         w, item = np.nonzero(close >= self.rules.cosine)
         return list(zip((starts[w] * half).tolist(), item.tolist(), close[w, item].tolist()))
 
