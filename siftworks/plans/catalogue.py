@@ -11,7 +11,7 @@ from siftworks.functions import dates as D
 from siftworks.functions import text as T
 from siftworks.functions import vocabulary as V
 from siftworks.functions.places import NEUTRAL_WORDS, ZONES
-from siftworks.operators import crawl, dedup, publication, retention, scoring
+from siftworks.operators import crawl, dedup, publication, report, retention, scoring
 from siftworks.plans import samples
 from siftworks.plans.collect import collect, normalise, valid
 from siftworks.plans.tables import PARTS, POSTS_SQL, TYPES, posts, sql_any, sql_first_word, sql_text, sql_values, sql_word, table
@@ -492,6 +492,20 @@ def registry_problems(spark, sf_dir):
     return rows.select("k", registry.problem_column(F.col("name"), F.col("feed"), F.col("token")).alias("problem"))
 
 
+@query(f"SELECT count_if(state = 'ok') AS n_ok, count_if(state = 'empty') AS n_empty, count_if(state = 'failed') AS n_failed, count(*) > 0 AND bool_and(state = 'failed') AS all_failed FROM {sql_values(samples.HEALTH, 'name, n_rows, state')}")
+def run_totals(spark, sf_dir):
+    """G3."""
+    return feeds.run_totals(source_health(spark, sf_dir))
+
+
+@query(f"WITH {NEW_SQL}, c AS (SELECT * FROM new WHERE NOT contains(loc, 'error')), l AS (SELECT * FROM c ORDER BY lastmod, pos LIMIT 400), k AS (SELECT loc FROM ((SELECT loc FROM ent WHERE pos % 3 = 0 UNION SELECT loc FROM l) INTERSECT SELECT loc FROM ent WHERE lastmod = '') ORDER BY loc LIMIT 5000) SELECT CASE WHEN (SELECT count(*) FROM c) > 400 THEN (SELECT greatest(max(lastmod), max(mark)) FROM l, cur) ELSE (SELECT greatest(max(lastmod), max(mark)) FROM new, cur) END AS cursor, (SELECT count(*) FROM k) AS n_known, (SELECT max(loc) FROM k) AS last_known")
+def crawl_run(spark, sf_dir):
+    """The crawl as a whole: O3 to O7, T3, T8."""
+    rows = entries(spark, sf_dir)
+    got = crawl.run(rows, rows.where("pos % 3 = 0"), F.lit(middle(spark, sf_dir)), crawl.Robots(), "/job/", exclude=("error",), cap=400)
+    return got["cursor"].crossJoin(got["known"].agg(F.count("*").alias("n_known"), F.max("loc").alias("last_known")))  # one row each
+
+
 # --- publication -----------------------------------------------------------
 
 REGISTRY_SQL = "reg AS (SELECT 'li:' || lower(replace(s_name, '#', '-')) AS k, s_suppkey, s_suppkey % 4 AS m FROM supplier)"
@@ -568,6 +582,14 @@ def card_markdown(spark, sf_dir):
     return cards.select("card", publication.marked_id(F.col("card")).alias("stable_id"))
 
 
+@query(f"{RANKED_SQL}, j AS (SELECT *, {sql_verdict(*R_TITLE, *R_LEVEL)} FROM s) SELECT id, ord1, ord2, ord3, CASE WHEN kept THEN '' WHEN detail = '' THEN reason ELSE reason || ' (' || detail || ')' END AS rejection, category || CASE WHEN geo_detail = '' THEN '' ELSE ' (' || geo_detail || ')' END || CASE WHEN {SQL_STACK} = '' THEN '' ELSE ' · stack +' || CAST(least({SQL_POINTS}, 12) AS INTEGER) || ' (' || replace({SQL_STACK}, ',', ', ') || ')' END AS rating FROM j")
+def posting_reasons(spark, sf_dir):
+    """F38."""
+    rules = retention.Retention(TITLES.title_include, TITLES.title_exclude, SENIOR.seniority_keep, SENIOR.seniority_drop, levels=TYPES)
+    rows = scoring.score(retention.judge(tagged(spark, sf_dir), rules), BONUS)
+    return rows.select(*ORDER, report.rejection(F.col("verdict")).alias("rejection"), report.rating(F.col("category"), F.col("geo_detail"), F.col("bonus"), F.col("stack")).alias("rating"))
+
+
 # --- the whole run ---------------------------------------------------------
 
 SEEN_SQL = "seen AS (SELECT DISTINCT 'li:' || trim(regexp_replace(lower(company), '[^a-z0-9]+', '-', 'g'), '-') || ':' || id AS stable_id FROM post WHERE ord1 % 3 = 0)"

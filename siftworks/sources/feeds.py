@@ -316,3 +316,13 @@ def health(registry: DataFrame, parsed: DataFrame) -> DataFrame:
     n = F.coalesce("n_rows", F.lit(0))
     state = F.when(F.coalesce("n_errors", F.lit(0)) > 0, "failed").when(n > 0, "ok").otherwise("empty")
     return registry.join(got, "source_ord", "left").select(*registry.columns, n.alias("n_rows"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"), state.alias("state"))
+
+
+def run_totals(states: DataFrame) -> DataFrame:
+    """One row: n_ok, n_empty, n_failed, and all_failed (there were sources and
+    none of them answered)."""
+    n = lambda state: F.count_if(F.col("state") == state)
+    return states.agg(
+        n("ok").alias("n_ok"), n("empty").alias("n_empty"), n("failed").alias("n_failed"),
+        ((F.count("*") > 0) & (n("failed") == F.count("*"))).alias("all_failed"),
+    )

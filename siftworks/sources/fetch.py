@@ -44,6 +44,24 @@ def fetch(source: str, url: str, call: Callable[[str, float], tuple[int, bytes]]
     raise AssertionError("unreachable")
 
 
+def paged(read: Callable[[int], tuple[list, int | None] | None], full: int | None, cap: int) -> Iterator[list]:
+    """Pages 0, 1, ... of a paged feed: ``read(page)`` gives (entries, total).
+
+    Ends at a missing or empty page, at one shorter than ``full``, once
+    ``total`` entries were read, or after ``cap`` pages.
+    """
+    seen = 0
+    for page in range(cap):
+        got = read(page)
+        if got is None or not got[0]:
+            return
+        entries, total = got
+        yield entries
+        seen += len(entries)
+        if full is not None and len(entries) < full or total is not None and seen >= total:
+            return
+
+
 def call_url(url: str, timeout: float) -> tuple[int, bytes]:
     """One request with the standard library."""
     from urllib import error, request

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from siftworks.operators import crawl, dedup, publication
+from siftworks.operators import crawl, dedup, publication, report
 from siftworks.plans.collect import collect, normalise
 from siftworks.operators.retention import Retention
 from siftworks.operators.scoring import Scoring
@@ -140,3 +140,27 @@ def test_sitemaps(spark):
     rows = spark.createDataFrame([("p", bytearray(xml)), ("z", bytearray(gzip.compress(xml))), ("bad", bytearray(b"<"))], "path string, content binary")
     got = sorted(map(tuple, sitemap_entries(rows).collect()))
     assert got == [(p, i, f"https://x/{i + 1}", "2026-09-05T00:00:00+00:00" if i == 0 else "") for p in ("p", "z") for i in (0, 1)]
+
+
+def test_summaries():
+    assert report.retention_line(3, {}) == "3 retenue(s) sur 3"
+    assert report.retention_line(3, {"tech": 1, "titre-exclu": 2}) == "3 retenue(s) sur 6 — 3 écartée(s) (titre-exclu 2, tech 1)"
+    assert report.dedup_line({"new": 1}) == "1 nouvelle(s) sur 1 — 0 déjà vue(s)"
+    assert report.dedup_line({"seen": 2, "repeat": 1}) == "0 nouvelle(s) sur 3 — 2 déjà vue(s), 1 doublon(s) dans le run"
+    assert report.scoring_line({}, []) == "0 offre(s) classée(s)"
+    assert report.scoring_line({"a": 1, "default": 2}, ["a", "b", "default"]) == "3 offre(s) classée(s) — a 1, default 2"
+    run = publication.Run(published=["1"], deferred=["2"], error="X")
+    assert report.publication_line(run) == "1 fiche(s) publiée(s) sur 2 offre(s), 1 reportée(s) au run suivant — INTERROMPUE : X"
+
+
+def test_crawl_holds_the_cursor_back_only_when_capped(spark):
+    rows = [("https://x/job/a", "2026-01-01", 0), ("https://x/job/b", "2026-01-03", 1), ("https://x/other", "2026-01-09", 2), ("https://x/job/c", "", 3), ("https://x/job/d", "", 4)]
+    entries = spark.createDataFrame(rows, "loc string, lastmod string, pos int")
+    known = entries.where("pos = 4").select("loc")
+    args = (entries, known, F.lit("2025-12-31"), crawl.Robots(), "/job/")
+    wide = crawl.run(*args)
+    assert wide["cursor"].first()["cursor"] == "2026-01-09"
+    assert [r["loc"] for r in wide["loaded"].collect()] == ["https://x/job/c", "https://x/job/a", "https://x/job/b"]
+    assert sorted(r["loc"] for r in wide["known"].collect()) == ["https://x/job/c", "https://x/job/d"]
+    tight = crawl.run(*args, cap=2)
+    assert tight["cursor"].first()["cursor"] == "2026-01-01" and tight["loaded"].count() == 2

@@ -89,3 +89,17 @@ def test_feed_problems(spark):
 def test_hiring_thread(spark):
     hits = json.dumps({"hits": [{"objectID": "1", "title": "Ask HN: Who wants to be hired?"}, {"objectID": "2", "title": " ask HN: Who is hiring? (May)"}, {"objectID": "3", "title": "Ask HN: Who is hiring?"}]})
     assert spark.range(1).select(feeds.hiring_thread(F.lit(hits)).alias("x")).first()["x"] == "2"
+
+
+def test_paging():
+    def pages(*sizes, total=None):
+        return lambda p: ([p] * sizes[p], total) if p < len(sizes) else None
+
+    def count(*a, **k):
+        return [len(x) for x in fetch.paged(*a, **k)]
+
+    assert count(pages(3, 3, 1, 3), 3, 9) == [3, 3, 1]
+    assert count(pages(3, 3, 3), 3, 2) == [3, 3]
+    assert count(pages(3, 0, 3), None, 9) == [3]
+    assert count(pages(3, 3, 3, total=6), None, 9) == [3, 3]
+    assert count(pages(), 3, 9) == []
