@@ -15,7 +15,7 @@ from siftworks.session import ship_package
 #: ASCII white space as the word rule counts it: space and U+0009..U+000D.
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD_REGEX", "materialise", "shared_dir", "ship_package", "slices", "tables", "text_of", "with_outputs", "word_count", "work_dir"]
+__all__ = ["WORD_REGEX", "hold", "materialise", "shared_dir", "ship_package", "slices", "tables", "text_of", "text_source", "with_outputs", "word_count", "work_dir"]
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
@@ -68,6 +68,31 @@ def with_outputs(schema, fields: str):
     return StructType([f for f in schema if f.name.lower() not in names] + list(new.fields))
 
 
+_held: dict = {}
+
+
+def hold(key, make=None):
+    """The one large object that a Python worker keeps between tasks.
+
+    Workers are used again by other operators; another key drops what was held
+    before, so their memory never adds up.  Without ``make`` nothing is held.
+    """
+    if key not in _held:
+        _held.clear()
+        if make is None:
+            return None
+        _held[key] = make()
+    return _held[key]
+
+
+def text_source(df: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    """A frame and the name of its column that holds the texts as strings: the
+    column itself, or a cast copy where it has another type."""
+    if dict(df.dtypes).get(text_col) == "string":
+        return df, text_col
+    return df.withColumn("__siftworks_text", F.col(f"`{text_col}`").cast("string")), "__siftworks_text"
+
+
 def slices(batch, max_bytes: int, column: str):
     """Cut an Arrow batch so that no slice holds much more text than asked."""
     lengths = batch.column(column).nbytes

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import ship_package, with_outputs
+from siftworks.llm.common import hold, ship_package, text_source, with_outputs
 
 
 @dataclass(frozen=True)
@@ -276,15 +276,17 @@ def annotate_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "te
     blocks = [spark.sparkContext.broadcast(fit(texts, items[i : i + rules.block_items], rules)) for i in range(0, len(items), rules.block_items)]
     schema = with_outputs(docs.schema, FIELDS)
     names = [f.name for f in schema]
+    rows, held = text_source(docs, text_col)
 
     def run(batches) -> Iterator:
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        hold("nothing")
         target = to_arrow_schema(schema)
         for batch in batches:
             found: list[dict] = [{} for _ in range(batch.num_rows)]
-            texts = [x.as_py() for x in batch.column("__siftworks_text")]
+            texts = [x.as_py() for x in batch.column(held)]
             for block in blocks:
                 retriever = block.value
                 for f, t in zip(found, texts):
@@ -298,4 +300,4 @@ def annotate_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "te
             }
             yield pa.RecordBatch.from_arrays([new[k] if k in new else batch.column(k) for k in names], schema=target)
 
-    return docs.withColumn("__siftworks_text", F.col(f"`{text_col}`").cast("string")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import materialise, ship_package, slices, text_of
+from siftworks.llm.common import hold, materialise, ship_package, slices, text_of
 
 MARK = "▁"
 #: Probability of a character that no one-character piece covers.
@@ -225,9 +225,6 @@ class Scorer:
         return out
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def predict(df: DataFrame, model: tuple, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of every whole text; only the text is looked at.
 
@@ -245,10 +242,7 @@ def predict(df: DataFrame, model: tuple, *, id_col: str = "doc_id", text_col: st
     def run(batches):
         import pyarrow as pa
 
-        scorer = _scorers.get(key)
-        if scorer is None:
-            _scorers.clear()
-            scorer = _scorers[key] = Scorer(*sent.value)
+        scorer = hold(("scorer", key), lambda: Scorer(*sent.value))
         for whole in batches:
             for batch in slices(whole, 4 << 20, "text"):
                 got = scorer.score(batch.column("text").to_pylist())

@@ -20,7 +20,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import materialise, ship_package, slices, text_of
+from siftworks.llm.common import hold, materialise, ship_package, slices, text_of
 from siftworks.llm.components import connected_components
 
 BITS = 64
@@ -60,6 +60,7 @@ def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         import numpy as np
         import pyarrow as pa
 
+        hold("nothing")
         for whole in batches:
             for batch in slices(whole, 8 << 20, "text"):
                 got = np.array([fingerprint_of(x.as_py()) for x in batch.column("text")], np.uint64)
@@ -69,9 +70,10 @@ def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 
 def folds_for(n: int) -> int:
-    """Bits of the fold: about a thousand fingerprints' variants in each, 11
-    bits at least so that 2,048 folds even out over many tasks."""
-    return min(24, max(11, (max(n, 1) >> 10).bit_length()))
+    """Bits of the fold for ``n`` fingerprints: some dozens home in each fold
+    up to 11 bits, whose 2,048 folds even out over many tasks, and about a
+    thousand beyond that."""
+    return min(24, max(6, min(11, (n // 24).bit_length()), (n >> 10).bit_length()))
 
 
 def masks_by_fold(r: int, reach: int) -> list[tuple[int, list[int]]]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import ship_package, slices, text_of, work_dir
+from siftworks.llm.common import hold, ship_package, slices, text_of, work_dir
 
 #: The splitter's classes within Latin-1, whose characters are all in normal
 #: form C: letters in lower case, numbers, white space.
@@ -44,7 +44,7 @@ class PieceEncoder:
     which changes speed only.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 900_000):
+    def __init__(self, path: str, end_id: int, limit: int = 300_000):
         import json
         import re
 
@@ -151,15 +151,6 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-_encoders: dict[tuple[str, int], PieceEncoder] = {}
-
-
-def _encoder(path: str, end_id: int) -> PieceEncoder:
-    if (path, end_id) not in _encoders:
-        _encoders[path, end_id] = PieceEncoder(path, end_id)
-    return _encoders[path, end_id]
-
-
 STORE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, tokens array<int>"
 
 
@@ -190,10 +181,10 @@ def write_tokens(
     def encode(batches):
         import pyarrow as pa
 
-        encoder = _encoder(tokenizer_path, end_id)
+        encoder = hold(("encoder", tokenizer_path, end_id), lambda: PieceEncoder(tokenizer_path, end_id))
         part, before = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in slices(whole, 4 << 20, "text"):
+            for batch in slices(whole, 1 << 20, "text"):
                 if not batch.num_rows:
                     continue
                 ids, per = encoder.encode(batch.column("text").to_pylist())

@@ -19,7 +19,7 @@ import math
 
 from pyspark.sql import DataFrame
 
-from siftworks.llm.common import ship_package, slices, text_of
+from siftworks.llm.common import hold, ship_package, slices, text_of
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -104,9 +104,6 @@ class PieceCounter:
         return pieces, score
 
 
-_counters: dict[str, PieceCounter] = {}
-
-
 def count_pieces(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_pieces and best_score of every whole text; one row in, one out.
 
@@ -117,9 +114,7 @@ def count_pieces(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text
     def run(batches):
         import pyarrow as pa
 
-        counter = _counters.get(model_path)
-        if counter is None:
-            counter = _counters[model_path] = PieceCounter(unigram_vocabulary(model_path))
+        counter = hold(("counter", model_path), lambda: PieceCounter(unigram_vocabulary(model_path)))
         for whole in batches:
             for batch in slices(whole, 4 << 20, "text"):
                 got = [counter.text(t) for t in batch.column("text").to_pylist()]
