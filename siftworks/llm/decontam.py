@@ -8,7 +8,10 @@ verified word by word: the longest common subsequence must cover enough of the
 passage, and paraphrases must also have the passage's answer (its last words).
 
 The benchmark is a stated query set, taken in blocks of ``block_items``
-passages, so that what each task holds is bounded; every block meets all rows.
+passages for word frequencies and of at most ``rank`` retrieval rows for the
+latent space: its dimensions then hold every passage whole, so a passage's own
+window keeps its cosine however many passages there are.  Every block meets all
+rows.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ class Rules:
     answer_words: int = 6
     answer: float = 0.8  #: share of the answer's words, in order
     least_words: int = 8  #: shorter passages only match as a whole
-    block_items: int = 2000
+    block_items: int = 2000  #: passages whose words are counted in one reading of the corpus
 
 
 FIELDS = "leaked boolean, leak_items array<long>, leak_lcs double, leak_cosine double"
@@ -207,9 +210,8 @@ class Retriever:
             return share
         return 0.0
 
-    def leaks(self, text: str | None) -> dict[int, tuple[float, float]]:
-        """item_id -> (share of its words, cosine) of the passages in a text."""
-        words = words_of(text)
+    def leaks(self, words: list[str]) -> dict[int, tuple[float, float]]:
+        """item_id -> (share of its words, cosine) of the passages in a text's words."""
         found: dict[int, tuple[float, float]] = {}
         for start, item, cosine in self.candidates(words):
             key = self.items[item][0]
@@ -229,14 +231,18 @@ def passages_of(benchmark: DataFrame, item_col: str, text_col: str) -> list[tupl
     return sorted((x for x in out if x[1]), key=lambda x: (x[0], x[1]))
 
 
-def fit(docs: DataFrame, items: list[tuple[int, list[str]]], rules: Rules) -> Retriever:
-    """Weights over all of ``docs`` (column ``text``) and the latent space of
-    one block of passages."""
-    import math
-
-    spark = docs.sparkSession
+def fit(docs: DataFrame, items: list[tuple[int, list[str]]], rules: Rules) -> list[Retriever]:
+    """Weights over all of ``docs`` (column ``text``) and the latent spaces of
+    one block of passages, ``rank`` passages each."""
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
     seen, n = document_frequencies(docs, vocabulary)
+    return [latent_space(docs.sparkSession, items[i : i + rules.rank], vocabulary, seen, n, rules) for i in range(0, len(items), rules.rank)]
+
+
+def latent_space(spark, items: list[tuple[int, list[str]]], vocabulary: dict[str, int], seen, n: int, rules: Rules) -> Retriever:
+    """The space of at most ``rank`` passages: as many dimensions as passages."""
+    import math
+
     kept: set[str] = set()
     for _, ws in items:
         ranked = sorted(set(ws), key=lambda w: (seen[vocabulary[w]], w))
@@ -254,7 +260,7 @@ def fit(docs: DataFrame, items: list[tuple[int, list[str]]], rules: Rules) -> Re
         norm = math.sqrt(sum(v * v for v in counts.values())) or 1.0
         rows.append((list(counts), [v / norm for v in counts.values()]))
     table = spark.createDataFrame(rows, "index array<int>, value array<double>")
-    vectors, _ = randomised_svd(table, len(numbers), min(rules.rank, len(items)))
+    vectors, _ = randomised_svd(table, len(numbers), len(items))
     return Retriever(items, weights, vectors, rules)
 
 
@@ -265,15 +271,15 @@ def annotate_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "te
     ascending; ``leak_lcs`` and ``leak_cosine`` are those of the best.  Null and
     empty texts, and an empty benchmark, leak nothing.  Passages with null or
     wordless text are never found.  No shuffle: a document is judged whole, in
-    its own row; the corpus is read once for word frequencies and once more for
-    each block of passages.
+    its own row; the corpus is read once for the word frequencies of each
+    ``block_items`` passages and once more for the search.
     """
     rules = rules or Rules()
     spark = docs.sparkSession
     ship_package(spark)
     items = passages_of(benchmark, item_col, passage_col)
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    blocks = [spark.sparkContext.broadcast(fit(texts, items[i : i + rules.block_items], rules)) for i in range(0, len(items), rules.block_items)]
+    blocks = [spark.sparkContext.broadcast(r) for i in range(0, len(items), rules.block_items) for r in fit(texts, items[i : i + rules.block_items], rules)]
     schema = with_outputs(docs.schema, FIELDS)
     names = [f.name for f in schema]
     rows, held = text_source(docs, text_col)
@@ -286,11 +292,12 @@ def annotate_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "te
         target = to_arrow_schema(schema)
         for batch in batches:
             found: list[dict] = [{} for _ in range(batch.num_rows)]
-            texts = [x.as_py() for x in batch.column(held)]
-            for block in blocks:
-                retriever = block.value
-                for f, t in zip(found, texts):
-                    f.update(retriever.leaks(t))
+            # one text at a time becomes a Python object
+            for f, t in zip(found, batch.column(held)):
+                words = words_of(t.as_py())
+                for block in blocks:
+                    for item, best in block.value.leaks(words).items():
+                        f[item] = max(f.get(item, best), best)
             best = [max(f.values(), default=(0.0, 0.0)) for f in found]
             new = {
                 "leaked": pa.array([bool(f) for f in found], pa.bool_()),

@@ -296,6 +296,22 @@ def test_op8_finds_all_planted_copies(spark, data_dir):
     assert got == want
 
 
+def test_op8_finds_every_one_of_many_passages(spark):
+    """Brute force: each of 2,000 distinct passages stands in a document."""
+    rng = random.Random(11)
+    stock = words(rng, 6000)
+    items = [[rng.choice(stock) for _ in range(rng.randrange(15, 60))] for _ in range(2000)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    texts = []
+    for k in range(0, 2000, 4):
+        host = [rng.choice(stock) for _ in range(240)]
+        texts.append(" ".join(x for i in range(4) for x in host[60 * i : 60 * i + 60] + items[k + i]))
+    want = {d: [i for i, w in enumerate(items) if f" {' '.join(w)} " in f" {t} "] for d, t in enumerate(texts)}
+    assert sum(map(len, want.values())) == 2000
+    got = {r["doc_id"]: r["leak_items"] for r in decontam.annotate_leaks(docs(spark, texts), bench).collect()}
+    assert got == want
+
+
 def test_op8_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.annotate_leaks(docs(spark, ["a b"]), none).first()["leaked"] is False
