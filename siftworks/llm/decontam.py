@@ -10,8 +10,10 @@ passage, and paraphrases must also have the passage's answer (its last words).
 The benchmark is a stated query set, taken in blocks of ``block_items``
 passages for word frequencies and of at most ``rank`` retrieval rows for the
 latent space: its dimensions then hold every passage whole, so a passage's own
-window keeps its cosine however many passages there are.  Every block meets all
-rows.
+own window keeps its cosine however many passages there are.  Every block meets all
+rows.  A passage longer than two windows is searched by window-sized pieces,
+one retrieval row each, as one window holds too little of it; verification
+always takes the whole passage.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ class Rules:
     rank: int = 256  #: latent dimensions at most
     cosine: float = 0.35  #: candidates at or above this
     common_share: float = 0.1  #: words in more documents than this are left out ...
-    least_features: int = 12  #: ... but a passage keeps its rarest this many
+    least_features: int = 12  #: ... but a retrieval row keeps its rarest this many
     lcs: float = 0.8  #: share of a passage's words for a copy
     lcs_paraphrase: float = 0.6  #: the same where the answer is there too
     answer_words: int = 6
@@ -139,26 +141,30 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]):
 
 
 class Retriever:
-    """Candidate search and verification for one block of passages."""
+    """Candidate search and verification for one block of retrieval rows, each
+    the words searched for and the number of their passage in ``items``."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], weights: dict[str, float], vectors, rules: Rules):
+    def __init__(self, items: list[tuple[int, list[str]]], pieces: list[tuple[int, list[str]]], weights: dict[str, float], vectors, rules: Rules):
         import numpy as np
 
-        self.items, self.rules = items, rules
+        used = sorted({k for k, _ in pieces})
+        place = {k: i for i, k in enumerate(used)}
+        self.items, self.rules = [items[k] for k in used], rules
+        self.owner = np.array([place[k] for k, _ in pieces])
         self.numbers = {w: i for i, w in enumerate(weights)}
         idf = np.array(list(weights.values()))
         #: Latent vector of one occurrence of each word, and its own weight.
         self.latent = (idf[:, None] * vectors).astype(np.float32)
         self.squares = (idf * idf).astype(np.float32)
-        rows = np.zeros((len(items), vectors.shape[1]), np.float32)
-        for k, (_, ws) in enumerate(items):
+        rows = np.zeros((len(pieces), vectors.shape[1]), np.float32)
+        for k, (_, ws) in enumerate(pieces):
             for w in ws:
                 if w in self.numbers:
                     rows[k] += self.latent[self.numbers[w]]
         self.passages = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
     def candidates(self, words: list[str]):
-        """(first word, item, cosine) of the windows that come close.
+        """(first word, item, best cosine) of the windows that come close.
 
         Windows are pairs of neighbouring half-window blocks; a window without
         a word of the vocabulary has no vector and is no candidate.  The dot
@@ -188,8 +194,11 @@ class Retriever:
         lengths = np.append(lengths, 0)
         norm = np.sqrt(lengths[a] + lengths[b])[:, None]
         close = ((padded[a] + padded[b]) / np.maximum(norm, 1e-12)) @ self.passages.T
-        w, item = np.nonzero(close >= self.rules.cosine)
-        return list(zip((starts[w] * half).tolist(), item.tolist(), close[w, item].tolist()))
+        w, row = np.nonzero(close >= self.rules.cosine)
+        best: dict[tuple[int, int], float] = {}
+        for start, item, cosine in zip((starts[w] * half).tolist(), self.owner[row].tolist(), close[w, row].tolist()):
+            best[start, item] = max(best.get((start, item), cosine), cosine)
+        return [(start, item, cosine) for (start, item), cosine in best.items()]
 
     def verify(self, words: list[str], start: int, item: int) -> float:
         """Share of the passage's words that the region around a window has in
@@ -231,20 +240,29 @@ def passages_of(benchmark: DataFrame, item_col: str, text_col: str) -> list[tupl
     return sorted((x for x in out if x[1]), key=lambda x: (x[0], x[1]))
 
 
+def pieces_of(words: list[str], window: int) -> list[list[str]]:
+    """A passage's retrieval rows: itself up to two windows of length, else
+    window after window, the last one at its end."""
+    if len(words) <= 2 * window:
+        return [words]
+    return [words[i : i + window] for i in [*range(0, len(words) - window, window), len(words) - window]]
+
+
 def fit(docs: DataFrame, items: list[tuple[int, list[str]]], rules: Rules) -> list[Retriever]:
     """Weights over all of ``docs`` (column ``text``) and the latent spaces of
-    one block of passages, ``rank`` passages each."""
+    one block of passages, ``rank`` retrieval rows each."""
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
     seen, n = document_frequencies(docs, vocabulary)
-    return [latent_space(docs.sparkSession, items[i : i + rules.rank], vocabulary, seen, n, rules) for i in range(0, len(items), rules.rank)]
+    pieces = [(k, piece) for k, (_, ws) in enumerate(items) for piece in pieces_of(ws, rules.window)]
+    return [latent_space(docs.sparkSession, items, pieces[i : i + rules.rank], vocabulary, seen, n, rules) for i in range(0, len(pieces), rules.rank)]
 
 
-def latent_space(spark, items: list[tuple[int, list[str]]], vocabulary: dict[str, int], seen, n: int, rules: Rules) -> Retriever:
-    """The space of at most ``rank`` passages: as many dimensions as passages."""
+def latent_space(spark, items: list[tuple[int, list[str]]], pieces: list[tuple[int, list[str]]], vocabulary: dict[str, int], seen, n: int, rules: Rules) -> Retriever:
+    """The space of at most ``rank`` retrieval rows: as many dimensions as rows."""
     import math
 
     kept: set[str] = set()
-    for _, ws in items:
+    for _, ws in pieces:
         ranked = sorted(set(ws), key=lambda w: (seen[vocabulary[w]], w))
         kept.update(ranked[: rules.least_features])
         kept.update(w for w in ranked if seen[vocabulary[w]] <= rules.common_share * n)
@@ -252,7 +270,7 @@ def latent_space(spark, items: list[tuple[int, list[str]]], vocabulary: dict[str
     numbers = {w: i for i, w in enumerate(weights)}
     idf = list(weights.values())
     rows = []
-    for _, ws in items:
+    for _, ws in pieces:
         counts: dict[int, float] = {}
         for w in ws:
             if w in numbers:
@@ -260,8 +278,8 @@ def latent_space(spark, items: list[tuple[int, list[str]]], vocabulary: dict[str
         norm = math.sqrt(sum(v * v for v in counts.values())) or 1.0
         rows.append((list(counts), [v / norm for v in counts.values()]))
     table = spark.createDataFrame(rows, "index array<int>, value array<double>")
-    vectors, _ = randomised_svd(table, len(numbers), len(items))
-    return Retriever(items, weights, vectors, rules)
+    vectors, _ = randomised_svd(table, len(numbers), len(pieces))
+    return Retriever(items, pieces, weights, vectors, rules)
 
 
 def annotate_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", rules: Rules | None = None) -> DataFrame:

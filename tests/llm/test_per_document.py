@@ -312,6 +312,25 @@ def test_op8_finds_every_one_of_many_passages(spark):
     assert got == want
 
 
+def test_op8_finds_long_passages(spark):
+    """Verbatim and with one word in twelve replaced, up to more rows than the rank."""
+    rng = random.Random(12)
+    stock = words(rng, 4000)
+    lengths = [97, 150, 400, 500, 800, 800, 2000, 3000] * 3
+    items = [[rng.choice(stock) for _ in range(n)] for n in lengths]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    texts, want = [], []
+    for i, item in enumerate(items):
+        leak = item if i % 2 else [w if k % 12 else rng.choice(stock) for k, w in enumerate(item)]
+        host = [rng.choice(stock) for _ in range(rng.randrange(50, 300))]
+        at = rng.randrange(len(host))
+        texts += [" ".join(host[:at] + leak + host[at:]), " ".join(item[: len(item) // 3] + host)]
+        want += [[i], []]
+    for rules in (decontam.Rules(), decontam.Rules(rank=20)):
+        got = {r["doc_id"]: r["leak_items"] for r in decontam.annotate_leaks(docs(spark, texts), bench, rules=rules).collect()}
+        assert got == dict(enumerate(want))
+
+
 def test_op8_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.annotate_leaks(docs(spark, ["a b"]), none).first()["leaked"] is False
