@@ -188,6 +188,16 @@ def test_op6_rows_to_text_and_back(spark):
     assert [(t["role"], t["text"]) for t in got[4]["turns"]] == [("user", "a"), ("", "b"), ("", "b")]
 
 
+def test_op6_turn_above_the_json_limit(spark, tmp_path):
+    """20,000,001 characters: more than Spark's JSON parsers take."""
+    spark.sql("SELECT * FROM VALUES (1, 0, 'user', 'hi'), (1, 1, 'assistant', repeat('a', 20000001)), (1, 2, 'user', 'bye'), (2, 0, 'user', 'x') AS t(conv_id, turn, role, text)").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: r for r in queries.op6_chat_format(spark, str(tmp_path)).collect()}
+    long = "a" * 20_000_001
+    assert (got[1]["n_turns"], got[1]["loss_chars"]) == (3, len(long)) and got[2]["n_turns"] == 1
+    assert got[1]["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+    assert got[1]["turns_sha256"] == hashlib.sha256(f"user\nhi\nassistant\n{long}\nuser\nbye\n".encode()).hexdigest()
+
+
 def test_op6_layouts(spark):
     records = {
         1: '{"prompt": "p", "response": "r"}',
