@@ -165,18 +165,60 @@ def mix(
     return docs.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "n_passes", "positions")
 
 
+#: The training order: ties of time by source, id, pass and words.
+ORDER = ("time", "source", "doc_id", "pass", "words")
+
+
 def training_order(mixed: DataFrame) -> DataFrame:
     """Every occurrence, range-sorted by its training time (ties by source,
-    id and pass): time, doc_id, source, pass, words."""
+    id, pass and words): time, doc_id, source, pass, words."""
     return (
         mixed.select("doc_id", "source", F.explode("positions").alias("p"))
         .select("p.time", "doc_id", "source", "p.pass", "p.words")
-        .orderBy("time", "source", "doc_id", "pass")
+        .orderBy(*ORDER)
+    )
+
+
+def places(mixed: DataFrame) -> DataFrame:
+    """``mixed`` with the places of each document's occurrences in the training
+    order: times (array<double>) and places (array<long>, counted from 0), pass
+    by pass, empty where nothing is taken.
+
+    The order is one range sort.  A row's number inside its part of the sort,
+    and the parts' running totals (one row a part on the driver), give its
+    place, so no task sees all rows.
+    """
+    spark = mixed.sparkSession
+    rows = materialise(mixed.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    sorted_ = (
+        rows.select("row", "source", "doc_id", F.explode("positions").alias("p"))
+        .select("row", "source", "doc_id", "p.pass", "p.time", "p.words")
+        .orderBy(*ORDER)
+        # the upper bits are the part, the lower 33 the number in it
+        .select("row", "pass", "time", F.monotonically_increasing_id().alias("n"))
+    )
+    numbered = materialise(sorted_, "mix-order").select("row", "pass", "time", F.shiftright("n", 33).alias("part"), F.col("n").bitwiseAND(2**33 - 1).alias("at"))
+    counts = sorted((r["part"], r["count"]) for r in numbered.groupBy("part").count().collect())
+    before, total = [], 0
+    for part, n in counts:
+        before.append((part, total))
+        total += n
+    first = F.broadcast(spark.createDataFrame(before, "part long, before long"))
+    listed = (
+        numbered.join(first, "part")
+        .groupBy("row")
+        .agg(F.array_sort(F.collect_list(F.struct("pass", "time", (F.col("before") + F.col("at")).alias("place")))).alias("all"))
+    )
+    return rows.join(listed, "row", "left").select(
+        *mixed.columns,
+        F.coalesce(F.col("all")["time"], F.array().cast("array<double>")).alias("times"),
+        F.coalesce(F.col("all")["place"], F.array().cast("array<bigint>")).alias("places"),
     )
 
 
 def copies(mixed: DataFrame) -> DataFrame:
-    """How often a whole document enters the mix: a pass counts where at least
-    half of the document is taken.  doc_id, size, copies; one row a document."""
-    whole = F.size(F.filter("positions", lambda p: 2 * p["words"] >= F.col("size")))
-    return mixed.select("doc_id", "size", whole.alias("copies"))
+    """How often a whole document enters the mix, and when: a pass counts where
+    at least half of the document is taken.  doc_id, size, copies, times; one
+    row a document."""
+    whole = F.filter("positions", lambda p: 2 * p["words"] >= F.col("size"))
+    return mixed.select("doc_id", "size", F.size(whole).alias("copies"), F.transform(whole, lambda p: p["time"]).alias("times"))

@@ -28,8 +28,8 @@ def op2_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(tables(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "n_passes", F.get("positions", F.lit(0))["time"].alias("first_time"))
+    mixed = mixing.places(mixing.mix(tables(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "n_passes", F.get("times", F.lit(0)).alias("first_time"), "times", "places")
 
 
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,26 @@ def test_op3_curriculum(spark):
         mixing.segments(((0, 1), (1, -1)))
 
 
+def test_op3_places_are_the_training_order(spark, tmp_path):
+    mixed_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op3_curriculum_mix(spark, str(tmp_path)).collect()
+    assert len(rows) == 400 and max(r["n_passes"] for r in rows) == 2
+    assert all(len(r["places"]) == len(r["times"]) == r["n_passes"] and r["first_time"] == (r["times"] or [None])[0] for r in rows)
+    got = sorted((place, r["doc_id"], time) for r in rows for place, time in zip(r["places"], r["times"]))
+    order = mixing.training_order(mixing.mix(spark.read.parquet(f"{tmp_path}/documents.parquet"))).collect()
+    assert got == [(i, r["doc_id"], r["time"]) for i, r in enumerate(order)]
+
+
+def test_pipeline_mix_is_in_training_order(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = mixed_docs(spark).withColumns({"lang": F.lit("x"), "n_chars": F.length("text")})
+    docs.write.parquet(f"{tmp_path}/in")
+    docs = spark.read.parquet(f"{tmp_path}/in")
+    want = [r["doc_id"] for r in mixing.training_order(mixing.mix(docs).withColumn("positions", F.filter("positions", lambda p: 2 * p["words"] >= F.col("size")))).collect()]
+    assert [r["doc_id"] for r in corpus_pipeline.source_mix(spark, docs, "").collect()] == want
+
+
 def test_op3_inverts_the_integral(spark):
     schedule = ((0.0, 1.0), (0.3, 0.0), (0.5, 0.0), (1.0, 2.0))
     parts = mixing.segments(schedule)
