@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import collections
 import random
 import re
@@ -142,6 +143,16 @@ def test_op2_keeps_labelled_good_documents(spark, data_dir):
     assert rows.count() > 10 and rows.where("NOT kept").count() == 0
 
 
+def test_op2_rejects_base64(spark):
+    rng = random.Random(6)
+    texts = []
+    for n in (2_083, 8_105, 40_526, 100_000):
+        code = base64.b64encode(rng.randbytes(n)).decode()
+        texts += [" ".join(code[i : i + w] for i in range(0, len(code), w))[:n] for w in (24, 12)]
+    rows = quality.annotate_quality(docs(spark, texts)).collect()
+    assert not any(r["base_failed"] for r in rows) and not any(r["kept"] for r in rows)
+
+
 def test_op2_annotation_carries_columns(spark):
     rows = quality.annotate_quality(docs(spark))
     assert rows.schema["kept"].dataType.simpleString() == "boolean" and "n_tokens" in rows.columns
