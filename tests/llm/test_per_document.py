@@ -153,6 +153,18 @@ def test_op2_rejects_base64(spark):
     assert not any(r["base_failed"] for r in rows) and not any(r["kept"] for r in rows)
 
 
+def test_op2_repetition_at_the_end(spark):
+    rng = random.Random(7)
+    stock = words(rng, 4000)
+    clean = " ".join(rng.choice(stock) for _ in range(3000))
+    advert = "Incomparable refrigerators, dishwashers, televisions: extraordinary neighbourhood opportunities!\n" * 80
+    texts = [clean[:4150] + "\n" + advert[:4000], advert[:4000] + "\n" + clean[:4150], clean[:8150], clean[:8192], clean[:3000]]
+    rows = {r["doc_id"]: r for r in quality.annotate_quality(docs(spark, texts)).collect()}
+    assert not any(r["base_failed"] for r in rows.values())
+    assert [rows[i]["kept"] for i in range(5)] == [False, False, True, True, True]
+    assert [rows[i]["bad_tail"] for i in range(5)] == [True, False, False, None, None]
+
+
 def test_op2_annotation_carries_columns(spark):
     rows = quality.annotate_quality(docs(spark))
     assert rows.schema["kept"].dataType.simpleString() == "boolean" and "n_tokens" in rows.columns
