@@ -103,6 +103,25 @@ def ranked(scored: DataFrame, *order: str) -> DataFrame:
     return scored.orderBy(F.col("score").desc(), instant(F.col("date")).desc_nulls_last(), *order)
 
 
+def positions(ranked_rows: DataFrame) -> DataFrame:
+    """Rows of a range sort with their ``position``, counted from 1.
+
+    A row's number inside its part of the sort, and the parts' running totals
+    (one row a part on the driver), give its position, so no task sees all
+    rows.  The sorted rows are kept, as both readings must see the same parts.
+    """
+    # the upper bits are the part, the lower 33 the number in it
+    rows = ranked_rows.withColumn("__n", F.monotonically_increasing_id()).persist()
+    part = F.shiftright("__n", 33)
+    before, total = [], 0
+    for p, n in sorted(tuple(r) for r in rows.groupBy(part).count().collect()):
+        before.append((p, total))
+        total += n
+    table = F.broadcast(rows.sparkSession.createDataFrame(before, "__part long, __before long"))
+    placed = rows.join(table, part == F.col("__part"))
+    return placed.withColumn("position", F.col("__before") + F.col("__n").bitwiseAND(2**33 - 1) + 1).drop("__n", "__part", "__before")
+
+
 def category_counts(scored: DataFrame, rules: Scoring) -> DataFrame:
     """category, n and the configured order as ``ord``, the default last."""
     keys = [k for k in rules.priorities if k != DEFAULT] + [DEFAULT]

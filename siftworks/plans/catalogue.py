@@ -119,6 +119,13 @@ def rank_total_order(spark, sf_dir):
     return scoring.ranked(scoring.score(tagged(spark, sf_dir), BONUS), *ORDER).select("id", "title", "location", "score", "category", "date").limit(100)
 
 
+@query(f"{RANKED_SQL} SELECT id, title, location, score, category, date, row_number() OVER (ORDER BY s.score DESC, date DESC NULLS LAST, id, ord1, ord2, ord3) AS position FROM s")
+def rank_positions(spark, sf_dir):
+    """Every posting with its place in the final order."""
+    rows = scoring.positions(scoring.ranked(scoring.score(tagged(spark, sf_dir), BONUS), *ORDER))
+    return rows.select("id", "title", "location", "score", "category", "date", "position")
+
+
 @query(f"{RANKED_SQL}, t AS (SELECT id, s.score FROM s ORDER BY s.score DESC, date DESC, id, ord1, ord2, ord3 LIMIT 10) SELECT id, t.score AS score, CAST(greatest((SELECT count(*) FROM s) - 10, 0) AS BIGINT) AS more FROM t")
 def top10_plus_rest(spark, sf_dir):
     """T5: a report's first ten rows and how many more there are."""
