@@ -10,7 +10,10 @@ unknown characters count one token a UTF-8 byte.
 
 White space is marked as the tokenizer marks it: every space is a word mark
 that begins a new word, and a text that does not begin with one gets one.  No
-piece crosses the start of a word, so counts are per word and are cached.
+piece crosses the start of a word, so counts are per word and are cached.  This
+is the pre-tokenizer ``Metaspace(split=True)``: the vocabulary's pieces of
+several marks never match, so a run of spaces counts one piece a space and
+scores below what the vocabulary allows without that split.
 """
 
 from __future__ import annotations
