@@ -27,24 +27,28 @@ from siftworks.llm.common import hold, ship_package, slices, text_of, work_dir
 #: The splitter's classes within Latin-1, whose characters are all in normal
 #: form C: letters in lower case, numbers, white space.
 LETTERS, NUMBERS, SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\\t-\\r \\x85\\xa0"
-SPLIT = rf"[{LETTERS}]+|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{LETTERS}{NUMBERS}{SPACES}]+"
-#: The tokenizer's own pattern, which SPLIT spells out for Latin-1 (a quote
-#: begins the third or the fourth case only, so the order does not matter).
+SPLIT = rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}{SPACES}]+"
+#: The tokenizer's own pattern, which SPLIT spells out for Latin-1.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
-
-class PieceEncoder:
-    """Encodes texts piece by piece, exactly as the tokenizer encodes whole texts.
-
-    The tokenizer normalises, lower-cases, cuts a text by a pattern and merges
-    inside the cuts only.  Latin-1 texts are lower-cased and cut here, and each
-    new piece is merged by the tokenizer's BPE model; in other texts the words
-    beyond Latin-1 go through the whole tokenizer, which never joins characters
-    across white space.  Caches are emptied once they hold ``limit`` entries,
-    which changes speed only.
+#: Classes of characters, as SPLIT has them; FOREIGN is all beyond Latin-1.
+SPACE, LETTER, NUMBER, OTHER, FOREIGN = range(5)
+
+
+class TextEncoder:
+    """Encodes texts by their distinct pieces, exactly as the tokenizer encodes
+    whole texts.
+
+    The tokenizer drops white space, lower-cases, cuts words by a pattern and
+    merges inside the cuts only, so a piece has the same ids in every text.
+    A batch of texts is cut by the classes of its bytes and Arrow numbers its
+    pieces; only the distinct ones become Python objects, and those that are
+    new are merged by the tokenizer's BPE model.  Words with a character beyond
+    Latin-1 stay whole and go through the whole tokenizer.  A tokenizer of
+    another layout encodes whole texts.  The cache is emptied once it holds
+    about ``limit`` bytes, which changes speed only.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 300_000):
+    def __init__(self, path: str, end_id: int, limit: int = 32 << 20):
         import json
         import re
 
@@ -53,84 +57,127 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.end_id, self.limit = end_id, limit
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
-        kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers") or []]
-        #: The short way holds for this layout of normaliser and splitter only.
+        state = lambda part: json.loads(part.__getstate__()) if part else {}
+        steps = state(self.tokenizer.pre_tokenizer).get("pretokenizers", [])
+        kinds = [x["type"] for x in state(self.tokenizer.normalizer).get("normalizers", [])]
+        #: Pieces hold for this layout of normaliser and splitter only.
         self.plain = kinds == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"].get("Regex") == PATTERN
         self.cut = re.compile(SPLIT).findall
         self.letters = _byte_letters()
+        self.classes, self.pairs = _byte_classes()
         self.clear()
 
     def clear(self) -> None:
-        self.pieces = _Numbers(self.new)
+        self.held = 0
+        self.pieces: dict[str, int] = {}
         self.flat, self.starts, self.counts = array("i"), array("i"), array("i")
-        self.pieces[""] = self.add((self.end_id,))  # no piece is empty: this one ends a text
-
-    def add(self, ids) -> int:
-        self.starts.append(len(self.flat))
-        self.counts.append(len(ids))
-        self.flat.extend(ids)
-        return len(self.starts) - 1
-
-    def new(self, piece: str) -> int:
-        """Number of a piece that is not known yet; a leading NUL marks a word
-        for the whole tokenizer (no piece that is cut here begins so, but of
-        NULs, which go the same way)."""
-        if piece[0] == "\0":
-            return self.add(self.tokenizer.encode(piece[1:], add_special_tokens=False).ids)
-        return self.add([t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))])
-
-    def cuts(self, text: str) -> list[str]:
-        """A text's pieces, or words marked for the whole tokenizer."""
-        if self.plain and _latin(text) and "\0" not in text:
-            return self.cut(text.lower())
-        out: list[str] = []
-        for raw in text.encode().split():
-            word = raw.decode()
-            if self.plain and _latin(word) and "\0" not in word:
-                out += self.cut(word.lower())
-            else:
-                out.append("\0" + word)
-        return out
-
-    def encode(self, texts: list[str]):
-        """Flat int32 ids of all texts, each with its end id, and their counts."""
+
+    def merged(self, piece: str) -> list[int]:
+        """Ids of a lower-case piece of Latin-1 characters."""
+        return [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+
+    def piece(self, piece: str) -> int:
+        """Number of a piece; a new one gets the next."""
+        at = self.pieces.get(piece)
+        if at is None:
+            if not _latin(piece):
+                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            elif piece.isalpha():
+                ids = self.merged(piece.lower())
+            else:  # white space has no cut; a quote before letters may have two
+                ids = [i for p in self.cut(piece.lower()) for i in self.merged(p)]
+            at = self.pieces[piece] = len(self.starts)
+            self.starts.append(len(self.flat))
+            self.counts.append(len(ids))
+            self.flat.extend(ids)
+            self.held += len(piece) + 120  # about what an entry takes
+        return at
+
+    def cuts(self, raw, texts):
+        """Where pieces begin in UTF-8 bytes ``raw`` of texts that begin at
+        ``texts``: at a change of class, each number, each text."""
         import numpy as np
 
-        if len(self.starts) > self.limit:
+        kind = self.classes[raw]
+        two = np.flatnonzero((raw == 0xC2) | (raw == 0xC3))
+        kind[two] = kind[two + 1] = self.pairs[(raw[two] & 1).astype(np.int64) * 64 + (raw[two + 1] & 63)]
+        first = np.empty(len(raw), bool)
+        first[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=first[1:])
+        first |= kind == NUMBER
+        first[two + 1] = False
+        texts = texts[texts < len(raw)]
+        first[texts] = True
+        # a quote that begins a piece stays with the letters after it
+        quotes = np.flatnonzero((raw[:-1] == 0x27) & first[:-1] & (kind[1:] == LETTER)) + 1
+        first[np.setdiff1d(quotes, texts)] = False
+        foreign = np.flatnonzero(kind == FOREIGN)
+        if len(foreign):
+            space = kind == SPACE
+            edge = np.empty(len(raw), bool)
+            edge[0] = True
+            np.not_equal(space[1:], space[:-1], out=edge[1:])
+            edge[texts] = True
+            edges = np.append(np.flatnonzero(edge), len(raw))
+            words = np.unique(np.searchsorted(edges, foreign, "right") - 1)
+            inside = np.zeros(len(raw) + 1, np.int8)
+            inside[edges[words] + 1] += 1
+            inside[edges[words + 1]] -= 1
+            first &= np.cumsum(inside[:-1], dtype=np.int8) == 0
+        return np.flatnonzero(first)
+
+    def encode(self, texts):
+        """Flat int32 ids of an Arrow string array's texts, each with its end
+        id, and their counts; null texts are empty."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if self.held > self.limit:
             self.clear()
-        pieces: list[str] = []
-        ends = []
-        for t in texts:
-            pieces += self.cuts(t)
-            pieces.append("")
-            ends.append(len(pieces))
-        at = np.fromiter(map(self.pieces.__getitem__, pieces), np.int32, len(pieces))
+        if not self.plain:
+            got = [self.tokenizer.encode(t.as_py() or "", add_special_tokens=False).ids + [self.end_id] for t in texts]
+            return np.array([i for g in got for i in g], np.int32), np.array([len(g) for g in got], np.int64)
+        texts = pc.ascii_lower(texts.cast(pa.string()))
+        _, places, data = texts.buffers()
+        places = np.frombuffer(places, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+        if places[-1] == places[0]:
+            return np.full(len(texts), self.end_id, np.int32), np.ones(len(texts), np.int64)
+        raw = np.frombuffer(data, np.uint8)[places[0] : places[-1]]
+        places -= places[0]
+        begins = self.cuts(raw, places[:-1])
+        pieces = pa.StringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(raw)).astype(np.int32)), pa.py_buffer(raw))
+        coded = pieces.dictionary_encode()
+        numbers = np.fromiter(map(self.piece, coded.dictionary.to_numpy(zero_copy_only=False)), np.int32, len(coded.dictionary))
+        at = numbers[coded.indices.to_numpy()]
         counts = np.frombuffer(self.counts, np.int32)[at]
         starts = np.frombuffer(self.starts, np.int32)[at]
-        upto = np.cumsum(counts, dtype=np.int64)
-        total = int(upto[-1]) if len(upto) else 0
+        upto = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        # ids of the texts up to each one's end, the end ids left out
+        held = upto[np.searchsorted(begins, places[1:])]
         # each id's place in the flat list: its piece's start plus its turn
-        place = np.repeat((starts - (upto - counts)).astype(np.int32), counts)
-        place += np.arange(total, dtype=np.int32)
-        out = np.array(self.flat, np.int32)[place]
-        per = np.diff(np.concatenate([[0], upto[np.array(ends, np.int64) - 1]])) if ends else np.zeros(0, np.int64)
-        del counts, starts  # the arrays can't grow while a view is held
-        return out, per
+        place = np.repeat(starts - upto[:-1], counts) + np.arange(upto[-1])
+        ids = np.frombuffer(self.flat, np.int32)[place] if len(place) else np.zeros(0, np.int32)
+        del counts, starts
+        return np.insert(ids, held, self.end_id), np.diff(held, prepend=0) + 1
 
 
-class _Numbers(dict):
-    """Numbers by piece; a new piece gets the next one."""
+def _byte_classes():
+    """Classes of single bytes, letters in lower case, and of the two-byte
+    characters of Latin-1, of which the first byte's last bit and the second
+    byte's last six tell the place."""
+    import re
 
-    def __init__(self, new):
-        super().__init__()
-        self.make = new
+    import numpy as np
 
-    def __missing__(self, piece: str) -> int:
-        at = self[piece] = self.make(piece)
-        return at
+    def kind(c: str) -> int:
+        for k, chars in ((SPACE, SPACES), (LETTER, LETTERS), (NUMBER, NUMBERS)):
+            if re.match(f"[{chars}]", c.lower()):
+                return k
+        return OTHER
+
+    one = np.array([kind(chr(b)) if b < 128 else FOREIGN for b in range(256)], np.uint8)
+    return one, np.array([kind(chr(c)) for c in range(128, 256)], np.uint8)
 
 
 def _latin(text: str) -> bool:
@@ -181,13 +228,13 @@ def write_tokens(
     def encode(batches):
         import pyarrow as pa
 
-        encoder = hold(("encoder", tokenizer_path, end_id), lambda: PieceEncoder(tokenizer_path, end_id))
+        encoder = hold(("encoder", tokenizer_path, end_id), lambda: TextEncoder(tokenizer_path, end_id))
         part, before = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in slices(whole, 1 << 20, "text"):
+            for batch in slices(whole, 2 << 20, "text"):
                 if not batch.num_rows:
                     continue
-                ids, per = encoder.encode(batch.column("text").to_pylist())
+                ids, per = encoder.encode(batch.column("text"))
                 offsets = pa.array([0, *per.cumsum()], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -250,6 +297,7 @@ def token_digests(store: DataFrame) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
+        hold("nothing")
         for b in batches:
             tokens = b.column("tokens")
             values = np.ascontiguousarray(tokens.values.to_numpy(zero_copy_only=False), "<i4").data.cast("B")
@@ -269,4 +317,4 @@ def token_report(df: DataFrame, tokenizer_path: str, **options) -> DataFrame:
     return token_digests(read_tokens(spark, write_tokens(df, tokenizer_path, **options)))
 
 
-__all__ = ["PieceEncoder", "read_tokens", "token_digests", "token_report", "write_tokens"]
+__all__ = ["TextEncoder", "read_tokens", "token_digests", "token_report", "write_tokens"]

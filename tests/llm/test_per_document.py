@@ -39,10 +39,10 @@ def docs(spark, texts=TEXTS):
 # --- 1 -----------------------------------------------------------------------
 
 
-def encoded(texts, end=1):
+def encoded(texts, end=1, file="word_bpe_49k.json"):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    t = Tokenizer.from_file(tokenizer_file(file))
     t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids + [end] for x in texts]
 
@@ -89,11 +89,25 @@ def test_op1_empty_and_repeated(spark):
 
 def test_op1_cache_limit_changes_nothing():
     import numpy as np
+    import pyarrow as pa
 
-    small = token_store.PieceEncoder(tokenizer_file("word_bpe_49k.json"), 1, limit=3)
-    got = [list(small.encode([t or ""])[0]) for t in TEXTS]
+    small = token_store.TextEncoder(tokenizer_file("word_bpe_49k.json"), 1, limit=3)
+    got = [list(small.encode(pa.array([t]))[0]) for t in TEXTS]
     assert [list(map(int, g)) for g in got] == encoded(TEXTS)
-    assert small.encode([])[0].dtype == np.int32
+    assert small.encode(pa.array([], pa.string()))[0].dtype == np.int32
+
+
+def test_op1_random_texts_are_encoded_as_the_library_does():
+    """Characters whose case, class or normal form is awkward, at text ends too."""
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    some = ["a", "B", "É", "e\u0301", "\u0301", "Σ", "ß", "İ", "'s", "'S", "'", "’", "\0", "\x1c", "\x85", "\xa0", "\u2028", "日", "🙂", "½", "²", "9", " ", "\n", "\t", ".", "<|endoftext|>", "\u212a", "ǅ", "ﬁ", "\u200d", "\u0345", "re", "ll"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(14))) for _ in range(5000)]
+    for file in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        ids, per = token_store.TextEncoder(tokenizer_file(file), 1).encode(pa.array(texts + [None]).slice(1))
+        want = encoded(texts[1:] + [None], file=file)
+        assert per.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
 
 
 # --- 2 -----------------------------------------------------------------------
