@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from array import array
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from siftworks.session import ship_package
 #: ASCII white space as the word rule counts it: space and U+0009..U+000D.
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD_REGEX", "hold", "materialise", "shared_dir", "ship_package", "slices", "tables", "text_of", "text_source", "with_outputs", "word_count", "work_dir"]
+__all__ = ["WORD_REGEX", "PieceLists", "hold", "materialise", "shared_dir", "ship_package", "slices", "tables", "text_of", "text_source", "with_outputs", "word_count", "work_dir"]
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
@@ -102,3 +103,65 @@ def slices(batch, max_bytes: int, column: str):
     step = max(1, int(batch.num_rows * max_bytes / lengths))
     for i in range(0, batch.num_rows, step):
         yield batch.slice(i, step)
+
+
+class PieceLists:
+    """Strings together lists of numbers that belong to the pieces of texts.
+
+    Arrow cuts a batch of texts and numbers its pieces, so only the distinct
+    ones become Python objects; :meth:`make` lists the numbers of those that
+    are new, and numpy puts the lists in a row.  What is known is forgotten
+    once it takes about ``limit`` bytes, which changes speed only.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.held = 0
+        self.known: dict[str, int] = {}
+        self.flat, self.starts, self.counts = array("i"), array("i"), array("i")
+
+    def make(self, piece: str) -> list[int]:
+        raise NotImplementedError
+
+    def cut(self, texts):
+        """Pieces of an Arrow string array's texts as another one, and how many
+        there are up to each text's end: here, what ASCII white space separates."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = pc.ascii_split_whitespace(texts.cast(pa.string()))
+        return lists.flatten(), np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+
+    def piece(self, piece: str) -> int:
+        at = self.known.get(piece)
+        if at is None:
+            numbers = self.make(piece)
+            at = self.known[piece] = len(self.starts)
+            self.starts.append(len(self.flat))
+            self.counts.append(len(numbers))
+            self.flat.extend(numbers)
+            self.held += len(piece) + 4 * len(numbers) + 110  # about what an entry takes
+        return at
+
+    def strung(self, texts):
+        """The numbers of all texts in a row (int32), and how many there are up
+        to each text's end.  Null texts are empty."""
+        import numpy as np
+
+        if self.held > self.limit:
+            self.clear()
+        pieces, ends = self.cut(texts)
+        coded = pieces.dictionary_encode()
+        at = np.fromiter(map(self.piece, coded.dictionary.to_numpy(zero_copy_only=False)), np.int32, len(coded.dictionary))[coded.indices.to_numpy()]
+        if not len(at):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        counts = np.frombuffer(self.counts, np.int32)[at]
+        starts = np.frombuffer(self.starts, np.int32)[at]
+        upto = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        # each number's place in the flat list: its piece's start plus its turn
+        place = np.repeat(starts - upto[:-1], counts) + np.arange(upto[-1])
+        return (np.frombuffer(self.flat, np.int32)[place] if len(place) else np.zeros(0, np.int32)), upto[ends]

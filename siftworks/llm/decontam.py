@@ -2,29 +2,34 @@
 
 Benchmark passages and document windows are TF-IDF vectors over the words of
 the benchmark, weighted by document frequencies over the whole corpus.  A
-distributed randomised SVD of the passages' matrix gives a latent space; a
-window's cosine with each passage there finds candidates, and candidates are
-verified word by word: the longest common subsequence must cover enough of the
-passage, and paraphrases must also have the passage's answer (its last words).
-
-The benchmark is a stated query set, taken in blocks of ``block_items``
-passages for word frequencies and of at most ``rank`` retrieval rows for the
-latent space: its dimensions then hold every passage whole, so a passage's own
-own window keeps its cosine however many passages there are.  Every block meets all
-rows.  A passage longer than two windows is searched by window-sized pieces,
+distributed randomised SVD of the passages' matrix, cut to half its rank or
+less, gives a latent space into which both sides are projected.  A window is a
+candidate for a passage where their cosine there is high and the window's
+component along the passage is a fair share of the passage's own length (one
+telling word points the same way as its passage but does not reach as far).
+Candidates are verified word by word: the longest common subsequence must cover
+enough of the passage, and paraphrases must also have the passage's answer (its
+last words).
+
+The benchmark is a stated query set.  Its words are counted in one reading of
+the corpus; its retrieval rows are taken in blocks of ``block_rows``, a latent
+space each.  A row that a cut space holds too little of (``held``) would be out
+of reach there, so it goes to one more space among its like, until all are
+held.  A passage longer than two windows is searched by window-sized pieces,
 one retrieval row each, as one window holds too little of it; verification
 always takes the whole passage.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import hold, ship_package, text_source, with_outputs
+from siftworks.llm.common import PieceLists, hold, ship_package, slices, text_source, with_outputs
 
 
 @dataclass(frozen=True)
@@ -32,8 +37,11 @@ class Rules:
     """Parameters of retrieval and verification."""
 
     window: int = 48  #: words a window, at half-window steps
-    rank: int = 256  #: latent dimensions at most
-    cosine: float = 0.35  #: candidates at or above this
+    block_rows: int = 256  #: retrieval rows to a latent space at most
+    rank_share: float = 0.5  #: its dimensions, as a share of its rows
+    held: float = 0.3  #: share of a row's squared length that its space keeps at least
+    cosine: float = 0.4  #: candidates in the latent space: at or above this ...
+    reach: float = 0.25  #: ... and reaching so far along the passage, in its lengths
     common_share: float = 0.1  #: words in more documents than this are left out ...
     least_features: int = 12  #: ... but a retrieval row keeps its rarest this many
     lcs: float = 0.8  #: share of a passage's words for a copy
@@ -41,7 +49,6 @@ class Rules:
     answer_words: int = 6
     answer: float = 0.8  #: share of the answer's words, in order
     least_words: int = 8  #: shorter passages only match as a whole
-    block_items: int = 2000  #: passages whose words are counted in one reading of the corpus
 
 
 FIELDS = "leaked boolean, leak_items array<long>, leak_lcs double, leak_cosine double"
@@ -112,95 +119,118 @@ def randomised_svd(rows: DataFrame, n_features: int, rank: int, *, rounds: int =
     return q @ vectors[:, best], np.sqrt(np.maximum(values[best], 0))
 
 
+class WordNumbers(PieceLists):
+    """Numbers of the words of texts in a vocabulary; -1 for any other word."""
+
+    def __init__(self, numbers: dict[str, int], limit: int = 24 << 20):
+        super().__init__(limit)
+        self.numbers = numbers
+
+    def make(self, piece: str) -> list[int]:
+        return [self.numbers.get(w, -1) for w in words_of(piece)]
+
+
 def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]):
     """In how many rows of ``docs`` (column ``text``) each word occurs, and how
     many rows there are; summed in the tasks, one row a word and task."""
     import numpy as np
 
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(vocabulary)
+    sent, name = spark.sparkContext.broadcast(vocabulary), uuid.uuid4().hex
 
     def part(batches):
         import pyarrow as pa
 
-        numbers = sent.value
-        seen, n = np.zeros(len(numbers) + 1, np.int64), 0
-        for b in batches:
-            for t in b.column("text").to_pylist():
-                hit = [numbers[w] for w in set(words_of(t)) if w in numbers]
-                seen[hit] += 1
-                n += 1
+        words = hold(("words", name), lambda: WordNumbers(sent.value))
+        size = len(words.numbers)
+        seen, n = np.zeros(size + 1, np.int64), 0
+        for whole in batches:
+            for b in slices(whole, 2 << 20, "text"):
+                ids, ends = words.strung(b.column("text"))
+                text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+                once = np.unique((text * size + ids)[ids >= 0])
+                seen[:-1] += np.bincount(once % size, minlength=size) if size else 0
+                n += len(ends)
         seen[-1] = n
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())], names=["word", "n"])
 
     out = np.zeros(len(vocabulary) + 1, np.int64)
-    for r in docs.mapInArrow(part, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in docs.select("text").mapInArrow(part, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toLocalIterator():
         out[r["word"]] = r["n"]
     return out[:-1], int(out[-1])
 
 
-class Retriever:
-    """Candidate search and verification for one block of retrieval rows, each
-    the words searched for and the number of their passage in ``items``."""
+class Space:
+    """Candidate search in one latent space: retrieval rows, each with the
+    number of its passage, against windows of texts as word numbers."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], pieces: list[tuple[int, list[str]]], weights: dict[str, float], vectors, rules: Rules):
+    def __init__(self, owners: list[int], latent, features: list[int], size: int, rows, rules: Rules):
         import numpy as np
 
-        used = sorted({k for k, _ in pieces})
-        place = {k: i for i, k in enumerate(used)}
-        self.items, self.rules = [items[k] for k in used], rules
-        self.owner = np.array([place[k] for k, _ in pieces])
-        self.numbers = {w: i for i, w in enumerate(weights)}
-        idf = np.array(list(weights.values()))
-        #: Latent vector of one occurrence of each word, and its own weight.
-        self.latent = (idf[:, None] * vectors).astype(np.float32)
-        self.squares = (idf * idf).astype(np.float32)
-        rows = np.zeros((len(pieces), vectors.shape[1]), np.float32)
-        for k, (_, ws) in enumerate(pieces):
-            for w in ws:
-                if w in self.numbers:
-                    rows[k] += self.latent[self.numbers[w]]
-        self.passages = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
-
-    def candidates(self, words: list[str]):
-        """(first word, item, best cosine) of the windows that come close.
-
-        Windows are pairs of neighbouring half-window blocks; a window without
-        a word of the vocabulary has no vector and is no candidate.  The dot
-        product is taken in the latent space; the window's length is that of
-        its words' weights before projection, as projection would make one
-        telling word look like its whole passage.
+        self.owners, self.rules = np.array(owners), rules
+        #: Latent vector of one occurrence of each feature; a row of zeros for
+        #: all other words, and the words' places in it.
+        self.latent = np.vstack([latent, np.zeros((1, latent.shape[1]))]).astype(np.float32)
+        self.place = np.full(size + 1, len(features), np.int32)
+        self.place[features] = np.arange(len(features))
+        self.lengths = np.linalg.norm(rows, axis=1).astype(np.float32)
+        self.rows = (rows / self.lengths[:, None]).astype(np.float32)
+
+    def candidates(self, ids, ends):
+        """Rows (text, first word, passage, cosine) of the windows of texts
+        strung together that come close.
+
+        Windows are pairs of neighbouring half-window blocks of one text; a
+        window without a feature has no vector and is no candidate.
         """
         import numpy as np
 
         half = self.rules.window // 2
-        get = self.numbers.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        at = np.flatnonzero(ids >= 0)
-        if not len(at):
-            return []
-        blocks = at // half
-        firsts = np.flatnonzero(np.diff(blocks, prepend=-1))
-        sums = np.add.reduceat(self.latent[ids[at]], firsts, axis=0)
-        lengths = np.add.reduceat(self.squares[ids[at]], firsts)
-        here = blocks[firsts]
-        # a window of two blocks begins at each block and at the one before it
-        starts = np.unique(np.concatenate([here, here[here > 0] - 1]))
-        place = {int(b): i for i, b in enumerate(here)}
-        a = np.array([place.get(int(b), -1) for b in starts])
-        b = np.array([place.get(int(x) + 1, -1) for x in starts])
-        padded = np.vstack([sums, np.zeros((1, sums.shape[1]), sums.dtype)])
-        lengths = np.append(lengths, 0)
-        norm = np.sqrt(lengths[a] + lengths[b])[:, None]
-        close = ((padded[a] + padded[b]) / np.maximum(norm, 1e-12)) @ self.passages.T
-        w, row = np.nonzero(close >= self.rules.cosine)
-        best: dict[tuple[int, int], float] = {}
-        for start, item, cosine in zip((starts[w] * half).tolist(), self.owner[row].tolist(), close[w, row].tolist()):
-            best[start, item] = max(best.get((start, item), cosine), cosine)
-        return [(start, item, cosine) for (start, item), cosine in best.items()]
-
-    def verify(self, words: list[str], start: int, item: int) -> float:
+        place = self.place[ids]  # -1, an unknown word, is the last place
+        at = np.flatnonzero(place < len(self.latent) - 1)
+        sizes = np.diff(ends, prepend=0)
+        begins = ends - sizes
+        text = np.searchsorted(ends, at, "right")
+        # numbers of blocks, with a gap between texts so that no window spans two
+        blocks = -(-sizes // half) + 1
+        base = np.cumsum(blocks) - blocks
+        key = base[text] + (at - begins[text]) // half
+        firsts = np.flatnonzero(np.diff(key, prepend=-1))
+        here = key[firsts]
+        out = []
+        step = 512  # blocks at a time: their words' vectors take some MB
+        for i in range(0, len(here), step):
+            # one block more, as the last window reaches into it
+            some = here[i : i + step + 1]
+            lo, hi = firsts[i], firsts[i + len(some)] if i + len(some) < len(firsts) else len(at)
+            sums = np.add.reduceat(self.latent[place[at[lo:hi]]], firsts[i : i + len(some)] - lo, axis=0)
+            some, sums = np.append(some, -1), np.vstack([sums, np.zeros((1, sums.shape[1]), np.float32)])
+            mine = min(step, len(here) - i)
+            # a window begins at each block, and at the empty one before a block
+            alone = np.flatnonzero(np.diff(some[:mine], prepend=here[i - 1] if i else -1) > 1)
+            after = np.where(np.append(some[1:], -1) == some + 1, np.arange(1, len(some) + 1), len(some) - 1)[:mine]
+            vectors = np.concatenate([sums[:mine] + sums[after], sums[alone]])
+            starts = np.concatenate([some[:mine], some[alone] - 1])
+            norm = np.linalg.norm(vectors, axis=1)
+            along = vectors @ self.rows.T
+            w, row = np.nonzero((along >= self.rules.cosine * norm[:, None]) & (along >= self.rules.reach * self.lengths) & (along > 0))
+            where = np.searchsorted(base, starts[w], "right") - 1
+            # the empty block before a text's first one is the gap of the text
+            # before; that window is the same as the one that begins one later
+            word = (starts[w] - base[where]) * half
+            real = word < sizes[where]
+            out.append(np.column_stack([where, word, self.owners[row], along[w, row] / norm[w]])[real])
+        return np.concatenate(out) if out else np.zeros((0, 4))
+
+
+class Verifier:
+    """Word by word checks of candidates, on word numbers."""
+
+    def __init__(self, items: list[tuple[int, list[int]]], rules: Rules):
+        self.items, self.rules = items, rules
+
+    def share(self, words: list[int], start: int, item: int) -> float:
         """Share of the passage's words that the region around a window has in
         order, or 0 where the rules say no."""
         r, passage = self.rules, self.items[item][1]
@@ -219,14 +249,23 @@ class Retriever:
             return share
         return 0.0
 
-    def leaks(self, words: list[str]) -> dict[int, tuple[float, float]]:
-        """item_id -> (share of its words, cosine) of the passages in a text's words."""
-        found: dict[int, tuple[float, float]] = {}
-        for start, item, cosine in self.candidates(words):
-            key = self.items[item][0]
-            if key not in found or found[key][0] < 1.0:
-                if share := self.verify(words, start, item):
-                    found[key] = max(found.get(key, (0.0, 0.0)), (share, cosine))
+    def leaks(self, ids, ends, candidates) -> list[dict[int, tuple[float, float]]]:
+        """For each text: item_id -> (share of its words, cosine) of the
+        passages in it."""
+        found: list[dict] = [{} for _ in ends]
+        begins = [0, *ends.tolist()]
+        text, words = -1, []
+        close: dict[tuple[int, int, int], float] = {}
+        for *place, cosine in candidates.tolist():
+            key = tuple(map(int, place))
+            close[key] = max(close.get(key, cosine), cosine)
+        for (where, start, item), cosine in sorted(close.items()):
+            if where != text:
+                text, words = where, ids[begins[where] : begins[where + 1]].tolist()
+            key, best = self.items[item][0], found[where]
+            if key not in best or best[key][0] < 1.0:
+                if share := self.share(words, start, item):
+                    best[key] = max(best.get(key, (0.0, 0.0)), (share, cosine))
         return found
 
 
@@ -248,74 +287,99 @@ def pieces_of(words: list[str], window: int) -> list[list[str]]:
     return [words[i : i + window] for i in [*range(0, len(words) - window, window), len(words) - window]]
 
 
-def fit(docs: DataFrame, items: list[tuple[int, list[str]]], rules: Rules) -> list[Retriever]:
-    """Weights over all of ``docs`` (column ``text``) and the latent spaces of
-    one block of passages, ``rank`` retrieval rows each."""
+def fit(docs: DataFrame, items: list[tuple[int, list[str]]], rules: Rules) -> tuple[dict[str, int], Verifier, list[Space]]:
+    """The benchmark's vocabulary with weights over all of ``docs`` (column
+    ``text``), its passages as word numbers, and the latent spaces."""
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
     seen, n = document_frequencies(docs, vocabulary)
-    pieces = [(k, piece) for k, (_, ws) in enumerate(items) for piece in pieces_of(ws, rules.window)]
-    return [latent_space(docs.sparkSession, items, pieces[i : i + rules.rank], vocabulary, seen, n, rules) for i in range(0, len(pieces), rules.rank)]
-
-
-def latent_space(spark, items: list[tuple[int, list[str]]], pieces: list[tuple[int, list[str]]], vocabulary: dict[str, int], seen, n: int, rules: Rules) -> Retriever:
-    """The space of at most ``rank`` retrieval rows: as many dimensions as rows."""
-    import math
+    numbered = [(key, [vocabulary[w] for w in ws]) for key, ws in items]
+    left = [(k, piece) for k, (_, ws) in enumerate(numbered) for piece in pieces_of(ws, rules.window)]
+    spaces = []
+    while left:
+        later = []
+        for i in range(0, len(left), rules.block_rows):
+            space, missed = latent_space(docs.sparkSession, left[i : i + rules.block_rows], seen, n, rules)
+            spaces.append(space)
+            later += missed
+        left = later
+    return vocabulary, Verifier(numbered, rules), spaces
+
+
+def latent_space(spark, pieces: list[tuple[int, list[int]]], seen, n: int, rules: Rules) -> tuple[Space, list[tuple[int, list[int]]]]:
+    """A space of ``rank_share`` as many dimensions as rows, and the rows of
+    which it holds less than ``held``; where that is all, it gets them all."""
+    import numpy as np
 
-    kept: set[str] = set()
+    kept: set[int] = set()
     for _, ws in pieces:
-        ranked = sorted(set(ws), key=lambda w: (seen[vocabulary[w]], w))
+        ranked = sorted(set(ws), key=lambda w: (seen[w], w))
         kept.update(ranked[: rules.least_features])
-        kept.update(w for w in ranked if seen[vocabulary[w]] <= rules.common_share * n)
-    weights = {w: math.log((n + 1) / (int(seen[vocabulary[w]]) + 1)) + 0.1 for w in sorted(kept)}
-    numbers = {w: i for i, w in enumerate(weights)}
-    idf = list(weights.values())
-    rows = []
-    for _, ws in pieces:
-        counts: dict[int, float] = {}
+        kept.update(w for w in ranked if seen[w] <= rules.common_share * n)
+    features = sorted(kept)
+    place = {w: i for i, w in enumerate(features)}
+    idf = np.log((n + 1) / (seen[features] + 1.0)) + 0.1
+    matrix = np.zeros((len(pieces), len(features)))
+    for k, (_, ws) in enumerate(pieces):
         for w in ws:
-            if w in numbers:
-                counts[numbers[w]] = counts.get(numbers[w], 0.0) + idf[numbers[w]]
-        norm = math.sqrt(sum(v * v for v in counts.values())) or 1.0
-        rows.append((list(counts), [v / norm for v in counts.values()]))
-    table = spark.createDataFrame(rows, "index array<int>, value array<double>")
-    vectors, _ = randomised_svd(table, len(numbers), len(pieces))
-    return Retriever(items, pieces, weights, vectors, rules)
+            if w in place:
+                matrix[k, place[w]] += idf[place[w]]
+    lengths = np.linalg.norm(matrix, axis=1)
+    unit = matrix / lengths[:, None]
+    table = spark.createDataFrame([(np.flatnonzero(r).tolist(), r[r != 0].tolist()) for r in unit], "index array<int>, value array<double>")
+    rank = max(1, int(rules.rank_share * len(pieces)))
+    vectors, _ = randomised_svd(table, len(features), rank)
+    held = np.square(unit @ vectors).sum(axis=1) >= rules.held
+    if not held.any():
+        vectors, _ = randomised_svd(table, len(features), len(pieces))
+        held[:] = True
+    own = [p for p, h in zip(pieces, held) if h]
+    space = Space([k for k, _ in own], idf[:, None] * vectors, features, len(seen), matrix[held] @ vectors, rules)
+    return space, [p for p, h in zip(pieces, held) if not h]
+
+
+def one_by_one(blocks: list, keep: int = 16):
+    """Broadcast values in turn; beyond ``keep`` of them, each is dropped again
+    and read anew from the executor's disk."""
+    for block in blocks:
+        yield block
+        if len(blocks) > keep:
+            del block._value
 
 
 def annotate_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", rules: Rules | None = None) -> DataFrame:
     """Every row of ``docs`` with the columns of :data:`FIELDS`.
 
     ``leak_items`` lists the ids of the benchmark passages in the text,
-    ascending; ``leak_lcs`` and ``leak_cosine`` are those of the best.  Null and
-    empty texts, and an empty benchmark, leak nothing.  Passages with null or
-    wordless text are never found.  No shuffle: a document is judged whole, in
-    its own row; the corpus is read once for the word frequencies of each
-    ``block_items`` passages and once more for the search.
+    ascending; ``leak_lcs`` and ``leak_cosine`` (in the latent space) are those
+    of the best.  Null and empty texts, and an empty benchmark, leak nothing.
+    Passages with null or wordless text are never found.  No shuffle: a document
+    is judged whole, in its own row; the corpus is read once for the word
+    frequencies and once for the search.  Every task has the benchmark's words
+    and goes through the latent spaces one after the other, holding one.
     """
     rules = rules or Rules()
     spark = docs.sparkSession
     ship_package(spark)
     items = passages_of(benchmark, item_col, passage_col)
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    blocks = [spark.sparkContext.broadcast(r) for i in range(0, len(items), rules.block_items) for r in fit(texts, items[i : i + rules.block_items], rules)]
+    vocabulary, verifier, spaces = fit(texts, items, rules) if items else ({}, None, [])
+    sent, name = spark.sparkContext.broadcast((vocabulary, verifier)), uuid.uuid4().hex
+    blocks = [spark.sparkContext.broadcast(space) for space in spaces]
     schema = with_outputs(docs.schema, FIELDS)
     names = [f.name for f in schema]
     rows, held = text_source(docs, text_col)
 
     def run(batches) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        hold("nothing")
+        words, verifier = hold(("leaks", name), lambda: (WordNumbers(sent.value[0]), sent.value[1]))
         target = to_arrow_schema(schema)
-        for batch in batches:
-            found: list[dict] = [{} for _ in range(batch.num_rows)]
-            # one text at a time becomes a Python object
-            for f, t in zip(found, batch.column(held)):
-                words = words_of(t.as_py())
-                for block in blocks:
-                    for item, best in block.value.leaks(words).items():
-                        f[item] = max(f.get(item, best), best)
+        for batch in (b for whole in batches for b in slices(whole, 2 << 20, held)):
+            ids, ends = words.strung(batch.column(held))
+            near = [block.value.candidates(ids, ends) for block in one_by_one(blocks)]
+            found = verifier.leaks(ids, ends, np.concatenate(near)) if near else [{} for _ in ends]
             best = [max(f.values(), default=(0.0, 0.0)) for f in found]
             new = {
                 "leaked": pa.array([bool(f) for f in found], pa.bool_()),

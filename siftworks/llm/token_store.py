@@ -15,14 +15,13 @@ token pages and a doc_id range reads only its own pages.
 from __future__ import annotations
 
 import zlib
-from array import array
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import hold, ship_package, slices, text_of, work_dir
+from siftworks.llm.common import PieceLists, hold, ship_package, slices, text_of, work_dir
 
 #: The splitter's classes within Latin-1, whose characters are all in normal
 #: form C: letters in lower case, numbers, white space.
@@ -34,21 +33,19 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPACE, LETTER, NUMBER, OTHER, FOREIGN = range(5)
 
 
-class TextEncoder:
+class TextEncoder(PieceLists):
     """Encodes texts by their distinct pieces, exactly as the tokenizer encodes
     whole texts.
 
     The tokenizer drops white space, lower-cases, cuts words by a pattern and
     merges inside the cuts only, so a piece has the same ids in every text.
-    A batch of texts is cut by the classes of its bytes and Arrow numbers its
-    pieces; only the distinct ones become Python objects, and those that are
+    A batch of texts is cut by the classes of its bytes, and pieces that are
     new are merged by the tokenizer's BPE model.  Words with a character beyond
     Latin-1 stay whole and go through the whole tokenizer.  A tokenizer of
-    another layout encodes whole texts.  The cache is emptied once it holds
-    about ``limit`` bytes, which changes speed only.
+    another layout encodes whole texts.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 32 << 20):
+    def __init__(self, path: str, end_id: int, limit: int = 48 << 20):
         import json
         import re
 
@@ -56,44 +53,30 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.end_id, self.limit = end_id, limit
+        self.end_id = end_id
         state = lambda part: json.loads(part.__getstate__()) if part else {}
         steps = state(self.tokenizer.pre_tokenizer).get("pretokenizers", [])
         kinds = [x["type"] for x in state(self.tokenizer.normalizer).get("normalizers", [])]
         #: Pieces hold for this layout of normaliser and splitter only.
         self.plain = kinds == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"].get("Regex") == PATTERN
-        self.cut = re.compile(SPLIT).findall
+        self.split = re.compile(SPLIT).findall
         self.letters = _byte_letters()
         self.classes, self.pairs = _byte_classes()
-        self.clear()
-
-    def clear(self) -> None:
-        self.held = 0
-        self.pieces: dict[str, int] = {}
-        self.flat, self.starts, self.counts = array("i"), array("i"), array("i")
+        super().__init__(limit)
 
     def merged(self, piece: str) -> list[int]:
         """Ids of a lower-case piece of Latin-1 characters."""
         return [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
 
-    def piece(self, piece: str) -> int:
-        """Number of a piece; a new one gets the next."""
-        at = self.pieces.get(piece)
-        if at is None:
-            if not _latin(piece):
-                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            elif piece.isalpha():
-                ids = self.merged(piece.lower())
-            else:  # white space has no cut; a quote before letters may have two
-                ids = [i for p in self.cut(piece.lower()) for i in self.merged(p)]
-            at = self.pieces[piece] = len(self.starts)
-            self.starts.append(len(self.flat))
-            self.counts.append(len(ids))
-            self.flat.extend(ids)
-            self.held += len(piece) + 120  # about what an entry takes
-        return at
-
-    def cuts(self, raw, texts):
+    def make(self, piece: str) -> list[int]:
+        if not _latin(piece):
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
+        if piece.isalpha():
+            return self.merged(piece.lower())
+        # white space has no cut; a quote before letters may have two
+        return [i for p in self.split(piece.lower()) for i in self.merged(p)]
+
+    def begins(self, raw, texts):
         """Where pieces begin in UTF-8 bytes ``raw`` of texts that begin at
         ``texts``: at a change of class, each number, each text."""
         import numpy as np
@@ -126,40 +109,32 @@ class TextEncoder:
             first &= np.cumsum(inside[:-1], dtype=np.int8) == 0
         return np.flatnonzero(first)
 
-    def encode(self, texts):
-        """Flat int32 ids of an Arrow string array's texts, each with its end
-        id, and their counts; null texts are empty."""
+    def cut(self, texts):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        if self.held > self.limit:
-            self.clear()
-        if not self.plain:
-            got = [self.tokenizer.encode(t.as_py() or "", add_special_tokens=False).ids + [self.end_id] for t in texts]
-            return np.array([i for g in got for i in g], np.int32), np.array([len(g) for g in got], np.int64)
         texts = pc.ascii_lower(texts.cast(pa.string()))
         _, places, data = texts.buffers()
         places = np.frombuffer(places, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
-        if places[-1] == places[0]:
-            return np.full(len(texts), self.end_id, np.int32), np.ones(len(texts), np.int64)
-        raw = np.frombuffer(data, np.uint8)[places[0] : places[-1]]
+        raw = np.frombuffer(data or b"", np.uint8)[places[0] : places[-1]]
+        if not len(raw):
+            return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
         places -= places[0]
-        begins = self.cuts(raw, places[:-1])
+        begins = self.begins(raw, places[:-1])
         pieces = pa.StringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(raw)).astype(np.int32)), pa.py_buffer(raw))
-        coded = pieces.dictionary_encode()
-        numbers = np.fromiter(map(self.piece, coded.dictionary.to_numpy(zero_copy_only=False)), np.int32, len(coded.dictionary))
-        at = numbers[coded.indices.to_numpy()]
-        counts = np.frombuffer(self.counts, np.int32)[at]
-        starts = np.frombuffer(self.starts, np.int32)[at]
-        upto = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        # ids of the texts up to each one's end, the end ids left out
-        held = upto[np.searchsorted(begins, places[1:])]
-        # each id's place in the flat list: its piece's start plus its turn
-        place = np.repeat(starts - upto[:-1], counts) + np.arange(upto[-1])
-        ids = np.frombuffer(self.flat, np.int32)[place] if len(place) else np.zeros(0, np.int32)
-        del counts, starts
-        return np.insert(ids, held, self.end_id), np.diff(held, prepend=0) + 1
+        return pieces, np.searchsorted(begins, places[1:])
+
+    def encode(self, texts):
+        """Flat int32 ids of an Arrow string array's texts, each with its end
+        id, and their counts; null texts are empty."""
+        import numpy as np
+
+        if not self.plain:
+            got = [self.tokenizer.encode(t.as_py() or "", add_special_tokens=False).ids + [self.end_id] for t in texts]
+            return np.array([i for g in got for i in g], np.int32), np.array([len(g) for g in got], np.int64)
+        ids, upto = self.strung(texts)
+        return np.insert(ids, upto, self.end_id), np.diff(upto, prepend=0) + 1
 
 
 def _byte_classes():

@@ -314,7 +314,7 @@ def test_op8_copies_paraphrases_and_clean_texts(spark):
         want.append([] if i % 3 == 2 else [i])
     texts += ["say unicorn zebra now", "unicorn and zebra", None, "", " ".join(words(rng, 20000) + items[3])]
     want += [[30], [], [], [], [3]]
-    for rules in (decontam.Rules(), decontam.Rules(block_items=7)):
+    for rules in (decontam.Rules(), decontam.Rules(block_rows=7)):
         got = {r["doc_id"]: (r["leaked"], r["leak_items"]) for r in decontam.annotate_leaks(docs(spark, texts), bench, rules=rules).collect()}
         assert got == {i: (bool(w), w) for i, w in enumerate(want)}
 
@@ -363,11 +363,57 @@ def test_op8_finds_long_passages(spark):
         at = rng.randrange(len(host))
         texts += [" ".join(host[:at] + leak + host[at:]), " ".join(item[: len(item) // 3] + host)]
         want += [[i], []]
-    for rules in (decontam.Rules(), decontam.Rules(rank=20)):
+    for rules in (decontam.Rules(), decontam.Rules(block_rows=20)):
         got = {r["doc_id"]: r["leak_items"] for r in decontam.annotate_leaks(docs(spark, texts), bench, rules=rules).collect()}
         assert got == dict(enumerate(want))
 
 
+def test_op8_spaces_are_cut_and_hold_every_passage(spark, data_dir):
+    """Half as many dimensions as rows, so latent cosines are not the plain
+    ones, and no row without its share of length."""
+    import numpy as np
+
+    b = spark.read.parquet(f"{data_dir}/benchmark.parquet")
+    items = decontam.passages_of(b, "item_id", "text") + [(1000 + i, [f"lonely{i}x{k}" for k in range(20)]) for i in range(5)]
+    rules = decontam.Rules(block_rows=30)
+    vocabulary, verifier, spaces = decontam.fit(spark.read.parquet(f"{data_dir}/documents.parquet"), items, rules)
+    assert sorted(k for s in spaces for k in s.owners) == list(range(len(items))) and len(spaces) >= 2
+    first = spaces[0]
+    assert first.latent.shape[1] == 15
+    for s in spaces:
+        assert np.allclose(np.linalg.norm(s.rows, axis=1), 1, atol=1e-5)
+    numbered = dict(enumerate(verifier.items))
+    plain = lambda ws: np.bincount(ws, minlength=len(vocabulary)) / np.linalg.norm(np.bincount(ws))
+    a, c = (numbered[k][1] for k in first.owners[:2])
+    assert abs(float(first.rows[0] @ first.rows[1]) - float(plain(a) @ plain(c))) > 1e-3
+
+
+def test_op8_paraphrase_recall(spark, data_dir):
+    """One word in five of every passage replaced, but for the answer, inside
+    the driver's documents."""
+    rng = random.Random(21)
+    b = spark.read.parquet(f"{data_dir}/benchmark.parquet")
+    hosts = [r["text"].split() for r in spark.read.parquet(f"{data_dir}/documents.parquet").where("length(text) between 400 and 3000").limit(80).collect()]
+    texts, want = [], []
+    for r in b.collect():
+        leak = r["text"].split()
+        leak = [w if k % 5 or k > len(leak) - 8 else rng.choice(rng.choice(hosts)) for k, w in enumerate(leak)]
+        host = rng.choice(hosts)
+        at = rng.randrange(len(host) + 1)
+        texts.append(" ".join(host[:at] + leak + host[at:]))
+        want.append(r["item_id"])
+    got = {r["doc_id"]: r["leak_items"] for r in decontam.annotate_leaks(docs(spark, texts), b).collect()}
+    assert sum(w in got[i] for i, w in enumerate(want)) >= 0.95 * len(want)
+
+
+def test_op8_repeated_rows_and_clashing_columns(spark):
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id long, text string")
+    rows = spark.createDataFrame([(1, bench.first()["text"], "old", 7)] * 2 + [(None, None, "old", 7)], "doc_id long, text string, leaked string, leak_items int")
+    got = decontam.annotate_leaks(rows, bench)
+    assert sorted(got.columns) == sorted(["doc_id", "text", "leaked", "leak_items", "leak_lcs", "leak_cosine"])
+    assert sorted((r["leaked"], r["leak_items"]) for r in got.collect()) == [(False, []), (True, [1]), (True, [1])]
+
+
 def test_op8_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.annotate_leaks(docs(spark, ["a b"]), none).first()["leaked"] is False
