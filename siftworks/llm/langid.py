@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import hold, materialise, ship_package, slices, text_of
+from siftworks.llm.common import PieceLists, hold, materialise, ship_package, slices, text_of
 
 MARK = "▁"
 #: Probability of a character that no one-character piece covers.
@@ -118,10 +118,9 @@ def words_of(text: str) -> list[str]:
     import re
 
     out = []
-    for w in re.findall(r"[^\W\d_]+", text.lower()):
-        if len(w) < MAX_WORD:
-            out.append(MARK + w)
-        else:
+    for run in re.findall(r"[^\W\d_]+", text.lower()):
+        # the pattern's runs hold numbers like a half, too, which are no letters
+        for w in (run,) if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split():
             out += [MARK + w[i : i + MAX_WORD - 1] for i in range(0, len(w), MAX_WORD - 1)]
     return out
 
@@ -188,48 +187,67 @@ def fit(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str
     return languages, pieces, np.round(table, 15)
 
 
-class Scorer:
-    """Scores texts; caches up to ``limit`` words' log-probabilities."""
+class Scorer(PieceLists):
+    """Scores texts by the log-probabilities of their distinct words, a row
+    each: all letter runs between white space together."""
 
-    def __init__(self, languages, pieces, table, limit: int = 500_000):
-        self.languages, self.limit = languages, limit
+    def __init__(self, languages, pieces, table, limit: int = 64 << 20):
+        self.languages = languages
         self.segmenter = Segmenter(pieces, table)
-        self.clear()
+        super().__init__(limit)
 
     def clear(self) -> None:
         import numpy as np
 
-        self.known: dict[str, int] = {}
-        self.logs = np.zeros((0, len(self.languages)))
+        super().clear()
+        self.logs, self.rows = np.zeros((1024, len(self.languages))), 0
+        self.fresh: list[list[str]] = []
 
-    def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
+    def make(self, piece: str) -> list[int]:
+        runs = words_of(piece)
+        if not runs:
+            return []
+        self.fresh.append(runs)
+        self.held += 8 * len(self.languages)
+        return [self.rows + len(self.fresh) - 1]
+
+    def learn(self) -> None:
+        """The rows of the words that are new."""
         import numpy as np
 
-        if len(self.known) > self.limit:
-            self.clear()
-        known = self.known
-        split = [words_of(t) if t else [] for t in texts]
-        fresh = list({w for ws in split for w in ws if w not in known})
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i : i + 20_000]
-            known.update(zip(part, range(len(known), len(known) + len(part))))
-            self.logs = np.vstack([self.logs, self.segmenter.log_probabilities(part)])
-        out = []
-        for ws in split:
-            if not ws or not self.languages:
-                out.append(("und", 0.0))
-                continue
-            total = self.logs[np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))].sum(axis=0)
-            k = int(total.argmax())  # ties: the first language in code-point order
-            out.append((self.languages[k], float(1 / np.exp(total - total[k]).sum())))
-        return out
+        while len(self.logs) < self.rows + len(self.fresh):
+            self.logs = np.concatenate([self.logs, np.zeros_like(self.logs)])
+        for i in range(0, len(self.fresh), 20_000):
+            part = self.fresh[i : i + 20_000]
+            firsts = np.cumsum([0, *map(len, part[:-1])])
+            self.logs[self.rows : self.rows + len(part)] = np.add.reduceat(self.segmenter.log_probabilities([r for runs in part for r in runs]), firsts, axis=0)
+            self.rows += len(part)
+        self.fresh = []
+
+    def score(self, texts) -> tuple[list[str], list[float]]:
+        """Language and score of each text of an Arrow string array."""
+        import numpy as np
+
+        ids, ends = self.strung(texts)
+        self.learn()
+        names, scores = ["und"] * len(ends), np.zeros(len(ends))
+        sizes = np.diff(ends, prepend=0)
+        some = np.flatnonzero(sizes)
+        if self.languages and len(some):
+            total = np.add.reduceat(self.logs[ids], (ends - sizes)[some], axis=0)
+            best = total.argmax(axis=1)  # ties: the first language in code-point order
+            scores[some] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+            for i, k in zip(some.tolist(), best.tolist()):
+                names[i] = self.languages[k]
+        return names, scores.tolist()
 
 
 def predict(df: DataFrame, model: tuple, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of every whole text; only the text is looked at.
 
     ``score`` is the posterior of the predicted language under equal priors.
-    A null text, or one without a letter, is ``und`` with score 0.
+    A null text, or one without a letter (numbers such as a half are none), is
+    ``und`` with score 0.
     """
     import hashlib
 
@@ -244,9 +262,9 @@ def predict(df: DataFrame, model: tuple, *, id_col: str = "doc_id", text_col: st
 
         scorer = hold(("scorer", key), lambda: Scorer(*sent.value))
         for whole in batches:
-            for batch in slices(whole, 4 << 20, "text"):
-                got = scorer.score(batch.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "lang_pred", "score"])
+            for batch in slices(whole, 2 << 20, "text"):
+                names, scores = scorer.score(batch.column("text"))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")

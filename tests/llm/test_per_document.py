@@ -252,11 +252,28 @@ def test_op7_held_out_accuracy(spark, data_dir):
 
 
 def test_op7_undetermined(spark):
+    import numpy as np
+    import pyarrow as pa
+
     train = spark.createDataFrame([(1, "aaa bbb", "x"), (2, "ccc ddd", "y"), (3, None, "x"), (4, "eee", None)], "doc_id long, text string, lang string")
     model = langid.fit(train, tokenizer_file("piece_bpe_32k.model"), rounds=1)
     assert model[0] == ["x", "y"]
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs(spark, [None, "", "12 34!", "aaa", "ddd ccc"]), model).collect()}
     assert got[0] == got[1] == got[2] == ("und", 0.0) and got[3][0] == "x" and got[4][0] == "y"
+    more = [None, "½ ² Ⅷ ٣", "aaa " * 3, "a" * 5000, "aaa\u00a0b²b ddd", "aaa"]
+    twice = docs(spark, more).withColumns({"lang_pred": F.lit("q"), "score": F.lit("q")})
+    got = langid.predict(twice.unionByName(twice.where("doc_id = 2")), model)
+    assert got.columns == ["doc_id", "lang_pred", "score"]
+    rows = sorted((r["doc_id"], r["lang_pred"]) for r in got.collect())
+    assert [r[0] for r in rows] == [0, 1, 2, 2, 3, 4, 5] and [r[1] for r in rows[:4]] == ["und", "und", "x", "x"]
+    assert langid.predict(docs(spark, []), model).count() == 0
+    scorer = langid.Scorer(*model, limit=200)  # forgets at each batch
+    names, scores = scorer.score(pa.array(more))
+    again = [scorer.score(pa.array([t], pa.string())) for t in more]
+    assert names == [a[0][0] for a in again] and scores == [a[1][0] for a in again]
+    # word by word, by the definition
+    total = langid.Segmenter(*model[1:]).log_probabilities(["▁aaa", "▁b", "▁b", "▁ddd"]).sum(axis=0)
+    assert scores[4] == pytest.approx(1 / (1 + np.exp(-abs(total[0] - total[1]))))
     empty = langid.fit(train.where("false"), tokenizer_file("piece_bpe_32k.model"))
     assert [r["lang_pred"] for r in langid.predict(docs(spark, ["aaa"]), empty).collect()] == ["und"]
 
