@@ -19,8 +19,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality.annotate_quality(docs.select(COLUMNS)).where("kept").select(COLUMNS)
+    """Documents that the quality rules keep; limits are fitted on those that
+    ``labels`` calls good."""
+    fitted = quality.fit_bands(docs, tables(spark, sf_dir, "labels").where("quality = 1"))
+    return quality.annotate_quality(docs.select(COLUMNS), fitted=fitted).where("kept").select(COLUMNS)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

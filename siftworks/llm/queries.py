@@ -24,7 +24,8 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.annotate_quality(docs).drop("text")
+    fitted = quality.fit_bands(docs, tables(spark, sf_dir, "labels").where("quality = 1"))
+    return quality.annotate_quality(docs, fitted=fitted).drop("text")
 
 
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

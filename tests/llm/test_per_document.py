@@ -147,7 +147,7 @@ def test_op2_bands(spark, data_dir):
     stock = [clean, noise, " ".join(words[:60]), half, clean * 1]
     rows = {r["doc_id"]: r for r in quality.annotate_quality(docs(spark, stock)).collect()}
     assert [rows[i]["kept"] for i in range(5)] == [True, False, True, False, True]
-    assert rows[0]["n_chunks"] == len(clean.encode()) // 4096 and rows[0]["n_bad_chunks"] == 0
+    assert rows[0]["n_chunks"] == len(clean.encode()) // quality.CHUNK_BYTES and rows[0]["n_bad_chunks"] == 0
     assert quality.measure(cycle, __import__("zstandard").ZstdCompressor(level=3).compress)[7] > 1.5
 
 
@@ -157,6 +157,37 @@ def test_op2_keeps_labelled_good_documents(spark, data_dir):
     assert rows.count() > 10 and rows.where("NOT kept").count() == 0
 
 
+def test_op2_fitted_bands_by_brute_force(spark, data_dir):
+    """Limits of the registered query; every labelled good document in the
+    sample is kept, and some labelled bad ones that pass the base rules go."""
+    import zstandard
+
+    from siftworks.llm.queries import op2_quality_bands
+
+    compress = zstandard.ZstdCompressor(level=3).compress
+    where = data_dir.replace("sf0.001", "sf0.01")
+    d = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{where}/documents.parquet").collect()}
+    label = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{where}/labels.parquet").collect()}
+    seen, chunks = collections.defaultdict(list), []
+    for i, t in d.items():
+        if label.get(i) == 1 and not base_counts(t)[5]:
+            raw = t.encode()
+            seen[quality.octave_half(len(raw))].append(len(raw) / len(compress(raw)))
+            n = len(raw) // 2048
+            each = [2048 / len(compress(raw[2048 * k : 2048 * k + 2048])) for k in range(n)] + [2048 / len(compress(raw[-2048:]))] * bool(n and len(raw) % 2048)
+            chunks += [(min(each), max(each))] if each else []
+    want = {k: (min(v) * 0.97, max(v) * 1.03) for k, v in seen.items() if len(v) >= 20}
+    want[quality.CHUNKS] = (min(c[0] for c in chunks) * 0.97, max(c[1] for c in chunks) * 1.03)
+    docs_ = spark.read.parquet(f"{where}/documents.parquet")
+    got = quality.fit_bands(docs_, spark.read.parquet(f"{where}/labels.parquet").where("quality = 1"))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    rows = {r["doc_id"]: r for r in op2_quality_bands(spark, where).where("NOT base_failed").collect()}
+    assert all(r["kept"] for i, r in rows.items() if label.get(i) == 1)
+    bad = [r["kept"] for i, r in rows.items() if label.get(i) == 0]
+    assert sum(bad) <= 0.75 * len(bad)
+    assert quality.fit_bands(docs_, docs_.where("false")) == {} == quality.fit_bands(docs_.where("false"), docs_)
+
+
 def test_op2_rejects_base64(spark):
     rng = random.Random(6)
     texts = []
@@ -176,7 +207,7 @@ def test_op2_repetition_at_the_end(spark):
     rows = {r["doc_id"]: r for r in quality.annotate_quality(docs(spark, texts)).collect()}
     assert not any(r["base_failed"] for r in rows.values())
     assert [rows[i]["kept"] for i in range(5)] == [False, False, True, True, True]
-    assert [rows[i]["bad_tail"] for i in range(5)] == [True, False, False, None, None]
+    assert [rows[i]["bad_tail"] for i in range(5)] == [True, False, False, None, False]
 
 
 def test_op2_annotation_carries_columns(spark):
