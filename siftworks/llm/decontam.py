@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import PieceLists, hold, ship_package, slices, text_source, with_outputs
+from siftworks.llm.common import LETTERS, NUMBERS, SPACES, LatinCutter, PieceLists, hold, ship_package, slices, text_source, with_outputs
 
 
 @dataclass(frozen=True)
@@ -120,14 +120,27 @@ def randomised_svd(rows: DataFrame, n_features: int, rank: int, *, rounds: int =
 
 
 class WordNumbers(PieceLists):
-    """Numbers of the words of texts in a vocabulary; -1 for any other word."""
+    """Numbers of the words of texts in a vocabulary; -1 for any other word.
+    Arrow looks them up; only words beyond Latin-1 become Python objects."""
 
-    def __init__(self, numbers: dict[str, int], limit: int = 24 << 20):
-        super().__init__(limit)
-        self.numbers = numbers
+    def __init__(self, numbers: dict[str, int]):
+        import pyarrow as pa
+
+        super().__init__(LatinCutter(SPACES, LETTERS + NUMBERS + "_"), 0)
+        self.numbers, self.words = numbers, pa.array(numbers, pa.string())
 
-    def make(self, piece: str) -> list[int]:
-        return [self.numbers.get(w, -1) for w in words_of(piece)]
+    def lists(self, pieces, kinds):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        flat = pc.fill_null(pc.index_in(pieces, self.words), -1).to_numpy()
+        starts, counts = np.arange(len(pieces), dtype=np.int32), (kinds == 1).astype(np.int32)
+        more: list[int] = []
+        for i in np.flatnonzero(kinds == LatinCutter.FOREIGN).tolist():
+            own = [self.numbers.get(w, -1) for w in words_of(pieces[i].as_py())]
+            starts[i], counts[i] = len(flat) + len(more), len(own)
+            more += own
+        return starts, counts, np.concatenate([flat, np.array(more, np.int32)])
 
 
 def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]):

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import PieceLists, hold, materialise, ship_package, slices, text_of
+from siftworks.llm.common import LETTERS, SPACES, LatinCutter, PieceLists, hold, materialise, ship_package, slices, text_of
 
 MARK = "▁"
 #: Probability of a character that no one-character piece covers.
@@ -188,13 +188,13 @@ def fit(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str
 
 
 class Scorer(PieceLists):
-    """Scores texts by the log-probabilities of their distinct words, a row
-    each: all letter runs between white space together."""
+    """Scores texts by the log-probabilities of their distinct runs of letters,
+    a row each; a word with a character beyond Latin-1 is one row."""
 
     def __init__(self, languages, pieces, table, limit: int = 64 << 20):
         self.languages = languages
         self.segmenter = Segmenter(pieces, table)
-        super().__init__(limit)
+        super().__init__(LatinCutter(SPACES, LETTERS), limit)
 
     def clear(self) -> None:
         import numpy as np

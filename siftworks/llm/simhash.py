@@ -20,7 +20,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import hold, materialise, ship_package, slices, text_of
+from siftworks.llm.common import hold, materialise, ship_package, slices, text_source, with_outputs
 from siftworks.llm.components import connected_components
 
 BITS = 64
@@ -54,7 +54,17 @@ def fingerprint_of(text: str | None, shingle: int = 4, seed: int = 42) -> int:
 
 def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (signed long) of every whole text; null texts give zero."""
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return annotate_fingerprints(rows, keep=["doc_id"])
+
+
+def annotate_fingerprints(df: DataFrame, *, text_col: str = "text", fp_col: str = "fp", keep: list[str] | None = None) -> DataFrame:
+    """Every row of ``df`` (its columns ``keep``, else all) with ``fp_col``, the
+    signed fingerprint of the whole text; a column of that name is replaced."""
     ship_package(df.sparkSession)
+    rows, held = text_source(df, text_col)
+    schema = with_outputs(df.select(*[F.col(f"`{c}`") for c in keep or df.columns]).schema, f"{fp_col} long")
+    names = [f.name for f in schema]
 
     def run(batches):
         import numpy as np
@@ -62,11 +72,11 @@ def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
         hold("nothing")
         for whole in batches:
-            for batch in slices(whole, 8 << 20, "text"):
-                got = np.array([fingerprint_of(x.as_py()) for x in batch.column("text")], np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got.view(np.int64))], names=["doc_id", "fp"])
+            for batch in slices(whole, 8 << 20, held):
+                got = np.array([fingerprint_of(x.as_py()) for x in batch.column(held)], np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(got.view(np.int64)) if k == fp_col else batch.column(k) for k in names], names=names)
 
-    return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, schema)
 
 
 def folds_for(n: int) -> int:
@@ -112,7 +122,8 @@ def stars(values, groups, masks: list[list[int]]):
     if not len(same):
         return values[:0], values[:0]
     a, b = who[same], who[same + 1]  # neighbours of a run are linked: a chain is a star's equal
-    assert (np.bitwise_count(values[a] ^ values[b]) <= RADIUS).all(), "a shared variant links values beyond the radius"
+    near = np.bitwise_count(values[a] ^ values[b]) <= RADIUS  # every colliding pair is verified
+    a, b = a[near], b[near]
     label = np.arange(len(values))
     while True:
         low = np.minimum(label[a], label[b])
@@ -155,6 +166,17 @@ def link_fingerprints(nodes: DataFrame, n: int) -> DataFrame:
     return dealt.groupBy("fold").applyInArrow(link, "u long, v long").distinct()
 
 
+def groups(rows: DataFrame) -> DataFrame:
+    """One row a distinct fingerprint of ``rows`` (doc_id, fp): fp, doc_id (the
+    least of its rows), component (its group's least fingerprint) and
+    component_id (its group's least id).  ``rows`` is read twice."""
+    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "fingerprint-nodes")
+    found = connected_components(link_fingerprints(nodes.select("fp"), nodes.count()))
+    named = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    named = materialise(named, "fingerprint-components")
+    return named.join(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component")
+
+
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp, fingerprint (16 hex digits), component_id, for every row.
 
@@ -164,10 +186,26 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     only has a null id.
     """
     rows = materialise(fingerprints(df, id_col=id_col, text_col=text_col), "fingerprints")
-    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "fingerprint-nodes")
-    found = connected_components(link_fingerprints(nodes.select("fp"), nodes.count()))
-    named = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = materialise(named, "fingerprint-components")
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "component").select("fp", "component_id")
+    named = groups(rows).select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of every near-duplicate group, with all columns of ``df``: that
+    of the least id, or of the least fingerprint among rows of equal ids.
+
+    Rows that share id and fingerprint are one document: the least by text,
+    then by the other columns in order, stays (columns must be orderable).
+    Rows that share an id but belong to unlike groups are each one's.  A group
+    of null ids only is represented by a row with a null id.  Copies are
+    combined before the one shuffle of the texts, so no group is gathered.
+    """
+    columns, key = df.columns, f"`{id_col}`"
+    rest = sorted((c for c in columns if c != id_col), key=lambda c: c != text_col)
+    rows = materialise(annotate_fingerprints(df, text_col=text_col, fp_col="__fp"), "marked-texts")
+    named = groups(rows.select(F.col(key).cast("long").alias("doc_id"), F.col("__fp").alias("fp")))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("first")
+    chosen = named.groupBy("component").agg(first).select(F.col("first.doc_id").alias("id"), F.col("first.fp").alias("fp"))
+    one = rows.groupBy(F.col(key).alias("__id"), "__fp").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__row"))
+    kept = one.join(chosen, (F.col("__fp") == F.col("fp")) & F.col("__id").cast("long").eqNullSafe(F.col("id")), "left_semi")
+    return kept.select(*[F.col("__id").alias(c) if c == id_col else F.col("__row")[c].alias(c) for c in columns])

@@ -21,16 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import PieceLists, hold, ship_package, slices, text_of, work_dir
+from siftworks.llm.common import LETTERS, NUMBERS, SPACES, LatinCutter, PieceLists, hold, ship_package, slices, text_of, work_dir
 
-#: The splitter's classes within Latin-1, whose characters are all in normal
-#: form C: letters in lower case, numbers, white space.
-LETTERS, NUMBERS, SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\\t-\\r \\x85\\xa0"
 SPLIT = rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}{SPACES}]+"
 #: The tokenizer's own pattern, which SPLIT spells out for Latin-1.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Classes of characters, as SPLIT has them; FOREIGN is all beyond Latin-1.
-SPACE, LETTER, NUMBER, OTHER, FOREIGN = range(5)
 
 
 class TextEncoder(PieceLists):
@@ -61,8 +56,7 @@ class TextEncoder(PieceLists):
         self.plain = kinds == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"].get("Regex") == PATTERN
         self.split = re.compile(SPLIT).findall
         self.letters = _byte_letters()
-        self.classes, self.pairs = _byte_classes()
-        super().__init__(limit)
+        super().__init__(LatinCutter(SPACES, LETTERS, NUMBERS, alone=2, quoted=1), limit)
 
     def merged(self, piece: str) -> list[int]:
         """Ids of a lower-case piece of Latin-1 characters."""
@@ -72,58 +66,9 @@ class TextEncoder(PieceLists):
         if not _latin(piece):
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
         if piece.isalpha():
-            return self.merged(piece.lower())
+            return self.merged(piece)
         # white space has no cut; a quote before letters may have two
-        return [i for p in self.split(piece.lower()) for i in self.merged(p)]
-
-    def begins(self, raw, texts):
-        """Where pieces begin in UTF-8 bytes ``raw`` of texts that begin at
-        ``texts``: at a change of class, each number, each text."""
-        import numpy as np
-
-        kind = self.classes[raw]
-        two = np.flatnonzero((raw == 0xC2) | (raw == 0xC3))
-        kind[two] = kind[two + 1] = self.pairs[(raw[two] & 1).astype(np.int64) * 64 + (raw[two + 1] & 63)]
-        first = np.empty(len(raw), bool)
-        first[0] = True
-        np.not_equal(kind[1:], kind[:-1], out=first[1:])
-        first |= kind == NUMBER
-        first[two + 1] = False
-        texts = texts[texts < len(raw)]
-        first[texts] = True
-        # a quote that begins a piece stays with the letters after it
-        quotes = np.flatnonzero((raw[:-1] == 0x27) & first[:-1] & (kind[1:] == LETTER)) + 1
-        first[np.setdiff1d(quotes, texts)] = False
-        foreign = np.flatnonzero(kind == FOREIGN)
-        if len(foreign):
-            space = kind == SPACE
-            edge = np.empty(len(raw), bool)
-            edge[0] = True
-            np.not_equal(space[1:], space[:-1], out=edge[1:])
-            edge[texts] = True
-            edges = np.append(np.flatnonzero(edge), len(raw))
-            words = np.unique(np.searchsorted(edges, foreign, "right") - 1)
-            inside = np.zeros(len(raw) + 1, np.int8)
-            inside[edges[words] + 1] += 1
-            inside[edges[words + 1]] -= 1
-            first &= np.cumsum(inside[:-1], dtype=np.int8) == 0
-        return np.flatnonzero(first)
-
-    def cut(self, texts):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        texts = pc.ascii_lower(texts.cast(pa.string()))
-        _, places, data = texts.buffers()
-        places = np.frombuffer(places, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
-        raw = np.frombuffer(data or b"", np.uint8)[places[0] : places[-1]]
-        if not len(raw):
-            return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
-        places -= places[0]
-        begins = self.begins(raw, places[:-1])
-        pieces = pa.StringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(raw)).astype(np.int32)), pa.py_buffer(raw))
-        return pieces, np.searchsorted(begins, places[1:])
+        return [i for p in self.split(piece) for i in self.merged(p)]
 
     def encode(self, texts):
         """Flat int32 ids of an Arrow string array's texts, each with its end
@@ -137,24 +82,6 @@ class TextEncoder(PieceLists):
         return np.insert(ids, upto, self.end_id), np.diff(upto, prepend=0) + 1
 
 
-def _byte_classes():
-    """Classes of single bytes, letters in lower case, and of the two-byte
-    characters of Latin-1, of which the first byte's last bit and the second
-    byte's last six tell the place."""
-    import re
-
-    import numpy as np
-
-    def kind(c: str) -> int:
-        for k, chars in ((SPACE, SPACES), (LETTER, LETTERS), (NUMBER, NUMBERS)):
-            if re.match(f"[{chars}]", c.lower()):
-                return k
-        return OTHER
-
-    one = np.array([kind(chr(b)) if b < 128 else FOREIGN for b in range(256)], np.uint8)
-    return one, np.array([kind(chr(c)) for c in range(128, 256)], np.uint8)
-
-
 def _latin(text: str) -> bool:
     if text.isascii():
         return True

@@ -473,3 +473,20 @@ def test_op8_short_passages(spark, n):
     bench = spark.createDataFrame([(1, " ".join("pqr"[:n]))], "item_id long, text string")
     got = decontam.annotate_leaks(docs(spark, ["p", "p q", "q p"]), bench).collect()
     assert [r["leaked"] for r in sorted(got, key=lambda r: r["doc_id"])] == {0: [False] * 3, 1: [True] * 3, 2: [False, True, False]}[n]
+
+
+# --- the shared cutter -----------------------------------------------------------
+
+
+def test_words_are_numbered_as_a_pattern_finds_them():
+    """Random texts, cut by bytes, against the pattern over whole texts."""
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    some = ["a", "B", "É", "é", "́", "Σ", "σ", "ß", "İ", "ÿ", "Ÿ", "×", "÷", "µ", "_", "'", "\0", "\x1c", "\x85", "\xa0", " ", "日", "🙂", "½", "²", "9", "٣", "Ⅷ", " ", "\n", ".", "ª"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(16))) for _ in range(4000)] + [None, ""]
+    vocabulary = {w: i for i, w in enumerate(sorted({w for t in texts[:1500] for w in decontam.words_of(t)}))}
+    ids, ends = decontam.WordNumbers(vocabulary).strung(pa.array(texts).slice(3))
+    at = [0, *ends.tolist()]
+    for i, t in enumerate(texts[3:]):
+        assert ids[at[i] : at[i + 1]].tolist() == [vocabulary.get(w, -1) for w in decontam.words_of(t)], t

@@ -401,6 +401,40 @@ def test_op10_edges(spark):
     assert sorted(((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(rows).collect()), key=repr) == [(2, 2), (3, 2), (3, 2), (None, None)]
 
 
+def test_op10_representatives(spark):
+    """Nulls, empty texts, repeated ids and rows, clashing names."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, long, "b"), (2, long.upper(), "c"), (2, long, "a"), (5, "other words stand in this one", "d"), (5, "other words stand in this one", "d"), (7, None, "e"), (8, "", None), (None, "no id here at all", "f"), (None, "no id here at all", "f"), (None, long, "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string").repartition(3)
+    got = sorted(map(tuple, simhash.representatives(df).collect()), key=repr)
+    # of the rows that share id 2 and a fingerprint, the least by text stays
+    assert got == sorted([(2, long.upper(), "c"), (5, "other words stand in this one", "d"), (7, None, "e"), (None, "no id here at all", "f")], key=repr)
+    assert simhash.representatives(df.where("false")).count() == 0
+
+
+def test_op10_every_colliding_pair_is_verified():
+    import numpy as np
+
+    # a mask of too many bits stands among the variants: its links are dropped
+    values = np.array([0, 0b11111], np.uint64)
+    u, v = simhash.stars(values, np.array([0, 0]), [[0, 0b11111]])
+    assert len(u) == len(v) == 0
+    u, v = simhash.stars(values, np.array([0, 0]), [[0, 0b11, 0b11100]])
+    assert len(u) == 0
+    u, v = simhash.stars(np.array([0, 0b1111], np.uint64), np.array([0, 0]), [[0, 0b11, 0b1100]])
+    assert (u.tolist(), v.tolist()) == ([0], [15])
+
+
+def test_work_folders_are_shared_and_removed(spark, tmp_path):
+    from siftworks.llm import common
+
+    path = common.work_dir(spark, "x")
+    common.materialise(spark.range(3), "x", path)
+    assert len(list(__import__("pathlib").Path(path.removeprefix("file://")).glob("part-*"))) > 0
+    common.discard(spark, path)
+    assert not __import__("pathlib").Path(path.removeprefix("file://")).exists()
+
+
 def test_components_of_long_paths(spark):
     links = [(i, i + 1) for i in range(0, 200)] + [(500, 501), (501, 500), (7, 7), (900, 300), (300, 901)]
     rng = random.Random(0)
