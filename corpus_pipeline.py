@@ -8,7 +8,6 @@ last returns the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftworks.llm import decontam, mixing, quality, simhash, token_store
@@ -26,17 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one of least id.
-
-    Of rows that repeat that id the first by text stays; rows without an id,
-    which no group can name, stay once a text.  The texts are shuffled once:
-    the join and the window share the partitioning by id.
-    """
-    chosen = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi")
-    turn = W.partitionBy("doc_id").orderBy("text")
-    named = kept.withColumn("__turn", F.row_number().over(turn)).where("__turn = 1").select(COLUMNS)
-    return named.unionByName(docs.where("doc_id IS NULL").select(COLUMNS).dropDuplicates(["text"]))
+    """One document of each near-duplicate group: the one of least id.  Rows
+    that share an id but belong to unlike groups are each one's."""
+    return simhash.representatives(docs.select(COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
