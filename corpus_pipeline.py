@@ -37,12 +37,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, none, once or twice, in the
-    order of their training times.  Rows that share an id enter equally often,
-    at the same times."""
-    most = F.max(F.struct("copies", "times"))["times"].alias("times")
-    taken = mixing.copies(mixing.mix(docs)).groupBy(F.col("doc_id").alias("id")).agg(most).where("size(times) > 0")
+    order of their training positions.  Rows that share an id enter equally
+    often, at the same positions."""
+    most = F.max(F.struct("copies", "positions"))["positions"].alias("positions")
+    taken = mixing.copies(mixing.mix(docs)).groupBy(F.col("doc_id").alias("id")).agg(most).where("size(positions) > 0")
     rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id")))
-    return rows.select(*COLUMNS, F.posexplode("times").alias("pass", "time")).orderBy("time", "source", "doc_id", "pass").select(COLUMNS)
+    placed = rows.select(*COLUMNS, F.explode("positions").alias("at")).select(*COLUMNS, "at.position", "at.time", "at.pass")
+    return placed.orderBy("position", "time", "source", "doc_id", "pass").select(COLUMNS)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ Each source has a target number of words and a weight schedule over training
 time 0..1.  Its documents form a stream in hashed order, repeated until the
 target; the schedule's integral is the share of the target that is due by a
 time, so inverting it at a document's place in the stream gives the time at
-which the document is due.  Sorting all occurrences by that time (a range
+which the document is due.  The demand of all sources up to that time, in
+words, is its training position; sorting all occurrences by position (a range
 sort) is the training order.
 
 Places in the stream are prefix sums over (source, hash).  A source may hold a
@@ -89,6 +90,18 @@ def due_time(due: Column, parts: Column) -> Column:
     return F.when(root > 0, F.least(part["t1"], part["t0"] + 2 * area / F.when(root > 0, root).otherwise(1.0))).otherwise(part["t0"])
 
 
+def share_due(time: Column, schedule: Schedule) -> Column:
+    """The share (0..1) of a source of this schedule that is due by ``time``:
+    the inverse of :func:`due_time`."""
+    parts = segments(schedule)
+    total = sum((t1 - t0) * (w0 + w1) / 2 for t0, t1, w0, w1, _, _ in parts)
+    area = F.lit(0.0)
+    for t0, t1, w0, w1, _, _ in parts:
+        x = F.least(F.greatest(time - t0, F.lit(0.0)), F.lit(t1 - t0))
+        area = area + x * w0 + x * x * ((w1 - w0) / (2 * (t1 - t0)) if t1 > t0 else 0.0)
+    return area / total
+
+
 def mix(
     df: DataFrame,
     *,
@@ -105,7 +118,8 @@ def mix(
     """One row a document: what the mix takes of it, and when.
 
     Columns: doc_id, source, size, source_size, target, taken, n_passes,
-    positions (array<struct<time, pass, words>>, empty where nothing is taken).
+    positions (array<struct<time, position, pass, words>>, empty where nothing
+    is taken; ``position`` counts the words that all sources owe by then).
 
     Sources in code-point order, null last, get ``weights`` and ``schedules`` in
     turn (``source_weights`` overrides single ones).  They share ``share`` times
@@ -130,8 +144,13 @@ def mix(
     sizes = [r["n"] for r in sources]
     shares = [float((source_weights or {}).get(r["source"], weights[i % len(weights)])) for i, r in enumerate(sources)]
     targets = water_fill(sizes, shares, share * sum(sizes), most)
+    # both levels of the prefix sums grow as the root of a very large source
+    bucket = [max(rows_per_bucket, math.isqrt(r["rows"])) for r in sources]
+    owed = [0.0] * len(schedules)  # words of all sources of each schedule
+    for i, t in enumerate(targets):
+        owed[i % len(schedules)] += t
     table = spark.createDataFrame(
-        [(i, r["source"], sizes[i], targets[i], math.floor(targets[i] + 0.5), -(-r["rows"] // rows_per_bucket), segments(schedules[i % len(schedules)])) for i, r in enumerate(sources)],
+        [(i, r["source"], sizes[i], targets[i], math.floor(targets[i] + 0.5), -(-r["rows"] // bucket[i]), segments(schedules[i % len(schedules)])) for i, r in enumerate(sources)],
         f"source_no int, source string, source_size long, target double, goal long, n_buckets long, parts {SEGMENT}",
     )
     if len(sources) <= BROADCAST_SOURCES:
@@ -155,26 +174,29 @@ def mix(
         words = F.least(F.col("size"), F.col("goal") - at)
         return F.struct(
             due_time((at + words / 2) / F.greatest(F.col("goal"), F.lit(1)), F.col("parts")).alias("time"),
+            F.lit(0.0).alias("position"),
             (k + 1).cast("int").alias("pass"),
             words.cast("long").alias("words"),
         )
 
     some = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n_passes").cast("long") - 1), occurrence)
-    docs = docs.withColumn("positions", F.when(F.col("n_passes") > 0, some).otherwise(F.array().cast("array<struct<time:double,pass:int,words:bigint>>")))
+    docs = docs.withColumn("positions", F.when(F.col("n_passes") > 0, some).otherwise(F.array().cast("array<struct<time:double,position:double,pass:int,words:bigint>>")))
+    demand = lambda t: sum((share_due(t, s) * o for s, o in zip(schedules, owed)), F.lit(0.0))
+    docs = docs.withColumn("positions", F.transform("positions", lambda p: p.withField("position", demand(p["time"]))))
     taken = F.aggregate("positions", F.lit(0).cast("long"), lambda s, p: s + p["words"])
     return docs.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "n_passes", "positions")
 
 
-#: The training order: ties of time by source, id, pass and words.
-ORDER = ("time", "source", "doc_id", "pass", "words")
+#: The training order: ties of position by time, source, id, pass and words.
+ORDER = ("position", "time", "source", "doc_id", "pass", "words")
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """Every occurrence, range-sorted by its training time (ties by source,
-    id, pass and words): time, doc_id, source, pass, words."""
+    """Every occurrence, range-sorted by its training position (ties as in
+    :data:`ORDER`): position, time, doc_id, source, pass, words."""
     return (
         mixed.select("doc_id", "source", F.explode("positions").alias("p"))
-        .select("p.time", "doc_id", "source", "p.pass", "p.words")
+        .select("p.position", "p.time", "doc_id", "source", "p.pass", "p.words")
         .orderBy(*ORDER)
     )
 
@@ -192,7 +214,7 @@ def places(mixed: DataFrame) -> DataFrame:
     rows = materialise(mixed.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
     sorted_ = (
         rows.select("row", "source", "doc_id", F.explode("positions").alias("p"))
-        .select("row", "source", "doc_id", "p.pass", "p.time", "p.words")
+        .select("row", "source", "doc_id", "p.pass", "p.position", "p.time", "p.words")
         .orderBy(*ORDER)
         # the upper bits are the part, the lower 33 the number in it
         .select("row", "pass", "time", F.monotonically_increasing_id().alias("n"))
@@ -217,8 +239,8 @@ def places(mixed: DataFrame) -> DataFrame:
 
 
 def copies(mixed: DataFrame) -> DataFrame:
-    """How often a whole document enters the mix, and when: a pass counts where
-    at least half of the document is taken.  doc_id, size, copies, times; one
-    row a document."""
+    """How often a whole document enters the mix, and where: a pass counts where
+    at least half of the document is taken.  doc_id, size, copies, positions
+    (array<struct<position, time, pass>>); one row a document."""
     whole = F.filter("positions", lambda p: 2 * p["words"] >= F.col("size"))
-    return mixed.select("doc_id", "size", F.size(whole).alias("copies"), F.transform(whole, lambda p: p["time"]).alias("times"))
+    return mixed.select("doc_id", "size", F.size(whole).alias("copies"), F.transform(whole, lambda p: F.struct(p["position"].alias("position"), p["time"].alias("time"), p["pass"].alias("pass"))).alias("positions"))

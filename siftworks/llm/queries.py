@@ -30,7 +30,7 @@ def op2_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.places(mixing.mix(tables(spark, sf_dir, "documents")))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "n_passes", F.get("times", F.lit(0)).alias("first_time"), "times", "places")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "n_passes", F.get("times", F.lit(0)).alias("first_time"), "times", F.transform("positions", lambda p: p["position"]).alias("positions"), "places")
 
 
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,30 @@ def test_op3_curriculum(spark):
         mixing.segments(((0, 1), (1, -1)))
 
 
+def test_op3_positions_are_the_demand_of_all_sources(spark):
+    """Brute force: the words of the occurrences before a position, counted one
+    by one, come to that position but for a document of each source."""
+    docs = mixed_docs(spark, 3000)
+    order = mixing.training_order(mixing.mix(docs, rows_per_bucket=50)).collect()
+    total = sum(r["words"] for r in order)
+    assert [r["position"] for r in order] == sorted(r["position"] for r in order)
+    assert [r["time"] for r in order] == sorted(r["time"] for r in order)
+    done = 0
+    for r in order:
+        assert abs(done + r["words"] / 2 - r["position"]) <= 5 * 200
+        done += r["words"]
+    assert 0 <= order[0]["position"] and order[-1]["position"] <= total + 1
+    plan = mixing.places(mixing.mix(docs))
+    assert "positions" in plan.columns
+
+
+def test_op3_share_due_inverts_due_time(spark):
+    for schedule in (*mixing.SCHEDULES, ((0.0, 1.0), (0.3, 0.0), (0.5, 0.0), (1.0, 2.0))):
+        table = spark.createDataFrame([(mixing.segments(schedule), d / 50) for d in range(51)], f"parts {mixing.SEGMENT}, due double")
+        for r in table.select("due", mixing.share_due(mixing.due_time(F.col("due"), F.col("parts")), schedule).alias("back")).collect():
+            assert r["back"] == pytest.approx(r["due"], abs=1e-9)
+
+
 def test_op3_places_are_the_training_order(spark, tmp_path):
     mixed_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
     rows = queries.op3_curriculum_mix(spark, str(tmp_path)).collect()
