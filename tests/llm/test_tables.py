@@ -232,6 +232,16 @@ def test_op6_rows_to_text_and_back(spark):
     assert [(t["role"], t["text"]) for t in got[4]["turns"]] == [("user", "a"), ("", "b"), ("", "b")]
 
 
+def test_op6_null_ids_and_empty_tables(spark, tmp_path):
+    schema = "conv_id long, turn int, role string, text string"
+    rows = [(None, 1, "user", "a"), (None, 1, "user", "a"), (None, None, None, None), (3, 1, "assistant", "b")]
+    made = chat.render(chat.canonical_turns(chat.records_of_rows(spark.createDataFrame(rows, schema)))).collect()
+    assert sorted((r["conv_id"] is None, len(r["loss_spans"])) for r in made) == [(False, 1), (True, 0), (True, 0), (True, 0)]
+    assert chat.render(chat.canonical_turns(chat.records_of_rows(spark.createDataFrame([], schema)))).count() == 0
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/conversations.parquet")
+    assert [r["conv_id"] for r in queries.op6_chat_format(spark, str(tmp_path)).collect()] == [-1]
+
+
 def test_op6_turn_above_the_json_limit(spark, tmp_path):
     """20,000,001 characters: more than Spark's JSON parsers take."""
     spark.sql("SELECT * FROM VALUES (1, 0, 'user', 'hi'), (1, 1, 'assistant', repeat('a', 20000001)), (1, 2, 'user', 'bye'), (2, 0, 'user', 'x') AS t(conv_id, turn, role, text)").write.parquet(f"{tmp_path}/conversations.parquet")
