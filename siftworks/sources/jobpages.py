@@ -55,14 +55,15 @@ def first_posting(blocks: pd.Series) -> pd.DataFrame:
 
 
 def parse_pages(pages: DataFrame, source: str, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Posting rows of job pages (url, html); pages without a posting give none.
+    """Posting rows of job pages (url, html); pages without a posting give
+    none, nor do postings without a company.
 
     The id falls back on the URL's last segment, the work mode on what location
     and title hint at.  Pages without a linked-data script never reach Python.
     """
     ship_package(pages.sparkSession)
     rows = pages.select(T.text(F.col(url_col)).alias("__loc"), linked_blocks(F.col(html_col)).alias("__blocks")).where(F.size("__blocks") > 0)
-    rows = rows.withColumn("__p", first_posting("__blocks")).where(F.col("__p.title").isNotNull())
+    rows = rows.withColumn("__p", first_posting("__blocks")).where(F.col("__p.title").isNotNull() & (F.col("__p.company") != ""))
     p = F.col("__p")
     url = F.when(p["url"] != "", p["url"]).otherwise(F.col("__loc"))
     mode = F.when(p["mode"] == "TELECOMMUTE", F.lit(T.REMOTE)).otherwise(T.infer_work_mode(F.concat_ws(" ", p["place"], p["title"])))
@@ -80,37 +81,63 @@ def parse_pages(pages: DataFrame, source: str, *, url_col: str = "url", html_col
     )
 
 
-SITEMAP = StructType([StructField("urls", ArrayType(StructType([StructField("loc", StringType()), StructField("lastmod", StringType())]))), StructField("children", ArrayType(StringType()))])
+SITEMAP = StructType([StructField("urls", ArrayType(StructType([StructField("loc", StringType()), StructField("lastmod", StringType())]))), StructField("children", ArrayType(StringType())), StructField("problem", StringType())])
 
 
-@pandas_udf(SITEMAP)
-def read_sitemap(content: pd.Series) -> pd.DataFrame:
-    """A sitemap file (bytes, gzipped or not): its URLs, or, for an index, its
-    children; nulls where it is no XML.  Dates stay as written."""
+def sitemap(raw: bytes | None) -> tuple[list[tuple[str, str]], list[str]]:
+    """A sitemap file (gzipped or not): its URLs with their dates as written,
+    or, for an index, its children.  What cannot be read is a ValueError, never
+    an empty sitemap: that would make all known URLs unknown."""
     import gzip
+    import zlib
     from xml.etree import ElementTree
 
+    try:
+        data = raw or b""
+        root = ElementTree.fromstring(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
+    except (ElementTree.ParseError, OSError, EOFError, zlib.error) as e:
+        raise ValueError(f"unreadable sitemap: {e}") from e
+    local = lambda el: el.tag.rpartition("}")[2]
+    index = local(root) == "sitemapindex"
+    entries = [[(local(c), (c.text or "").strip()) for c in el] for el in root if local(el) == ("sitemap" if index else "url")]
+    if index:
+        firsts = (next((text for name, text in e if name == "loc" and text), "") for e in entries)
+        return [], list(filter(None, firsts))
+    return [(f["loc"], f.get("lastmod", "")) for f in map(dict, entries) if f.get("loc")], []
+
+
+@pandas_udf(SITEMAP)
+def read_sitemap(content: pd.Series) -> pd.DataFrame:
+    """:func:`sitemap` of a column; ``problem`` says what is wrong with a file,
+    whose lists are null then."""
+
     def one(raw):
         try:
-            data = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
-            root = ElementTree.fromstring(data)
-        except (ElementTree.ParseError, OSError, EOFError, TypeError):
-            return None, None
-        local = lambda el: el.tag.rpartition("}")[2]
-        got = [{local(c): (c.text or "").strip() for c in el} for el in root if local(el) in ("url", "sitemap")]
-        if local(root) == "sitemapindex":
-            return [], [g["loc"] for g in got if g.get("loc")]
-        return [{"loc": g["loc"], "lastmod": g.get("lastmod", "")} for g in got if g.get("loc")], []
+            urls, children = sitemap(raw)
+        except ValueError as e:
+            return None, None, str(e)
+        return [{"loc": loc, "lastmod": at} for loc, at in urls], children, None
 
-    return pd.DataFrame([one(r) for r in content], columns=["urls", "children"])
+    return pd.DataFrame([one(r) for r in content], columns=["urls", "children", "problem"])
 
 
 def sitemap_entries(files: DataFrame, *, content_col: str = "content") -> DataFrame:
-    """pos, loc, lastmod (normalised, empty if undated) of sitemap files, e.g.
-    from ``spark.read.format("binaryFile")``; other columns are carried."""
+    """pos, loc, lastmod (normalised, empty if undated) and problem of sitemap
+    files, e.g. from ``spark.read.format("binaryFile")``; other columns are
+    carried.  An unreadable file is one row with its problem and no entry; a
+    crawl must stop there (:func:`readable`)."""
     keep = [c for c in files.columns if c != content_col]
-    rows = files.withColumn("__s", read_sitemap(content_col)).select(*keep, F.posexplode("__s.urls").alias("pos", "__u"))
-    return rows.select(*keep, "pos", F.col("__u.loc").alias("loc"), D.to_iso_utc(F.col("__u.lastmod")).alias("lastmod"))
+    rows = files.withColumn("__s", read_sitemap(content_col)).where("__s.problem IS NOT NULL OR size(__s.urls) > 0")
+    rows = rows.select(*keep, "__s.problem", F.posexplode_outer("__s.urls").alias("pos", "__u"))
+    lastmod = F.when(F.col("__u").isNotNull(), D.to_iso_utc(F.col("__u.lastmod")))
+    return rows.select(*keep, "pos", F.col("__u.loc").alias("loc"), lastmod.alias("lastmod"), "problem")
+
+
+def readable(entries: DataFrame) -> DataFrame:
+    """Entries without the column ``problem``; the first problem, if any, is an
+    error when the rows are read, so nothing is stored from half a sitemap."""
+    wrong = F.col("problem").isNotNull()
+    return entries.where(F.when(wrong, F.raise_error(F.col("problem")).isNull()).otherwise(F.lit(True))).drop("problem")
 
 
 def walk_sitemaps(fetch, roots: list[str], cap: int = 25) -> list[str]:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,11 +19,12 @@ SEEN = "stable_id string, first_seen timestamp"
 
 
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
-    """The seen store; a missing one is empty."""
-    try:
-        return spark.read.schema(SEEN).parquet(path)
-    except AnalysisException:
+    """The seen store; a missing one is empty, any other trouble an error, as
+    an empty store would have everything published again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
         return spark.createDataFrame([], SEEN)
+    return spark.read.schema(SEEN).parquet(path)
 
 
 def run_batch(batch: DataFrame, seen_path: str, treat: Callable[[DataFrame], DataFrame], *order: str, now=None) -> None:

@@ -86,12 +86,19 @@ def test_robots_groups():
     r = crawl.read_robots("User-agent: a\nDisallow: /x\nUser-agent: sift\nUser-agent: z\nAllow: /y # c\nCrawl-delay: -1\nCrawl-delay: 3\nSitemap: s\n", "SiftBot")
     assert r == crawl.Robots(("/y",), (), 3.0, ("s",))
     assert crawl.read_robots("", "x") == crawl.Robots()
+    late = "Disallow: /early\nUser-agent: sift\nUser-agent: sift\nnoise: 1\nUser-agent: other\nAllow: /a\nDisallow: /b\nUser-agent: sift\nDisallow: /c\nUser-agent: siftbot"
+    assert crawl.read_robots(late, "SiftB") == crawl.Robots(("/a",), ("/b", "/c"))
+    assert crawl.read_robots(late, "siftbot/2") == crawl.Robots()
+    assert [r.shut() for r in (crawl.Robots(), crawl.Robots((), ("/",)), crawl.Robots(("/$",), ("/",)), crawl.Robots((), ("/x",)))] == [False, True, False, False]
+    assert crawl.Robots().pause() == 1.0 and crawl.Robots(delay=0.0).pause() == 0.0
     assert crawl.read_robots("User-agent: *\nDisallow:\n", "x") == crawl.Robots()
 
 
 def test_robots_decide_by_the_longest_rule(spark):
-    rules = crawl.Robots(("/jobs/open", "/a$"), ("/jobs", "/a", "/*.pdf$"))
+    rules = crawl.Robots(("/jobs/open", "/a$", "/c+d%2Fe"), ("/jobs", "/a", "/*.pdf$", "/s%20p", "/caf%C3%A9", "/100%", "/st%2Ar", "/c"))
     want = {"https://h/jobs/open/1": True, "https://h/jobs/2": False, "https://h/a": True, "https://h/ab": False, "https://h/x.pdf": False, "https://h/x.pdf?y": True, "https://h": True}
+    want |= {"https://h/s p/c": False, "https://h/s%20p": False, "https://h/café": False, "https://h/caf%c3%a9/x": False, "https://h/100%/x": False, "https://h/100%25": False, "https://h/st*r": False, "https://h/star": True}
+    want |= {"https://h/c+d/e": True, "https://h/c%2Bd%2fe": True, "https://h/c d/e": False, "https://h/x%0a.pdf": True}
     rows = spark.createDataFrame([(u, w) for u, w in want.items()], "u string, w boolean")
     assert rows.where(crawl.allowed(F.col("u"), rules) != F.col("w")).count() == 0
 
@@ -134,12 +141,21 @@ def test_sitemap_walk_is_capped_and_visits_once():
 def test_sitemaps(spark):
     import gzip
 
-    from siftworks.sources.jobpages import sitemap_entries
-
-    xml = b'<urlset xmlns="http://s/"><url><loc> https://x/1 </loc><lastmod>2026-09-05</lastmod></url><url><loc>https://x/2</loc></url></urlset>'
-    rows = spark.createDataFrame([("p", bytearray(xml)), ("z", bytearray(gzip.compress(xml))), ("bad", bytearray(b"<"))], "path string, content binary")
-    got = sorted(map(tuple, sitemap_entries(rows).collect()))
-    assert got == [(p, i, f"https://x/{i + 1}", "2026-09-05T00:00:00+00:00" if i == 0 else "") for p in ("p", "z") for i in (0, 1)]
+    from siftworks.sources.jobpages import readable, sitemap, sitemap_entries
+
+    xml = b'<urlset xmlns="http://s/"><url><loc> https://x/1 </loc><lastmod>2026-09-05</lastmod></url><url><loc>https://x/2</loc></url><url/></urlset>'
+    index = b"<sitemapindex><sitemap><loc></loc><loc> c1 </loc><loc>c2</loc></sitemap><sitemap/></sitemapindex>"
+    assert sitemap(index) == ([], ["c1"])
+    good = [("p", bytearray(xml)), ("z", bytearray(gzip.compress(xml))), ("i", bytearray(index))]
+    bad = [("bad", bytearray(b"<")), ("cut", bytearray(gzip.compress(xml)[:30])), ("none", None), ("flipped", bytearray(gzip.compress(xml)[:12] + b"\xff" * 40))]
+    rows = spark.createDataFrame(good + bad, "path string, content binary")
+    entries = sitemap_entries(rows)
+    want = [(p, i, f"https://x/{i + 1}", "2026-09-05T00:00:00+00:00" if i == 0 else "") for p in ("p", "z") for i in (0, 1)]
+    assert sorted(tuple(r)[:4] for r in entries.where("problem is null").collect()) == want
+    assert sorted(r["path"] for r in entries.where("problem is not null").collect()) == sorted(p for p, _ in bad)
+    assert sorted(map(tuple, readable(sitemap_entries(spark.createDataFrame(good, rows.schema))).collect())) == want
+    with pytest.raises(Exception, match="unreadable sitemap"):
+        readable(entries).collect()
 
 
 def test_summaries():

@@ -45,10 +45,145 @@ def test_payload_source(spark, tmp_path):
     rows = spark.read.format("payloads").option("requests", json.dumps(requests)).load()
     got = {r["source_ord"]: r for r in rows.collect()}
     assert got[0]["problem"] is None and "remotive" in got[1]["problem"] and got[1]["payload"] is None
-    parsed = feeds.parse(rows.where("problem is null").drop("problem"), "remotive").collect()
+    parsed = feeds.parse(rows.where("problem is null").drop("problem", "url"), "remotive").collect()
     assert [(r["id"], r["title"], r["problem"]) for r in parsed] == [("1", "é", None)]
 
 
+class Mirror:
+    """A local server with hosts as folders; remembers what was asked."""
+
+    def __init__(self, answer):
+        import http.server
+        import threading
+        import time
+
+        asked = self.asked = []
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_GET(self):
+                size = int(self.headers.get("Content-Length") or 0)
+                body = json.loads(self.rfile.read(size)) if size else None
+                asked.append((time.monotonic(), self.command, self.path, body, dict(self.headers)))
+                status, content = answer(self.command, self.path, body)
+                self.send_response(status)
+                self.end_headers()
+                self.wfile.write(content)
+
+            do_POST = do_GET
+
+            def log_message(self, *args):
+                pass
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        self.via = f"http://127.0.0.1:{self.server.server_address[1]}"
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *error):
+        self.server.shutdown()
+
+
+def test_all_feeds_from_a_server(spark):
+    """All 17 feeds by their endpoints: methods, bodies, headers, pages, leads."""
+    from siftworks.plans import samples
+
+    hosts = {name: end.url.partition("://")[2].partition("?")[0].replace("{token}", "acme").replace("{found}", "77") for name, end in fetch.ENDPOINTS.items()}
+
+    def answer(method, path, body):
+        place, _, asked = path[1:].partition("?")
+        if place.endswith("/search_by_date"):
+            return 200, json.dumps({"hits": [{"title": "Ask HN: Freelancer?", "objectID": "5"}, {"title": " Ask HN: Who is hiring? (May)", "objectID": "77"}]}).encode()
+        name = next((n for n, p in hosts.items() if p == place), None)
+        if name in ("workable", "apec") and method != "POST" or name is None:
+            return 405, b""
+        page = json.loads(samples.PAYLOADS[name]) if name in ("smartrecruiters", "freework", "apec") else None
+        if name == "smartrecruiters":  # two full pages and a short one
+            at = int(asked.partition("offset=")[2])
+            page["content"] = [{"id": f"s{at + i}", "name": "Dev"} for i in range(100 if at < 200 else 3)]
+        elif name == "freework":  # the total says when to stop
+            page["hydra:totalItems"] = 2
+            page["hydra:member"][0]["id"] = int(asked.partition("page=")[2])
+        elif name == "apec":
+            at = body["pagination"]["startIndex"]
+            page = {"totalCount": 100, "resultats": [{"numeroOffre": f"N{at + i}", "intitule": "Dev", "nomCommercial": "Acme"} for i in range(20 if at < 40 else 0)]}
+        return 200, (samples.PAYLOADS[name] if page is None else json.dumps(page)).encode()
+
+    spark.dataSource.register(fetch.PayloadSource)
+    names = list(fetch.ENDPOINTS)
+    assert set(names) == {*feeds.JSON_FEEDS, *feeds.RSS_FEEDS}
+    requests = [{"source_ord": i, "source": n, "company": "Acme", "token": "acme" if "{token}" in fetch.ENDPOINTS[n].url and not fetch.ENDPOINTS[n].site else ""} for i, n in enumerate(names)]
+    hosts |= {n: fetch.ENDPOINTS[n].url.partition("://")[2].partition("?")[0].replace("{token}", fetch.ENDPOINTS[n].token) for n in names if fetch.ENDPOINTS[n].token}
+    with Mirror(answer) as mirror:
+        asked_once = spark.read.format("payloads").options(requests=json.dumps(requests), via=mirror.via).load()
+        rows = spark.createDataFrame(asked_once.collect(), asked_once.schema)
+    assert rows.where("problem is not null").count() == 0
+    found = {n: feeds.parse(rows.where(F.col("source") == n).drop("problem", "url"), n).where("problem is null").count() for n in names}
+    want = {n: sum(r[0] == n for r in samples.FEED_ROWS) for n in names} | {"smartrecruiters": 203, "freework": 2, "apec": 40}
+    assert found == want
+    by = {n: [a for a in mirror.asked if a[2][1:].partition("?")[0] == hosts[n]] for n in names}
+    assert {n: len(a) for n, a in by.items()} == dict.fromkeys(names, 1) | {"smartrecruiters": 3, "freework": 2, "apec": 3}
+    assert by["workable"][0][3] == {} and by["apec"][1][3]["pagination"] == {"range": 20, "startIndex": 20} and by["apec"][0][3]["motsCles"] == "developpeur"
+    assert by["remotive"][0][4]["Referer"] == "https://remotive.com/" and "Referer" not in by["lever"][0][4]
+
+
+def test_a_failing_page_fails_its_feed_alone(spark, monkeypatch):
+    def call(url, timeout, **more):
+        return (200, json.dumps({"content": [{}] * 100}).encode()) if url.endswith("offset=0") else (403, b"")
+
+    with pytest.raises(fetch.FetchError):
+        fetch.read_feed("smartrecruiters", "t", call=call)
+    assert fetch.read_feed("hackernews", "", call=lambda *a, **k: (200, b'{"hits": []}')) == []
+    assert fetch.read_feed("lever", "t", call=lambda *a, **k: (404, b"")) == []
+    assert fetch.read_feed("freework", "", call=lambda *a, **k: (200, b"no json")) == [(1, b"no json")]
+
+
+def test_site_is_crawled_and_remembered_only_as_a_whole(spark):
+    """Robots, sitemap index, selection, pause between pages, state."""
+    from siftworks.plans import samples
+    from siftworks.sources import site
+
+    pages = {"/jobs/acme/one": samples.JOB_PAGES[0][1], "/jobs/acme/two": samples.JOB_PAGES[1][1], "/jobs/acme/lost": None}
+    files = {
+        "/robots.txt": "User-agent: *\nDisallow: /jobs/shut\nCrawl-delay: 0.3\n",
+        "/sitemap.xml": "<sitemapindex><sitemap><loc>https://japan-dev.com/s1.xml</loc></sitemap><sitemap><loc>https://japan-dev.com/gone.xml</loc></sitemap></sitemapindex>",
+        "/s1.xml": "<urlset>" + "".join(f"<url><loc>https://japan-dev.com{p}</loc></url>" for p in ["/about", "/jobs/shut/x", "/jobs/acme/known", *pages]) + "</urlset>",
+    }
+    broken = set()
+
+    def answer(method, path, body):
+        at = path.removeprefix("/japan-dev.com")
+        text = None if at in broken else files.get(at, pages.get(at))
+        return (500 if at in broken and at != "/s1.xml" else 200, b"<urlset><url>" if at in broken else text.encode()) if text is not None or at in broken else (404, b"")
+
+    old = {"japandev": {"cursor": "", "urls": ["https://japan-dev.com/jobs/acme/known"]}}
+    with Mirror(answer) as mirror:
+        go = lambda: site.crawl_site(spark, site.SITES["japandev"], old, via=mirror.via, sleep=lambda s: None)
+        rows, new = go()
+        assert sorted(r["company"] for r in rows.collect()) == ["Acme", "Beta"]
+        assert new["japandev"]["urls"] == sorted([*old["japandev"]["urls"], *(f"https://japan-dev.com{p}" for p in pages)])
+        asked = [a for a in mirror.asked if "/jobs/" in a[2]]
+        assert len(asked) == 3 and all(b[0] - a[0] >= 0.29 for a, b in zip(asked, asked[1:]))
+        again, _ = site.crawl_site(spark, site.SITES["japandev"], new, via=mirror.via)
+        assert again.count() == 0
+        for bad in ("/s1.xml", "/robots.txt"):
+            broken |= {bad}
+            with pytest.raises(fetch.FetchError, match="japandev"):
+                go()
+            broken.clear()
+        files["/robots.txt"] = "User-agent: *\nDisallow: /\n"
+        assert go() == (None, old)
+
+
+def test_pages_of_postings_without_a_company_are_dropped(spark):
+    from siftworks.sources import jobpages
+
+    page = '<script type="application/ld+json">{"@type": "JobPosting", "title": "Dev", "hiringOrganization": "%s"}</script>'
+    rows = spark.createDataFrame([("https://x/1", page % ""), ("https://x/2", page % "Acme")], "url string, html string")
+    assert [r["company"] for r in jobpages.parse_pages(rows, "x").collect()] == ["Acme"]
+
+
 def test_state_files(tmp_path):
     f = tmp_path / "deep" / "s.json"
     state.write_atomic(f, {"b": "2", "a": "1"})
