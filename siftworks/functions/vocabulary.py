@@ -111,25 +111,64 @@ def word_pattern(term: str) -> str:
     return flagged(WORD_LEFT + quoted(term) + WORD_RIGHT, term)
 
 
+def by_case(terms: Iterable[str]) -> list[tuple[bool, list[str]]]:
+    """The terms that are searched in exact case (True) and in any case."""
+    terms = [t for t in terms if t]
+    split = [(exact, [t for t in terms if any(ch.isupper() for ch in t) == exact]) for exact in (False, True)]
+    return [(exact, some) for exact, some in split if some]
+
+
 def has_word(c: Column, terms: Iterable[str]) -> Column:
     """Is one of the terms a whole word of the text?  One expression for the
     terms of any case and one for those of exact case."""
-    terms = [t for t in terms if t]
     out = F.lit(False)
-    for exact in (False, True):
-        some = [t for t in terms if any(ch.isupper() for ch in t) == exact]
-        if some:
-            either = WORD_LEFT + "(?:" + "|".join(map(quoted, some)) + ")" + WORD_RIGHT
-            out = out | text(c).rlike(either if exact else "(?iu)" + either)
+    for exact, some in by_case(terms):
+        either = WORD_LEFT + "(?:" + "|".join(map(quoted, some)) + ")" + WORD_RIGHT
+        out = out | text(c).rlike(either if exact else "(?iu)" + either)
+    return out
+
+
+def folded(term: str) -> str:
+    return term.upper().lower()
+
+
+def without_prefixes(terms: list[str]) -> list[list[str]]:
+    """The terms in groups, in order, in which none begins with another one."""
+    out: list[list[str]] = []
+    for t in terms:
+        apart = lambda group, t=folded(t): not any(t.startswith(o) or o.startswith(t) for o in map(folded, group))
+        group = next(filter(apart, out), None)
+        if group is None:
+            out.append(group := [])
+        group.append(t)
     return out
 
 
+def occurring(c: Column, terms: list[str], left: str, right: str) -> Column:
+    """Numbers (from 1, in the list) of the terms that occur between bounds.
+
+    One pass over a text for the terms of any case and one for those of exact
+    case finds a term at each place, also inside another one; terms that begin
+    alike, hence could stand at one place, have passes of their own.
+    """
+
+    def numbers(exact: bool, some: list[str]) -> Column:
+        here = left + "(?=(" + "|".join(map(quoted, some)) + ")" + right + ")"
+        hits = F.regexp_extract_all(text(c), F.lit(here if exact else "(?iu)" + here), F.lit(1))
+        names = F.array(*[F.lit(t if exact else folded(t)) for t in some])
+        place = F.array(*[F.lit(terms.index(t) + 1) for t in some])
+        return F.transform(hits, lambda h: F.element_at(place, F.array_position(names, h if exact else F.lower(F.upper(h))).cast("int")))
+
+    groups = [(exact, group) for exact, some in by_case(terms) for group in without_prefixes(some)]
+    return F.concat(*[numbers(*g) for g in groups]) if groups else F.array().cast("array<int>")
+
+
 def first_word(c: Column, terms: Iterable[str]) -> Column:
-    """The first term, in the order given, that is a whole word; else null.
-    Terms are tried one by one only where any of them is there."""
-    terms = [t for t in terms if t]
-    tried = [F.when(text(c).rlike(word_pattern(t)), F.lit(t)) for t in terms]
-    return F.when(has_word(c, terms), F.coalesce(*tried)) if tried else F.lit(None).cast("string")
+    """The first term, in the order given, that is a whole word; else null."""
+    terms = list(dict.fromkeys(t for t in terms if t))
+    if not terms:
+        return F.lit(None).cast("string")
+    return F.get(F.array(*map(F.lit, terms)), F.array_min(occurring(c, terms, WORD_LEFT, WORD_RIGHT)) - 1)
 
 
 def let(value: Column, body) -> Column:
@@ -144,29 +183,39 @@ def tag(c: Column, vocabulary: Vocabulary = TECHNOLOGIES) -> Column:
     digits, are intersected once with all single-token terms, so a long text
     costs one pass whatever the vocabulary's size.  Where letters follow digits
     inside a run ("python3x"), which the cut cannot judge, and for terms with
-    other characters, the bounded regular expression decides.
+    other characters, bounded regular expressions decide, in one pass too.
     """
+    names = sorted(vocabulary, key=str.lower)
+    if not names:
+        return F.array().cast("array<string>")
     s = text(c)
-    terms = {n: [t for t in vocabulary[n] if t] for n in sorted(vocabulary, key=str.lower)}
-    token = {t: bool(re.fullmatch(TOKEN_TERM, t)) for ts in terms.values() for t in ts}
-    cased = {t: any(ch.isupper() for ch in t) for t in token}
-    listed = lambda want: F.array(*[F.lit(t) for t in token if token[t] and cased[t] == want]).cast("array<string>")
-    runs = F.transform(F.split(s, r"[^A-Za-z0-9_+#]+"), lambda t: F.regexp_replace(t, r"[0-9]+$", ""))
-
-    def found(r: Column) -> Column:
-        exact, loose = F.array_intersect(r, listed(True)), F.array_intersect(F.transform(r, F.lower), listed(False))
-        return F.struct(F.concat(exact, loose).alias("hits"), s.rlike(r"[A-Za-z_+#][0-9]+[A-Za-z_+#]").alias("mixed"))
-
-    def names(f: Column) -> Column:
-        out = []
-        for name, ts in terms.items():
-            hit = F.lit(False)
-            for t in ts:
-                hit = hit | (F.array_contains(f["hits"], t) | (f["mixed"] & s.rlike(term_pattern(t))) if token[t] else s.rlike(term_pattern(t)))
-            out.append(F.when(hit, F.lit(name)))
-        return F.filter(F.array(*out), lambda n: n.isNotNull())
-
-    return let(let(runs, found), names) if terms else F.array().cast("array<string>")
+    of: dict[str, list[int]] = {}  # numbers of the names of a term
+    for i, n in enumerate(names):
+        for t in filter(None, vocabulary[n]):
+            of.setdefault(t, []).append(i)
+    token = [t for t in of if re.fullmatch(TOKEN_TERM, t)]
+    other = [t for t in of if t not in set(token)]
+    none = F.array().cast("array<int>")
+
+    def named(found: Column, terms: list[str]) -> Column:
+        """Numbers of names for numbers of terms (from 1)."""
+        table = F.array(*[F.array(*map(F.lit, of[t])) for t in terms])
+        return F.flatten(F.transform(found, lambda k: F.element_at(table, k)))
+
+    def equal(exact: bool, terms: list[str]) -> Column:
+        listed = F.array(*map(F.lit, terms))
+        bare = F.regexp_replace(s if exact else F.lower(s), r"(?<![0-9])[0-9]++(?![A-Za-z0-9_+#])", "")
+        runs = F.regexp_extract_all(bare, F.lit("[A-Za-z0-9_+#]+"), F.lit(0))  # split() compiles its pattern for each row
+        return named(F.transform(F.array_intersect(runs, listed), lambda h: F.array_position(listed, h).cast("int")), terms)
+
+    found = [equal(*group) for group in by_case(token)]
+    if token:
+        found.append(F.when(s.rlike(r"[A-Za-z_+#][0-9]+[A-Za-z_+#]"), named(occurring(s, token, LEFT, RIGHT), token)).otherwise(none))
+    if other:
+        found.append(named(occurring(s, other, LEFT, RIGHT), other))
+    numbers = F.array_sort(F.array_distinct(F.concat(*found))) if found else none
+    listed = F.array(*map(F.lit, names))
+    return F.transform(numbers, lambda i: F.get(listed, i))
 
 
 def tag_posting(title: Column, description: Column, vocabulary: Vocabulary = TECHNOLOGIES) -> Column:

@@ -57,39 +57,37 @@ def zone_term(c: Column, zone: str, zones: Mapping[str, Sequence[str]] = ZONES)
 def verdict(rules: Retention, title: Column, location: Column, mode: Column, tech: Column) -> Column:
     """struct<kept boolean, reason string, detail string>; empty strings where kept."""
     low = F.lower(text(title))
-    checks: list[tuple[Column, str, Column]] = []
+    rejects: list[Column] = []
 
-    excluded = first_contained(low, rules.title_exclude)
-    checks.append((excluded.isNotNull(), TITLE_EXCLUDED, excluded))
+    def reject(reason: str, value: Column, when, detail=lambda v: v) -> None:
+        """Reject where ``when`` says so of a value, which is computed once."""
+        rejects.append(V.let(value, lambda v: F.when(when(v), judged(F.lit(False), F.lit(reason), detail(v)))))
+
+    if rules.title_exclude:
+        reject(TITLE_EXCLUDED, first_contained(low, rules.title_exclude), Column.isNotNull)
     if rules.title_include:  # a list of blank terms includes nothing
-        checks.append((~any_contains(low, rules.title_include), TITLE_NOT_INCLUDED, text(title)))
+        reject(TITLE_NOT_INCLUDED, text(title), lambda _: ~any_contains(low, rules.title_include))
 
     has = lambda level: V.has_word(title, level_terms(level, rules.levels))
-    dropped = [F.when(has(level), F.lit(level)) for level in rules.seniority_drop]
-    if dropped:
-        checks.append((F.coalesce(*dropped).isNotNull(), SENIORITY, F.coalesce(*dropped)))
+    named = lambda levels: [F.when(has(level), F.lit(level)) for level in levels]
+    if rules.seniority_drop:
+        reject(SENIORITY, F.coalesce(*named(rules.seniority_drop)), Column.isNotNull)
     if rules.seniority_keep:
-        wanted = F.lit(False)
-        for level in rules.seniority_keep:
-            wanted = wanted | has(level)
-        seen = F.array_sort(F.filter(F.array(*[F.when(has(level), F.lit(level)) for level in rules.levels]), lambda x: x.isNotNull()))
-        checks.append((~wanted & (F.size(seen) > 0), SENIORITY, F.array_join(seen, ", ")))
+        seen = F.array_sort(F.array_compact(F.array(*named(rules.levels))))
+        wanted = F.coalesce(*named(rules.seniority_keep)).isNotNull()
+        reject(SENIORITY, F.when(~wanted, seen), lambda v: F.size(v) > 0, lambda v: F.array_join(v, ", "))
 
     if rules.require_any or rules.relocation_regions:
         both = F.concat(text(location), F.lit(" "), text(mode))
-        near = any_contains(F.lower(both), rules.require_any)
-        for zone in rules.relocation_regions:
-            near = near | V.has_word(both, zone_terms(zone, rules.zones))
-        checks.append((~near, LOCATION, F.when(text(location) != "", text(location)).otherwise(text(mode))))
+        terms = [t for zone in rules.relocation_regions for t in zone_terms(zone, rules.zones)]
+        where = F.when(text(location) != "", text(location)).otherwise(text(mode))
+        reject(LOCATION, where, lambda _: ~(any_contains(F.lower(both), rules.require_any) | V.has_word(both, terms)))
 
     wanted_tech = V.canonical(rules.tech_any, rules.vocabulary)
     if wanted_tech:
-        checks.append((~F.arrays_overlap(tech, F.array(*map(F.lit, wanted_tech))), TECH, F.lit(", ".join(sorted(wanted_tech)))))
+        reject(TECH, F.lit(", ".join(sorted(wanted_tech))), lambda _: ~F.arrays_overlap(tech, F.array(*map(F.lit, wanted_tech))))
 
-    out = judged(F.lit(True), F.lit(""), F.lit(""))
-    for hit, reason, detail in reversed(checks):
-        out = F.when(hit, judged(F.lit(False), F.lit(reason), detail)).otherwise(out)
-    return out
+    return F.coalesce(*rejects, judged(F.lit(True), F.lit(""), F.lit("")))
 
 
 def judged(kept: Column, reason: Column, detail: Column) -> Column:

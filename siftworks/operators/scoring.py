@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,20 +52,23 @@ def names_no_place(c: Column) -> Column:
 def geography(rules: Scoring, location: Column, mode: Column) -> Column:
     """struct<score int, category string, detail string>: the best category;
     among equal scores the first configured; the floor where none applies."""
-    options: list[Column] = []
+    keys = [k for k in rules.priorities if k not in (REMOTE_GLOBAL, DEFAULT)]
+    world = REMOTE_GLOBAL in rules.priorities
 
-    def option(when: Column, key: str, detail: Column, rank: int) -> Column:
-        return F.when(when, F.struct(F.lit(rules.priorities[key]).alias("score"), F.lit(-rank).alias("rank"), F.lit(key).alias("category"), detail.alias("detail")))
+    def option(rank: int, key: str, detail: Column) -> Column:
+        return F.struct(F.lit(rules.priorities.get(key, 0)).alias("score"), F.lit(-rank).alias("rank"), F.lit(key).alias("category"), detail.alias("detail"))
 
-    keys = [k for k in rules.priorities if k not in (REMOTE_GLOBAL, DEFAULT)]
-    if REMOTE_GLOBAL in rules.priorities:
-        options.append(option((text(mode) == REMOTE) & names_no_place(location), REMOTE_GLOBAL, F.lit(""), 0))
-    for i, key in enumerate(keys, 1):
-        term = zone_term(location, key.removesuffix(RELOCATION), rules.zones)
-        options.append(option(term.isNotNull(), key, term, i))
-    floor = F.struct(F.lit(rules.priorities.get(DEFAULT, 0)).alias("score"), F.lit(-len(options)).alias("rank"), F.lit(DEFAULT).alias("category"), F.lit("").alias("detail"))
-    best = F.array_max(F.filter(F.array(*options), lambda o: o.isNotNull())) if options else F.lit(None)
-    return F.coalesce(best, floor) if options else floor
+    floor = option(len(keys) + world, DEFAULT, F.lit(""))
+    applies = F.when((text(mode) == REMOTE) & names_no_place(location), option(0, REMOTE_GLOBAL, F.lit(""))) if world else F.lit(None)
+    if not keys:
+        return F.coalesce(applies, floor) if world else floor
+
+    def best(terms: Column) -> Column:
+        """Of the first terms of the zones, null where there is none."""
+        zones = [F.when(terms[i].isNotNull(), option(i + world, key, terms[i])) for i, key in enumerate(keys)]
+        return F.coalesce(F.array_max(F.array_compact(F.array(*([applies] * world), *zones))), floor)
+
+    return V.let(F.array(*[zone_term(location, key.removesuffix(RELOCATION), rules.zones) for key in keys]), best)
 
 
 def stack_of(rules: Scoring, tech: Column) -> Column:
@@ -74,27 +78,29 @@ def stack_of(rules: Scoring, tech: Column) -> Column:
     return F.filter(tech, lambda t: t.isin(*rules.points))
 
 
-def bonus_of(rules: Scoring, tech: Column) -> Column:
-    """Sum of the points of a posting's technologies, capped."""
+def bonus_of(rules: Scoring, stack: Column) -> Column:
+    """Sum of the points of a posting's stack, capped."""
     if not rules.points:
         return F.lit(0)
     points = F.create_map(*[F.lit(x) for kv in rules.points.items() for x in kv])
-    total = F.aggregate(stack_of(rules, tech), F.lit(0), lambda s, t: s + points[t])
+    total = F.aggregate(stack, F.lit(0), lambda s, t: s + points[t])
     return total if rules.cap is None else F.least(total, F.lit(rules.cap))
 
 
 def score(postings: DataFrame, rules: Scoring) -> DataFrame:
     """Postings with score, category, geo_detail, bonus and stack: a projection,
     no shuffle and no Python."""
-    geo = postings.withColumn("__geo", geography(rules, F.col("location"), F.col("remote_type")))
-    return (
-        geo.withColumn("bonus", bonus_of(rules, F.col("tech")))
-        .withColumn("stack", stack_of(rules, F.col("tech")))
-        .withColumn("score", F.col("__geo.score") + F.col("bonus"))
-        .withColumn("category", F.col("__geo.category"))
-        .withColumn("geo_detail", F.col("__geo.detail"))
-        .drop("__geo")
-    )
+    stack = V.let(stack_of(rules, F.col("tech")), lambda s: F.struct(s.alias("stack"), bonus_of(rules, s).alias("bonus")))
+    made = postings.withColumns({"__geo": geography(rules, F.col("location"), F.col("remote_type")), "__rate": stack})
+    return made.withColumns(
+        {
+            "bonus": F.col("__rate.bonus"),
+            "stack": F.col("__rate.stack"),
+            "score": F.col("__geo.score") + F.col("__rate.bonus"),
+            "category": F.col("__geo.category"),
+            "geo_detail": F.col("__geo.detail"),
+        }
+    ).drop("__geo", "__rate")
 
 
 def ranked(scored: DataFrame, *order: str) -> DataFrame:
@@ -103,20 +109,24 @@ def ranked(scored: DataFrame, *order: str) -> DataFrame:
     return scored.orderBy(F.col("score").desc(), instant(F.col("date")).desc_nulls_last(), *order)
 
 
-def positions(ranked_rows: DataFrame) -> DataFrame:
-    """Rows of a range sort with their ``position``, counted from 1.
+def positions(scored: DataFrame, *order: str) -> DataFrame:
+    """Scored rows with their ``position`` in the order of :func:`ranked`,
+    counted from 1.
 
-    A row's number inside its part of the sort, and the parts' running totals
-    (one row a part on the driver), give its position, so no task sees all
-    rows.  The sorted rows are kept, as both readings must see the same parts.
+    A row's number inside its part of the range sort, and the parts' running
+    totals (one row a part on the driver), give its position, so no task sees
+    all rows.  Scores are kept for the sort, which reads its input twice, and
+    the sorted rows, as both readings must see the same parts; on disk only.
     """
+    kept = scored.persist(StorageLevel.DISK_ONLY)
     # the upper bits are the part, the lower 33 the number in it
-    rows = ranked_rows.withColumn("__n", F.monotonically_increasing_id()).persist()
+    rows = ranked(kept, *order).withColumn("__n", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
     part = F.shiftright("__n", 33)
     before, total = [], 0
     for p, n in sorted(tuple(r) for r in rows.groupBy(part).count().collect()):
         before.append((p, total))
         total += n
+    kept.unpersist()
     table = F.broadcast(rows.sparkSession.createDataFrame(before, "__part long, __before long"))
     placed = rows.join(table, part == F.col("__part"))
     return placed.withColumn("position", F.col("__before") + F.col("__n").bitwiseAND(2**33 - 1) + 1).drop("__n", "__part", "__before")

@@ -59,6 +59,12 @@ def sql_geo(source: str) -> str:
   FROM (SELECT *, remote_type = 'remote' AND {sql_neutral("location")} AS world, {sql_zone("location", "asia")} AS asia, {sql_zone("location", "europe")} AS europe, {sql_zone("location", "france")} AS france FROM {source})"""
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str, samples_: list[tuple], schema: str) -> DataFrame:
+    """Rows of a table, each with one of a few samples (``k`` first) by its key."""
+    few = spark.createDataFrame(samples_, schema)
+    return table(spark, sf_dir, name).join(F.broadcast(few), F.col(key) % len(samples_) == F.col("k"))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n, r = (table(spark, sf_dir, x) for x in ("customer", "nation", "region"))
     rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -83,11 +89,13 @@ def geo_category_counts(spark, sf_dir):
     return scoring.category_counts(scoring.score(customers(spark, sf_dir), RATE), RATE)
 
 
-@query(f"WITH v AS (SELECT * FROM {sql_values(samples.LOCATIONS, 'k, location, remote_type')}), g AS ({sql_geo('v')}) SELECT k, geo AS score, category, geo_detail, {sql_neutral('location')} AS neutral FROM g")
+@query(f"WITH v AS (SELECT c_custkey, location || CASE WHEN c_custkey % 5 = 0 THEN ', ' || lower(c_mktsegment) ELSE '' END AS location, remote_type FROM customer JOIN {sql_values(samples.LOCATIONS, 'k, location, remote_type')} ON k = c_custkey % {len(samples.LOCATIONS)}), g AS ({sql_geo('v')}) SELECT c_custkey, geo AS score, category, geo_detail, {sql_neutral('location')} AS neutral FROM g")
 def remote_global_rule(spark, sf_dir):
-    """P12, G6 on awkward locations."""
-    rows = spark.createDataFrame(samples.LOCATIONS, "k int, location string, remote_type string").withColumn("tech", F.array().cast("array<string>"))
-    return scoring.score(rows, RATE).select("k", "score", "category", "geo_detail", scoring.names_no_place(F.col("location")).alias("neutral"))
+    """Customers with awkward locations."""
+    place = F.concat("location", F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit(", "), F.lower("c_mktsegment"))).otherwise(""))
+    rows = dealt(spark, sf_dir, "customer", "c_custkey", samples.LOCATIONS, "k int, location string, remote_type string")
+    rows = rows.withColumns({"location": place, "tech": F.array().cast("array<string>")})
+    return scoring.score(rows, RATE).select("c_custkey", "score", "category", "geo_detail", scoring.names_no_place(F.col("location")).alias("neutral"))
 
 
 TITLE_TAGS = "list_sort(list_filter([{}], lambda x: x IS NOT NULL))".format(", ".join(f"CASE WHEN {sql_word('title', t[0], 'A-Za-z0-9_+#', 'A-Za-z_+#')} THEN {sql_text(n)} END" for n, t in PARTS.items()))
@@ -113,17 +121,12 @@ ORDER = ("id", "ord1", "ord2", "ord3")
 RANKED_SQL = f"WITH {TAGGED_SQL}, g AS ({sql_geo('tagged')}), s AS (SELECT *, CAST(geo + least({SQL_POINTS}, 12) AS INTEGER) AS score FROM g)"
 
 
-@query(f"{RANKED_SQL} SELECT id, title, location, score, category, date FROM s ORDER BY s.score DESC, date DESC, id, ord1, ord2, ord3 LIMIT 100")
-def rank_total_order(spark, sf_dir):
-    """The first hundred of the final order."""
-    return scoring.ranked(scoring.score(tagged(spark, sf_dir), BONUS), *ORDER).select("id", "title", "location", "score", "category", "date").limit(100)
-
-
 @query(f"{RANKED_SQL} SELECT id, title, location, score, category, date, row_number() OVER (ORDER BY s.score DESC, date DESC NULLS LAST, id, ord1, ord2, ord3) AS position FROM s")
-def rank_positions(spark, sf_dir):
+def rank_total_order(spark, sf_dir):
     """Every posting with its place in the final order."""
-    rows = scoring.positions(scoring.ranked(scoring.score(tagged(spark, sf_dir), BONUS), *ORDER))
-    return rows.select("id", "title", "location", "score", "category", "date", "position")
+    shown = ("id", "title", "location", "score", "category", "date")
+    rows = scoring.score(tagged(spark, sf_dir), BONUS).select(*shown, *ORDER[1:])
+    return scoring.positions(rows, *ORDER).select(*shown, "position")
 
 
 @query(f"{RANKED_SQL}, t AS (SELECT id, s.score FROM s ORDER BY s.score DESC, date DESC, id, ord1, ord2, ord3 LIMIT 10) SELECT id, t.score AS score, CAST(greatest((SELECT count(*) FROM s) - 10, 0) AS BIGINT) AS more FROM t")
@@ -229,11 +232,11 @@ def tech_extract_docs(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(V.tag(F.col("text"), DOC_WORDS), ",").alias("tags"))
 
 
-@query(f"SELECT k, {sql_tags('blob', V.TECHNOLOGIES)} AS tags FROM {sql_values(samples.TECH_TEXTS, 'k, blob')}")
+@query(f"SELECT doc_id, {sql_tags('blob', V.TECHNOLOGIES)} AS tags FROM (SELECT doc_id, v.blob || chr(10) || coalesce(text, '') AS blob FROM documents JOIN {sql_values(samples.TECH_TEXTS, 'k, blob')} ON k = doc_id % {len(samples.TECH_TEXTS)})")
 def tech_extract_terms(spark, sf_dir):
-    """F12, F13 with the real vocabulary."""
-    rows = spark.createDataFrame(samples.TECH_TEXTS, "k int, blob string")
-    return rows.select("k", F.array_join(V.tag(F.col("blob")), ",").alias("tags"))
+    """F12, F13 with the real vocabulary over whole documents."""
+    rows = dealt(spark, sf_dir, "documents", "doc_id", samples.TECH_TEXTS, "k int, blob string")
+    return rows.select("doc_id", F.array_join(V.tag_posting(F.col("blob"), F.col("text")), ",").alias("tags"))
 
 
 # --- identity and dedup ----------------------------------------------------
@@ -245,11 +248,13 @@ def stable_id_slug(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", T.stable_id(F.lit("li"), F.col("s_name"), F.col("s_suppkey"), T.ascii_slug).alias("stable_id"))
 
 
-@query(f"SELECT k, slug FROM {sql_values([(i, s) for i, (_, s) in enumerate(samples.SLUGS)], 'k, slug')}")
+SQL_SLUG_OF = "trim(regexp_replace(lower(regexp_replace(strip_accents({}), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-')"
+
+
+@query(f"SELECT doc_id, {SQL_SLUG_OF.format('text')} AS slug FROM documents")
 def slug_unicode(spark, sf_dir):
-    """F15 on accents, ligatures and signs."""
-    rows = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(samples.SLUGS)], "k int, name string")
-    return rows.select("k", T.slug(F.col("name")).alias("slug"))
+    """F15 over documents of four languages."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.slug(F.col("text")).alias("slug"))
 
 
 CUTOFF = "2024-01-10"
@@ -301,10 +306,9 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def middle(spark: SparkSession, sf_dir: str) -> str:
-    """A cursor in the middle of the events: one aggregate row."""
-    row = table(spark, sf_dir, "events").agg(D.iso(F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("at")).first()
-    return row["at"]
+def middle(spark: SparkSession, sf_dir: str):
+    """A cursor in the middle of the events: a scalar subquery."""
+    return table(spark, sf_dir, "events").agg(D.iso(F.min("ts") + (F.max("ts") - F.min("ts")) / 2)).scalar()
 
 
 NEW_SQL = f"{ENTRIES_SQL}, {CURSOR_SQL}, new AS (SELECT ent.* FROM ent, cur WHERE (lastmod <> '' AND lastmod > cur.mark) OR (lastmod = '' AND pos % 3 <> 0))"
@@ -314,7 +318,7 @@ NEW_SQL = f"{ENTRIES_SQL}, {CURSOR_SQL}, new AS (SELECT ent.* FROM ent, cur WHER
 def incremental_select(spark, sf_dir):
     """O3."""
     rows = entries(spark, sf_dir)
-    return crawl.select_new(rows, F.lit(middle(spark, sf_dir)), rows.where("pos % 3 = 0")).select("loc", "lastmod", "pos")
+    return crawl.select_new(rows, middle(spark, sf_dir), rows.where("pos % 3 = 0")).select("loc", "lastmod", "pos")
 
 
 @query(f"WITH {NEW_SQL}, c AS (SELECT * FROM new WHERE NOT contains(lower(regexp_replace(split_part(loc, '/', -1), '[-_+]+', ' ', 'g')), 'error')), l AS (SELECT * FROM c ORDER BY lastmod, pos LIMIT 400) SELECT count(*) AS n, min(pos) AS low, max(pos) AS high, greatest(max(lastmod), (SELECT mark FROM cur)) AS cursor FROM l")
@@ -322,11 +326,11 @@ def cursor_advance_capped(spark, sf_dir):
     """The cap holds the cursor back."""
     at = middle(spark, sf_dir)
     rows = entries(spark, sf_dir)
-    new = crawl.select_new(rows, F.lit(at), rows.where("pos % 3 = 0"))
+    new = crawl.select_new(rows, at, rows.where("pos % 3 = 0"))
     found = crawl.candidates(new, crawl.Robots(), "/job/", exclude=("Error",))
     loaded = crawl.capped(found, 400)
     n = loaded.agg(F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"))
-    return n.crossJoin(crawl.advance(found, loaded, F.lit(at)))  # one row each
+    return n.crossJoin(crawl.advance(found, loaded, at))  # one row each
 
 
 @query("WITH k AS (SELECT url AS loc FROM pages WHERE page_id % 3 = 0), l AS (SELECT url AS loc FROM pages WHERE page_id % 4 = 1), t AS (SELECT url AS loc FROM pages WHERE page_id % 5 <> 2) SELECT loc FROM ((SELECT loc FROM k UNION SELECT loc FROM l) INTERSECT SELECT loc FROM t) ORDER BY loc LIMIT 5000")
@@ -340,10 +344,16 @@ ROBOTS = crawl.read_robots(samples.ROBOTS, "SiftBot/1.0")
 SQL_PATH = "coalesce(nullif(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), ''), '/') || CASE WHEN regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) <> '' THEN '?' || regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) ELSE '' END"
 
 
-@query(f"WITH p AS (SELECT page_id, {SQL_PATH} AS path FROM pages), r AS (SELECT * FROM {sql_values(samples.ROBOTS_RULES, 'kind, pattern, regex')}), m AS (SELECT page_id, kind, max(length(pattern)) AS len FROM p JOIN r ON regexp_matches(path, regex) GROUP BY page_id, kind) SELECT page_id, path, coalesce((SELECT len FROM m WHERE m.page_id = p.page_id AND kind = 'allow'), -1) >= coalesce((SELECT len FROM m WHERE m.page_id = p.page_id AND kind = 'disallow'), -1) AS allowed FROM p")
+ROBOTS_SQL = f"r AS (SELECT * FROM {sql_values(samples.ROBOTS_RULES, 'kind, pattern, regex')}), m AS (SELECT page_id, kind, max(length(pattern)) AS len FROM p JOIN r ON regexp_matches(url_decode(path), regex) GROUP BY page_id, kind) SELECT page_id, path, coalesce((SELECT len FROM m WHERE m.page_id = p.page_id AND kind = 'allow'), -1) >= coalesce((SELECT len FROM m WHERE m.page_id = p.page_id AND kind = 'disallow'), -1) AS allowed FROM p"
+
+
+@query(f"WITH p AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN replace({SQL_PATH}, 'n', '%6E') WHEN 1 THEN replace({SQL_PATH}, '/en/', '/en/a%20b+') WHEN 2 THEN {SQL_PATH} || '/caf%C3%A9' ELSE {SQL_PATH} END AS path FROM pages), {ROBOTS_SQL}")
 def robots_allow(spark, sf_dir):
-    """P10, P13, J5, G9."""
-    return table(spark, sf_dir, "pages").select("page_id", T.path_of(F.col("url")).alias("path"), crawl.allowed(F.col("url"), ROBOTS).alias("allowed"))
+    """Paths with and without escapes."""
+    path, turn = T.path_of(F.col("url")), F.col("page_id") % 4
+    odd = F.when(turn == 0, F.replace(path, F.lit("n"), F.lit("%6E"))).when(turn == 1, F.replace(path, F.lit("/en/"), F.lit("/en/a%20b+"))).when(turn == 2, F.concat(path, F.lit("/caf%C3%A9"))).otherwise(path)
+    rows = table(spark, sf_dir, "pages").select("page_id", odd.alias("path"))
+    return rows.select("page_id", "path", crawl.allowed(F.concat(F.lit("https://x.example.com"), F.col("path")), ROBOTS).alias("allowed"))
 
 
 SQL_SLUG = "lower(trim(regexp_replace(split_part(regexp_replace(url, '/+$', ''), '/', -1), '[-_+]+', ' ', 'g')))"
@@ -376,12 +386,6 @@ def derive_id(spark, sf_dir):
 # --- pages, HTML, JSON -----------------------------------------------------
 
 
-@query("SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages")
-def html_title(spark, sf_dir):
-    """A page's title, in the JVM."""
-    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title"))
-
-
 @query("SELECT page_id, replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&eacute;', 'é') AS html FROM pages")
 def entity_resolve(spark, sf_dir):
     """F19 on whole pages."""
@@ -394,16 +398,21 @@ def markup_detect(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.has_markup(F.col("text")).alias("markup"))
 
 
-@query()
-def html_to_text(spark, sf_dir):
-    """F4 on whole pages; tested against a reading of the parser's rules."""
-    return table(spark, sf_dir, "pages").select("page_id", T.html_to_text("html").alias("body"))
+#: Pages are read by rules that hold for their markup: entities once, a
+#: script's own tags kept, lines from block tags, single blank lines.
+SQL_BLOCKS = "|".join(sorted(T.BLOCK_TAGS))
+SQL_HTML = f"""
+WITH u AS (SELECT page_id, replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS h FROM pages),
+c AS (SELECT page_id, regexp_replace(regexp_replace(h, '<!--.*?-->', '', 'gs'), '<![A-Za-z][^>]*>', '', 'g') AS h FROM u),
+s AS (SELECT page_id, array_to_string(list_transform(string_split(h, '<script>'), lambda x: CASE WHEN contains(x, '</script>') THEN replace(split_part(x, '</script>', 1), '<', chr(1)) || substr(x, strpos(x, '</script>') + 9) ELSE x END), '') AS h FROM c),
+t AS (SELECT page_id, replace(replace(regexp_replace(regexp_replace(regexp_replace(h, '<li(\\s[^>]*)?>', chr(10) || '- ', 'gi'), '</?({SQL_BLOCKS})(\\s[^>]*)?/?>', chr(10), 'gi'), '</?[A-Za-z][^>]*>', '', 'g'), chr(1), '<'), chr(160), ' ') AS h FROM s)
+SELECT page_id, trim(regexp_replace(array_to_string(list_transform(string_split(h, chr(10)), lambda x: trim(x)), chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g'), chr(10)) AS body FROM t"""
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-def json_field(spark, sf_dir):
-    """JSON extraction."""
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+@query(SQL_HTML)
+def html_to_text(spark, sf_dir):
+    """F4 on whole pages."""
+    return table(spark, sf_dir, "pages").select("page_id", T.html_to_text("html").alias("body"))
 
 
 @query("SELECT doc_id, trim(regexp_replace(text, '[\\s]+', ' ', 'g')) AS flat FROM documents")
@@ -421,85 +430,190 @@ def join_locations(spark, sf_dir):
     return rows.select("r_name", T.join_distinct(twice).alias("joined"))
 
 
-@query(f"SELECT k, iso FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.DATES)], 'k, iso')}")
+#: What DuckDB says each way of writing a time is.
+DATES_READ = ("ts", "ts", "ts", "ts", "ts", "ts", "date_trunc('day', ts)", "ts", "NULL", "NULL")
+
+
+@query("SELECT event_id, coalesce(strftime(CASE event_id % 10 " + " ".join(f"WHEN {i} THEN {e}" for i, e in enumerate(DATES_READ)) + " END, '%Y-%m-%dT%H:%M:%S+00:00'), '') AS iso FROM events")
 def date_normalise(spark, sf_dir):
-    """F6."""
-    rows = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(samples.DATES)], "k int, raw string")
-    return rows.select("k", D.to_iso_utc(F.col("raw")).alias("iso"))
+    """the time of every event, written in ten ways."""
+    ts = F.col("ts")
+    written = (
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.concat(F.lit(" "), F.date_format(ts + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00 ")),
+        F.concat(F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0000")),
+        F.concat(F.date_format(ts - F.expr("INTERVAL 90 MINUTES"), "dd MMM yyyy HH:mm:ss"), F.lit(" -0130")),
+        F.floor(ts.cast("timestamp").cast("double")).cast("long").cast("string"),
+        F.floor(ts.cast("timestamp").cast("double") * 1000).cast("long").cast("string"),
+        F.date_format(ts, "yyyy-MM-dd"),
+        F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        F.date_format(ts, "yyyy"),
+        F.col("event_type"),
+    )
+    raw = F.get(F.array(*written), (F.col("event_id") % 10).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", D.to_iso_utc(raw).alias("iso"))
+
 
+SQL_MODE = "CASE " + " ".join(f"WHEN {sql_any([f'contains(lower(place), {sql_text(h)})' for h in hints])} THEN '{mode}'" for mode, hints in T.WORK_MODE_HINTS) + " ELSE 'unknown' END"
 
-@query(f"SELECT k, mode FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.MODES)], 'k, mode')}")
+
+@query(f"SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'hybrid' ELSE {SQL_MODE} END AS mode FROM (SELECT c_custkey, coalesce(v.place, '') || ', ' || c_mktsegment AS place FROM customer JOIN {sql_values([(i, o) for i, (o, _) in enumerate(samples.MODES)], 'k, place')} ON k = c_custkey % {len(samples.MODES)})")
 def remote_infer(spark, sf_dir):
-    """F7, F9."""
-    rows = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(samples.MODES)], "k int, place string")
-    return rows.select("k", T.work_mode(F.lit("unknown"), F.col("place")).alias("mode"))
+    """what a location hints at, unless a mode is given."""
+    rows = dealt(spark, sf_dir, "customer", "c_custkey", [(i, p) for i, (p, _) in enumerate(samples.MODES)], "k int, place string")
+    place = F.concat(T.text(F.col("place")), F.lit(", "), F.col("c_mktsegment"))
+    given = F.when(F.col("c_custkey") % 4 == 0, " hybrid ").when(F.col("c_custkey") % 4 == 1, "unknown").when(F.col("c_custkey") % 4 == 2, "office")
+    return rows.select("c_custkey", T.work_mode(given, place).alias("mode"))
+
 
+SQL_MODE_NAME = "CASE replace(replace(replace(lower(trim(raw)), '_', ''), '-', ''), ' ', '') " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in T.WORK_MODE_NAMES.items()) + " ELSE 'unknown' END"
 
-@query(f"SELECT k, mode FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.MODE_NAMES)], 'k, mode')}")
+
+@query(f"SELECT c_custkey, {SQL_MODE_NAME} AS mode FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN upper(v.raw) ELSE v.raw END AS raw FROM customer JOIN {sql_values([(i, o) for i, (o, _) in enumerate(samples.MODE_NAMES)], 'k, raw')} ON k = c_custkey % {len(samples.MODE_NAMES)})")
 def remote_normalise(spark, sf_dir):
     """F8."""
-    rows = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(samples.MODE_NAMES)], "k int, raw string")
-    return rows.select("k", T.normalise_work_mode(F.col("raw")).alias("mode"))
+    rows = dealt(spark, sf_dir, "customer", "c_custkey", [(i, r) for i, (r, _) in enumerate(samples.MODE_NAMES)], "k int, raw string")
+    raw = F.when(F.col("c_custkey") % 3 == 0, F.upper("raw")).otherwise(F.col("raw"))
+    return rows.select("c_custkey", T.normalise_work_mode(raw).alias("mode"))
 
 
-@query(f"SELECT * FROM {sql_values([(i, *o) for i, (_, o) in enumerate(samples.HEADLINES)], 'k, company, title, location')}")
+@query(
+    "SELECT c_custkey, CASE c_custkey % 6 WHEN 2 THEN '' ELSE c_name END AS company, "
+    "CASE c_custkey % 6 WHEN 2 THEN 'we want ' || c_mktsegment || ' people' ELSE lower(c_mktsegment) || ' engineer' END AS title, "
+    "CASE c_custkey % 6 WHEN 2 THEN '' WHEN 3 THEN 'ONSITE' WHEN 4 THEN '' ELSE n_name END AS location FROM customer JOIN nation ON n_nationkey = c_nationkey"
+)
 def hn_headline(spark, sf_dir):
-    """F27."""
-    rows = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(samples.HEADLINES)], "k int, head string")
-    return rows.select("k", T.headline(F.col("head")).alias("h")).select("k", "h.company", "h.title", "h.location")
+    """headlines put together from customers, read back."""
+    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    name, job, place = F.col("c_name"), F.concat(F.lower("c_mktsegment"), F.lit(" engineer")), F.col("n_name")
+    bar = lambda *parts: F.concat_ws(" | ", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    heads = F.array(
+        bar(name, job, place),
+        bar(F.concat(name, F.lit(" https://a.example.io -")), job, "Remote", "Full-time", place),
+        F.concat(F.lit("we want "), F.col("c_mktsegment"), F.lit(" people")),
+        bar(name, "", job, "", "ONSITE", "", "$100k"),
+        bar(name, job, "Full time", "120k-150k", "www.acme.io"),
+        bar(name, job, "contract", "REMOTE", F.repeat(place, F.lit(20)), place),
+    )
+    return rows.select("c_custkey", T.headline(F.get(heads, (F.col("c_custkey") % 6).cast("int"))).alias("h")).select("c_custkey", "h.company", "h.title", "h.location")
 
 
-@query(f"SELECT * FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.MOJIBAKE)], 'k, fixed')}")
+@query("SELECT doc_id, text AS fixed FROM documents")
 def mojibake_repair(spark, sf_dir):
-    """F28."""
-    rows = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(samples.MOJIBAKE)], "k int, raw string")
-    return rows.select("k", T.repair_mojibake("raw").alias("fixed"))
+    """documents read as Latin-1 by mistake are as they were."""
+    damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return table(spark, sf_dir, "documents").select("doc_id", T.repair_mojibake(damaged).alias("fixed"))
 
 
 # --- sources ---------------------------------------------------------------
 
 
-@query(f"SELECT * FROM {sql_values(samples.FEED_ROWS, 'source, id, company, title, location, remote_type, url, date, description')}")
+SQL_JOBS = """jobs AS (SELECT n_nationkey, n_name, c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_mktsegment END AS firm, TIMESTAMP '2026-09-05 10:20:30' + to_hours(CAST(c_custkey % 1000 AS BIGINT)) AS posted
+  FROM customer JOIN nation ON n_nationkey = c_nationkey)"""
+SQL_AT = "strftime(posted, '%Y-%m-%dT%H:%M:%S+00:00')"
+SQL_BODY = "c_name || chr(10) || chr(10) || '- ' || n_name"
+
+
+@query(
+    f"WITH {SQL_JOBS} SELECT 'remotive' AS source, CAST(c_custkey AS VARCHAR) AS id, firm AS company, c_name AS title, n_name AS location, 'remote' AS remote_type, 'https://m/' || c_custkey AS url, {SQL_AT} AS date, {SQL_BODY} AS description FROM jobs WHERE firm <> '' "
+    f"UNION ALL SELECT 'greenhouse', CAST(c_custkey AS VARCHAR), n_name, c_name, n_name || ' (Hybrid)', 'hybrid', 'https://boards.greenhouse.io/' || lower(n_name) || '/jobs/' || c_custkey, {SQL_AT}, {SQL_BODY} FROM jobs "
+    f"UNION ALL SELECT 'himalayas', 'dev-' || c_custkey, firm, c_name, n_name || CASE WHEN n_nationkey = 0 THEN '' ELSE '; NATION_0' END, 'remote', 'https://h/jobs/dev-' || c_custkey || '/', {SQL_AT}, {SQL_BODY} FROM jobs WHERE firm <> '' "
+    f"UNION ALL SELECT 'weworkremotely', 'dev-' || c_custkey, firm, c_name, n_name, 'remote', 'https://w/jobs/dev-' || c_custkey || '/', {SQL_AT}, {SQL_BODY} FROM jobs WHERE firm <> ''"
+)
 def feeds_parsed(spark, sf_dir):
-    """One payload of each feed, the rows without a problem."""
+    """Feeds made of the customers of each nation, read back."""
+    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    at = F.to_timestamp(F.lit("2026-09-05 10:20:30")) + F.make_interval(hours=(F.col("c_custkey") % 1000).cast("int"))
+    firm = F.when(F.col("c_custkey") % 7 == 0, " ").otherwise(F.col("c_mktsegment"))
+    key, place, name = F.col("c_custkey"), F.col("n_name"), F.col("c_name")
+    html = F.concat(F.lit("<p>"), name, F.lit("</p><ul><li>"), place, F.lit("</li></ul>"))
+    body = F.regexp_replace(html, "</p><ul>", "<ul>")  # one line break between the two
+    stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+
+    def entry(**fields):
+        return F.to_json(F.struct(*[(v if not isinstance(v, str) else F.lit(v)).alias(k) for k, v in fields.items()]))
+
+    link = lambda top: F.concat(F.lit(top), key.cast("string"))
+    item = F.concat(F.lit("<item><title>"), F.when(F.trim(firm) == "", F.lit("")).otherwise(F.concat(firm, F.lit(": "))), name, F.lit("</title><link>"), link("https://w/jobs/dev-"), F.lit("/</link><region>"), place, F.lit("</region><pubDate>"), F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate><description>"), F.replace(F.replace(body, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit("</description></item>"))
+    made = {
+        "remotive": (entry(id=key, title=F.concat(F.lit(" "), name), company_name=firm, candidate_required_location=place, url=link("https://m/"), publication_date=stamp, description=body), '{"jobs": [', "]}"),
+        "greenhouse": (entry(id=key, title=name, location=F.struct(F.concat(place, F.lit(" (Hybrid)")).alias("name")), absolute_url="", first_published=F.concat(stamp, F.lit("Z")), content=F.replace(body, F.lit("<"), F.lit("&lt;"))), '{"jobs": [', "]}"),
+        "himalayas": (entry(guid=F.concat(link("https://h/jobs/dev-"), F.lit("/")), title=name, companyName=firm, locationRestrictions=F.array(place, F.lit("NATION_0")), pubDate=F.unix_seconds(at), description=body), '{"jobs": [', "]}"),
+        "weworkremotely": (item, "<rss><channel>", "</channel></rss>"),
+    }
     out = None
-    for i, (name, payload) in enumerate(samples.PAYLOADS.items()):
-        raw = spark.createDataFrame([(i, name, "Acme", "acme", 1, payload)], "source_ord int, source string, company string, token string, page int, payload string")
-        rows = feeds.parse(raw, name).where("problem IS NULL").select(samples.FEED_COLUMNS)
-        out = rows if out is None else out.unionByName(rows)
+    for i, (feed, (text, before, after)) in enumerate(made.items()):
+        joined = F.array_join(F.collect_list(text), "," if before[0] == "{" else "")
+        raw = rows.groupBy("n_name").agg(F.concat(F.lit(before), joined, F.lit(after)).alias("payload"))
+        raw = raw.select(F.lit(i).alias("source_ord"), F.lit(feed).alias("source"), F.col("n_name").alias("company"), F.lower("n_name").alias("token"), F.lit(1).alias("page"), "payload")
+        got = feeds.parse(raw, feed).where("problem IS NULL").select(samples.FEED_COLUMNS)
+        out = got if out is None else out.unionByName(got)
     return out
 
 
-@query(f"SELECT * FROM {sql_values(samples.PAGE_ROWS, 'id, source, company, title, location, remote_type, url, date, description')}")
+@query("SELECT 'p' || c_custkey AS id, 'pages' AS source, c_name AS company, lower(c_mktsegment) || ' engineer' AS title, n_name || ', ' || r_name AS location, CASE WHEN c_custkey % 2 = 0 THEN 'remote' ELSE 'unknown' END AS remote_type, 'https://p/jobs/' || c_custkey AS url, '2026-09-05T00:00:00+00:00' AS date, 'Type de contrat : temps plein (FULL_TIME)' || chr(10) || chr(10) || n_name AS description FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0")
 def job_pages(spark, sf_dir):
-    """S18, F22, F23."""
-    pages = spark.createDataFrame(samples.JOB_PAGES, "url string, html string")
-    return jobpages.parse_pages(pages, "pages")
+    """A page of each customer; some have broken data, some
+    no company."""
+    c, n, r = (table(spark, sf_dir, x) for x in ("customer", "nation", "region"))
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("c_custkey")
+    posting = F.to_json(F.struct(
+        F.array(F.lit("Thing"), F.lit("jobPosting")).alias("@type"),
+        F.struct(F.concat(F.lit("p"), key.cast("string")).alias("value")).alias("identifier"),
+        F.concat(F.lower("c_mktsegment"), F.lit(" engineer ")).alias("title"),
+        F.array(F.struct(F.lit("").alias("name")), F.struct(F.when(key % 7 != 0, F.col("c_name")).alias("name"))).alias("hiringOrganization"),
+        F.struct(F.struct(F.col("n_name").alias("addressLocality"), F.col("r_name").alias("addressCountry")).alias("address")).alias("jobLocation"),
+        F.when(key % 2 == 0, "telecommute").alias("jobLocationType"),
+        F.lit("2026-09-05").alias("datePosted"),
+        F.lit("full-time").alias("employmentType"),
+        F.concat(F.lit("<p>"), F.col("n_name"), F.lit("</p>")).alias("description"),
+    ))
+    graph = F.concat(F.lit('{"@graph": [{"@type": "WebSite"}, ['), posting, F.lit("]]}"))
+    data = F.when(key % 5 == 0, F.substring(graph, 1, 60)).when(key % 5 == 1, graph).otherwise(posting)
+    script = F.concat(F.lit('<html><script type="application/ld+json">{broken</script><SCRIPT id=x type=\'application/ld+json\'>'), data, F.lit("</SCRIPT></html>"))
+    return jobpages.parse_pages(rows.select(F.concat(F.lit("https://p/jobs/"), key.cast("string")).alias("url"), script.alias("html")), "pages")
+
+
+SQL_HEALTH = "SELECT n_nationkey, CASE WHEN n_nationkey % 4 = 0 THEN (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) ELSE 0 END AS n_rows, CASE n_nationkey % 4 WHEN 0 THEN 'ok' WHEN 2 THEN 'failed' ELSE 'empty' END AS state FROM nation"
+
+
+@query(SQL_HEALTH)
+def source_health(spark, sf_dir):
+    """Nations as sources; one in four answers, one is empty, one
+    is broken and one does not come at all."""
+    n, c = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    jobs = c.groupBy("c_nationkey").agg(F.to_json(F.collect_list(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("company_name")))).alias("jobs"))
+    turn = F.col("n_nationkey") % 4
+    rows = n.where(turn != 3).join(jobs, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    payload = F.when(turn == 0, F.concat(F.lit('{"jobs": '), F.col("jobs"), F.lit("}"))).when(turn == 1, '{"jobs": []}').when(F.col("n_nationkey") % 8 == 2, "<html>").otherwise('{"jobs": 3}')
+    raw = rows.select(F.col("n_nationkey").alias("source_ord"), F.lit("remotive").alias("source"), F.col("n_name").alias("company"), F.lit("").alias("token"), F.lit(1).alias("page"), payload.alias("payload"))
+    reg = n.select(F.col("n_nationkey").alias("source_ord"))
+    return feeds.health(reg, feeds.parse_json_feed(raw, "remotive")).select(F.col("source_ord").alias("n_nationkey"), "n_rows", "state")
 
 
-@query(f"SELECT v.name, v.n_rows, v.state FROM {sql_values(samples.HEALTH, 'name, n_rows, state')}")
-def source_health(spark, sf_dir):
-    """Sources without rows are there too."""
-    reg = spark.createDataFrame([(i, n) for i, (n, *_) in enumerate(samples.HEALTH)], "source_ord int, name string")
-    raw = spark.createDataFrame([(i, n, "Acme", "acme", 1, p) for i, (n, p) in enumerate(samples.HEALTH_PAYLOADS) if p is not None], "source_ord int, source string, company string, token string, page int, payload string")
-    return feeds.health(reg, feeds.parse_json_feed(raw, "remotive")).select("name", F.col("n_rows").cast("int").alias("n_rows"), "state")
+FEED_NAMES = [*registry.CAPABILITIES, "nobody"]
+SQL_LIMITS = sql_values([(i, n, registry.CAPABILITIES[n].calls_per_day if n in registry.CAPABILITIES else None, n in registry.CAPABILITIES, n in registry.CAPABILITIES and registry.CAPABILITIES[n].needs_token) for i, n in enumerate(FEED_NAMES)], "k, feed, calls, known, needs_token")
 
 
-@query(f"SELECT feed, CASE WHEN feed IN ('remotive', 'japandev') THEN 'slow' WHEN known THEN 'fast' END AS cadence FROM {sql_values([(n, True) for n in registry.CAPABILITIES] + [('nobody', False)], 'feed, known')}")
+@query(f"SELECT s_suppkey, feed, CASE WHEN calls < 96 THEN 'slow' WHEN known THEN 'fast' END AS cadence FROM supplier JOIN {SQL_LIMITS} ON k = s_suppkey % {len(FEED_NAMES)}")
 def cadence_split(spark, sf_dir):
-    """S24, J8."""
-    rows = spark.createDataFrame([(n,) for n in [*registry.CAPABILITIES, "nobody"]], "feed string")
-    return rows.select("feed", registry.cadence_column(F.col("feed")).alias("cadence"))
+    """Suppliers as sources."""
+    rows = dealt(spark, sf_dir, "supplier", "s_suppkey", list(enumerate(FEED_NAMES)), "k int, feed string")
+    return rows.select("s_suppkey", "feed", registry.cadence_column(F.col("feed")).alias("cadence"))
 
 
-@query(f"SELECT k, problem FROM {sql_values([(i, p) for i, (*_, p) in enumerate(samples.REGISTRY)], 'k, problem')}")
+@query(f"SELECT s_suppkey, CASE WHEN name IS NULL OR name = '' THEN 'nom' WHEN feed IS NULL THEN 'ats' WHEN NOT known THEN 'unknown' WHEN needs_token AND coalesce(token, '') = '' THEN 'token' END AS problem FROM (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE s_name END AS name, CASE WHEN s_suppkey % 7 <> 0 THEN feed END AS feed, known, needs_token, CASE s_suppkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE s_name END AS token FROM supplier JOIN {SQL_LIMITS} ON k = s_suppkey % {len(FEED_NAMES)})")
 def registry_problems(spark, sf_dir):
-    """S22."""
-    rows = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(samples.REGISTRY)], "k int, name string, feed string, token string")
-    return rows.select("k", registry.problem_column(F.col("name"), F.col("feed"), F.col("token")).alias("problem"))
+    """Suppliers as registry entries, some without a part."""
+    rows = dealt(spark, sf_dir, "supplier", "s_suppkey", list(enumerate(FEED_NAMES)), "k int, feed string")
+    key, own = F.col("s_suppkey"), F.col("s_name")
+    name = F.when(key % 5 == 1, "").when(key % 5 != 0, own)
+    token = F.when(key % 3 == 1, "").when(key % 3 != 0, own)
+    return rows.select("s_suppkey", registry.problem_column(name, F.when(key % 7 != 0, F.col("feed")), token).alias("problem"))
 
 
-@query(f"SELECT count_if(state = 'ok') AS n_ok, count_if(state = 'empty') AS n_empty, count_if(state = 'failed') AS n_failed, count(*) > 0 AND bool_and(state = 'failed') AS all_failed FROM {sql_values(samples.HEALTH, 'name, n_rows, state')}")
+@query(f"SELECT count_if(state = 'ok') AS n_ok, count_if(state = 'empty') AS n_empty, count_if(state = 'failed') AS n_failed, count(*) > 0 AND bool_and(state = 'failed') AS all_failed FROM ({SQL_HEALTH})")
 def run_totals(spark, sf_dir):
     """G3."""
     return feeds.run_totals(source_health(spark, sf_dir))
@@ -509,7 +623,7 @@ def run_totals(spark, sf_dir):
 def crawl_run(spark, sf_dir):
     """The crawl as a whole: O3 to O7, T3, T8."""
     rows = entries(spark, sf_dir)
-    got = crawl.run(rows, rows.where("pos % 3 = 0"), F.lit(middle(spark, sf_dir)), crawl.Robots(), "/job/", exclude=("error",), cap=400)
+    got = crawl.run(rows, rows.where("pos % 3 = 0"), middle(spark, sf_dir), crawl.Robots(), "/job/", exclude=("error",), cap=400)
     return got["cursor"].crossJoin(got["known"].agg(F.count("*").alias("n_known"), F.max("loc").alias("last_known")))  # one row each
 
 
@@ -574,19 +688,46 @@ def issue_title(spark, sf_dir):
     return docs.select("doc_id", publication.card_title(F.col("source"), F.col("text")).alias("title"), publication.short_title(F.col("text")).alias("short"))
 
 
-@query(f"SELECT * FROM {sql_values([(i, o) for i, (_, o) in enumerate(samples.LINKS)], 'k, link')}")
-def link_markdown(spark, sf_dir):
-    """F33."""
-    rows = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(samples.LINKS)], "k int, url string")
-    return rows.select("k", publication.link(F.col("url")).alias("link"))
+SQL_INERT = "regexp_replace(regexp_replace(trim(regexp_replace({0}, '\\s+', ' ', 'g')), '([\\\\`*_\\[\\]<>~&|])', '\\\\\\1', 'g'), '([@#])([\\p{{L}}\\p{{N}}_])', '\\1' || chr(8288) || '\\2', 'g')"
 
 
-@query(f"SELECT {sql_text(samples.CARD)} AS card, 'li:big-corp:a--b c' AS stable_id")
+@query(f"SELECT page_id, CASE WHEN page_id % 4 = 0 THEN {SQL_INERT.format("'ftp:' || url")} WHEN page_id % 4 = 1 THEN {SQL_INERT.format("url || '<b>'")} ELSE '[' || {SQL_INERT.format("lower(regexp_extract(url, '^https?://([^/?#:]+)', 1))")} || '](<' || replace(url, ' ', '%20') || CASE WHEN page_id % 4 = 2 THEN '/a%20b' ELSE '' END || '>)' END AS link FROM pages")
+def link_markdown(spark, sf_dir):
+    """page addresses, some not for a click."""
+    url, turn = F.col("url"), F.col("page_id") % 4
+    odd = F.when(turn == 0, F.concat(F.lit("ftp:"), url)).when(turn == 1, F.concat(url, F.lit("<b>"))).when(turn == 2, F.concat(F.lit(" "), url, F.lit("/a b "))).otherwise(url)
+    return table(spark, sf_dir, "pages").select("page_id", publication.link(odd).alias("link"))
+
+
+SQL_CARD = f"""SELECT c_custkey, 'li:' || lower(c_mktsegment) || ':' || c_custkey || '--x y' AS stable_id,
+  '**Entreprise** : ' || {SQL_INERT.format('c_name')} || '  ' || chr(10)
+  || '**Poste** : ' || {SQL_INERT.format("lower(c_mktsegment) || ' @home'")} || '  ' || chr(10)
+  || '**Localisation** : ' || {SQL_INERT.format('n_name')} || CASE WHEN c_custkey % 3 = 0 THEN ' · hybride' ELSE '' END || '  ' || chr(10)
+  || '**Score** : ' || (c_custkey % 100) || CASE WHEN c_custkey % 2 = 0 THEN ' — ' || {SQL_INERT.format('r_name')} ELSE '' END || '  ' || chr(10)
+  || CASE WHEN c_custkey % 4 = 0 THEN '' ELSE '**Tech** : Go, C#  ' || chr(10) END
+  || '**Lien ATS** : [b.example.io](<https://b.example.io/' || c_custkey || '>)  ' || chr(10)
+  || '**Publiée le** : 2026-09-05  ' || chr(10) || '**Source** : li  ' || chr(10) || chr(10)
+  || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '---' || chr(10) || chr(10) || '**Description**' || chr(10) || chr(10) || '\\# ' || {SQL_INERT.format('n_name')} || chr(10) || chr(10) || {SQL_INERT.format("c_name || ' & more'")} || chr(10) || chr(10) END
+  || '<!-- posting:id=li:' || lower(c_mktsegment) || ':' || c_custkey || '-%2Dx%20y -->' || chr(10) AS card
+FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"""
+
+
+@query(SQL_CARD)
 def card_markdown(spark, sf_dir):
-    """A whole card, and the id read back from it."""
-    rows = spark.createDataFrame([samples.CARD_ROW], samples.CARD_SCHEMA)
-    cards = rows.select(publication.card_body({c: F.col(c) for c in rows.columns}).alias("card"))
-    return cards.select("card", publication.marked_id(F.col("card")).alias("stable_id"))
+    """A card of each customer, and the id read back."""
+    c, n, r = (table(spark, sf_dir, x) for x in ("customer", "nation", "region"))
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("c_custkey")
+    post = {
+        "company": F.col("c_name"), "title": F.concat(F.lower("c_mktsegment"), F.lit(" @home")), "location": F.col("n_name"),
+        "remote_type": F.when(key % 3 == 0, "hybrid").otherwise("none"), "score": key % 100, "reason": F.when(key % 2 == 0, F.col("r_name")).otherwise(""),
+        "tech": F.when(key % 4 == 0, F.array(F.lit(" "))).otherwise(F.array(F.lit("Go"), F.lit(""), F.lit("C#"))),
+        "url": F.concat(F.lit("https://b.example.io/"), key.cast("string")), "date": F.lit("2026-09-05T10:20:30+00:00"), "source": F.lit("li"),
+        "description": F.when(key % 5 == 0, " ").otherwise(F.concat(F.lit("# "), F.col("n_name"), F.lit("\n \n"), F.col("c_name"), F.lit(" & more"))),
+        "stable_id": F.concat(F.lit("li:"), F.lower("c_mktsegment"), F.lit(":"), key.cast("string"), F.lit("--x y")),
+    }
+    cards = rows.select("c_custkey", publication.card_body(post).alias("card"))
+    return cards.select("c_custkey", "card", publication.marked_id(F.col("card")).alias("stable_id"))
 
 
 @query(f"{RANKED_SQL}, j AS (SELECT *, {sql_verdict(*R_TITLE, *R_LEVEL)} FROM s) SELECT id, ord1, ord2, ord3, CASE WHEN kept THEN '' WHEN detail = '' THEN reason ELSE reason || ' (' || detail || ')' END AS rejection, category || CASE WHEN geo_detail = '' THEN '' ELSE ' (' || geo_detail || ')' END || CASE WHEN {SQL_STACK} = '' THEN '' ELSE ' · stack +' || CAST(least({SQL_POINTS}, 12) AS INTEGER) || ' (' || replace({SQL_STACK}, ',', ', ') || ')' END AS rating FROM j")

@@ -114,13 +114,16 @@ Disallow: /en/
 Disallow: /*?page=
 Allow: /en/8
 Disallow: /*ref=x$
+Allow: /e%6E/7
+Allow: /en/a%20b+
+Disallow: /*/caf%c3%a9
 Crawl-delay: x
 Crawl-delay: 2.5
 
 Sitemap: https://x.example.com/sitemap.xml
 """
 #: kind, pattern, regex for an engine without look-around.
-ROBOTS_RULES = [("disallow", "/en/", "^/en/"), ("disallow", "/*?page=", "^/.*\\?page="), ("allow", "/en/8", "^/en/8"), ("disallow", "/*ref=x$", "^/.*ref=x$")]
+ROBOTS_RULES = [("disallow", "/en/", "^/en/"), ("disallow", "/*?page=", "^/.*\\?page="), ("allow", "/en/8", "^/en/8"), ("disallow", "/*ref=x$", "^/.*ref=x$"), ("allow", "/e%6E/7", "^/en/7"), ("allow", "/en/a%20b+", "^/en/a b\\+"), ("disallow", "/*/caf%c3%a9", "^/.*/café")]
 
 FEED_COLUMNS = ["source", "id", "company", "title", "location", "remote_type", "url", "date", "description"]
 
