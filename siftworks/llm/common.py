@@ -17,7 +17,7 @@ from siftworks.session import ship_package
 #: ASCII white space as the word rule counts it: space and U+0009..U+000D.
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["LETTERS", "NUMBERS", "SPACES", "WORD_REGEX", "LatinCutter", "PieceLists", "discard", "hold", "materialise", "shared_dir", "ship_package", "slices", "tables", "text_of", "text_source", "with_outputs", "word_count", "work_dir"]
+__all__ = ["LETTERS", "NUMBERS", "SPACES", "WORD_REGEX", "LatinCutter", "PieceLists", "discard", "hold", "materialise", "shared_dir", "ship_package", "slices", "starts_of", "tables", "text_of", "text_source", "with_outputs", "word_count", "work_dir"]
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
@@ -80,6 +80,29 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD_REGEX)).cast("long")
 
 
+def starts_of(lengths: Column, block: int = 256) -> Column:
+    """Where each of a row of parts begins: the running totals of an array of
+    lengths, each without its own.
+
+    Arrays that grow inside ``aggregate`` are copied at each step, so totals
+    are taken in blocks, and over the blocks.
+    """
+    zero = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<bigint>").alias("starts"))
+    zeros = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<array<bigint>>").alias("parts"))
+
+    def within(part: Column) -> Column:
+        return F.aggregate(part, zero, lambda s, x: F.struct((s["total"] + x).alias("total"), F.concat(s["starts"], F.array(s["total"])).alias("starts")))
+
+    def over(s: Column, part: Column) -> Column:
+        moved = F.transform(part["starts"], lambda at: at + s["total"])
+        return F.struct((s["total"] + part["total"]).alias("total"), F.concat(s["parts"], F.array(moved)).alias("parts"))
+
+    longs = F.transform(lengths, lambda x: x.cast("long"))
+    firsts = F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), F.lit(block))
+    parts = F.transform(firsts, lambda k: within(F.slice(longs, k, F.lit(block))))
+    return F.flatten(F.aggregate(parts, zeros, over)["parts"])
+
+
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -39,6 +39,9 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The public model has merge ranks and no probabilities: counts are those
+    of a unigram model over its pieces with scores by a Zipf law of the rank,
+    and of no published tokenizer."""
     return viterbi.count_pieces(tables(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 

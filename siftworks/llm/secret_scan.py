@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import text_of, work_dir
+from siftworks.llm.common import starts_of, text_of, work_dir
 
 #: Changes with every change of RULES: older findings are then not reused.
 RULE_VERSION = 1
@@ -41,17 +41,20 @@ def rule_findings(text: Column, number: int, kind: str, pattern: str, group: int
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(FINDINGS).alias("found"))
-    pairs = F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
+    lengths = F.zip_with(gaps, matches, lambda g, m: F.length(g) + F.coalesce(F.length(m), F.lit(0)))
+    ends = F.zip_with(starts_of(lengths), lengths, lambda at, n: at + n)
 
-    def step(s: Column, p: Column) -> Column:
-        start = s["at"] + F.length(p["gap"])
-        end = start + F.length(F.coalesce(p["match"], F.lit("")))
-        size = F.length(p["match"]) if group == 0 else F.length(F.regexp_extract(p["match"], pattern, group))
-        found = F.struct(start.cast("long").alias("start"), F.lit(number).alias("rule"), F.lit(kind).alias("kind"), end.cast("long").alias("end"))
-        return F.struct(end.cast("long").alias("at"), F.when(p["match"].isNotNull() & (size >= least), F.concat(s["found"], F.array(found))).otherwise(s["found"]).alias("found"))
+    def finding(match: Column, end: Column) -> Column:
+        start = end - F.length(match)
+        return F.struct(start.alias("start"), F.lit(number).alias("rule"), F.lit(kind).alias("kind"), end.alias("end"), match.alias("match"))
 
-    return F.when(text.rlike(pattern), F.aggregate(pairs, zero, step)["found"]).otherwise(F.array().cast(FINDINGS))
+    def fits(f: Column) -> Column:
+        size = F.length(f["match"]) if group == 0 else F.length(F.regexp_extract(f["match"], pattern, group))
+        return f["match"].isNotNull() & (size >= least)
+
+    found = F.filter(F.zip_with(matches, ends, finding), fits)
+    plain = F.transform(found, lambda f: F.struct(*[f[k].alias(k) for k in ("start", "rule", "kind", "end")]))
+    return F.when(text.rlike(pattern), plain).otherwise(F.array().cast(FINDINGS))
 
 
 def findings(text: Column, rules=RULES) -> Column:

@@ -244,6 +244,35 @@ def test_op5_ties_follow_the_tokenizer():
             assert c.word(word)[1] == len(t.encode(word).ids)
 
 
+def test_op5_best_score_by_brute_force():
+    """The greatest sum over all segmentations, and its pieces."""
+    rng = random.Random(5)
+    for _ in range(150):
+        pieces = {"<unk>": -9.5} | {"".join(rng.choice("ab") for _ in range(rng.randrange(1, 4))): -rng.random() * 4 for _ in range(6)}
+        counter = viterbi.PieceCounter(list(pieces.items()))
+        word = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 9)))
+
+        def best(at, pieces=pieces, word=word, unknown=counter.unknown):
+            if at == len(word):
+                return 0.0, 0
+            steps = [(pieces[word[at:e]], e, 1) for e in range(at + 1, len(word) + 1) if word[at:e] in pieces]
+            if word[at] not in pieces:
+                steps.append((unknown, at + 1, 1))
+            return max(((s + best(e)[0], n + best(e)[1]) for s, e, n in steps), key=lambda x: x[0])
+
+        got = counter.word(word)
+        assert got[0] == pytest.approx(best(0)[0]) and got[1] == best(0)[1]
+
+
+def test_op5_edges(spark):
+    file = tokenizer_file("piece_bpe_32k.model")
+    assert viterbi.count_pieces(docs(spark, []), file).count() == 0
+    rows = spark.createDataFrame([(None, "a b", 1), (None, "a b", 1), (3, None, 1), (3, "", 1)], "doc_id long, text string, n_pieces int")
+    got = viterbi.count_pieces(rows, file)
+    assert got.columns == ["doc_id", "n_pieces", "best_score"]
+    assert sorted(((r["doc_id"], r["n_pieces"]) for r in got.collect()), key=repr) == [(3, 0), (3, 0), (None, 2), (None, 2)]
+
+
 # --- 7 -----------------------------------------------------------------------
 
 

@@ -323,6 +323,30 @@ def test_op9_spans_by_brute_force(spark, data_dir):
     assert any("jwt:" in r["all"] and "pem:" in r["all"] for r in rows)
 
 
+def test_op9_many_findings_in_one_text(spark):
+    """More than a block of running totals, by brute force."""
+    rng = random.Random(3)
+    text = " é ".join(rng.choice(["token=abcdefgh1", "AKIA" + "A" * 14, "0" * rng.randrange(28, 40), "plain"]) for _ in range(3000))
+    row = secret_scan.scan_secrets(secret_docs(spark, [text])).select(secret_scan.spans(F.col("found"), secret_scan.BASE).alias("s")).first()
+    assert row["s"] == ",".join(base_spans(text))
+
+
+def test_op9_plan_is_native(spark):
+    rows = secret_scan.paths_of(secret_docs(spark), "doc_id", "text").withColumn("found", secret_scan.findings(F.col("text")))
+    plan = rows._jdf.queryExecution().executedPlan().toString() + secret_scan.scan_secrets(secret_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_running_totals(spark):
+    from siftworks.llm.common import starts_of
+
+    lists = [[], [5], list(range(1, 700)), [0, 0, 3], None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "k int, x array<int>")
+    for block in (3, 256):
+        got = {r["k"]: r["s"] for r in rows.select("k", starts_of(F.col("x"), block).alias("s")).collect()}
+        assert [got[i] for i in range(4)] == [[sum(x[:j]) for j in range(len(x))] for x in lists[:4]]
+
+
 def test_op9_ledger_scans_each_pair_once(spark):
     first = secret_docs(spark, SECRETS[:4] + SECRETS[:2])
     ledger = secret_scan.update_ledger(first)
@@ -481,6 +505,55 @@ def test_components_of_long_paths(spark):
 # --- pipeline ------------------------------------------------------------------
 
 
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def stage_inputs(spark, rows, path):
+    spark.createDataFrame(rows, DOCS).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
+    """Nulls in every column, empty texts, repeated ids and rows, a long text,
+    ids that unlike texts share, extra columns with clashing names."""
+    import corpus_pipeline as p
+
+    rng = random.Random(17)
+    stock = ["".join(rng.choice("bcdfgklmnprstvaeiou") for _ in range(rng.randrange(2, 9))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choice(stock) for _ in range(n))
+    a, b, c, leak = prose(200), prose(150), prose(120), prose(30)
+    rows = [(1, a, "en", "s", 9), (1, a, "en", "s", 9), (1, b, "en", "s", 9), (None, c, None, None, None), (None, c, None, None, None), (None, None, None, None, None), (2, "", "en", "s", 0), (3, " \n", None, "t", 2), (4, a + " end", "en", "s", 9), (5, prose(60) + " " + leak + " " + prose(60), "en", "t", 9), (6, prose(20_000), "en", "t", 9), (7, "same words again " * 100, "en", "t", 9)]
+    spark.createDataFrame([(1, leak), (None, "x"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = stage_inputs(spark, rows, f"{tmp_path}/d0").withColumns({"kept": F.lit("x"), "fp": F.lit("y"), "position": F.lit(1), "leaked": F.lit("z")})
+    kept = p.quality_rules(spark, docs, str(tmp_path))
+    assert kept.columns == p.COLUMNS
+    left = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert left == sorted([(1, a), (1, a), (1, b), (None, c), (None, c), (4, a + " end"), (5, rows[9][1]), (6, rows[10][1])], key=repr)
+    docs = stage_inputs(spark, kept.collect(), f"{tmp_path}/d1").withColumn("fp", F.lit("y"))
+    one = p.simhash_dedup(spark, docs, str(tmp_path)).collect()
+    # the copy of another id goes, the unlike text of the same id stays
+    assert sorted(((r["doc_id"], r["text"]) for r in one), key=repr) == sorted([(1, a), (1, b), (None, c), (5, rows[9][1]), (6, rows[10][1])], key=repr)
+    docs = stage_inputs(spark, one, f"{tmp_path}/d2").withColumn("leaked", F.lit("z"))
+    clean = p.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] for r in clean), key=repr) == sorted([1, 1, None, 6], key=repr)
+    docs = stage_inputs(spark, clean, f"{tmp_path}/d3").withColumn("position", F.lit(1))
+    mixed = p.source_mix(spark, docs, str(tmp_path))
+    assert mixed.columns == p.COLUMNS and mixed.count() > 0
+    tokens = p.token_output(spark, mixed, str(tmp_path)).collect()
+    assert len(tokens) == mixed.count() and min(r["start"] for r in tokens) == 0
+
+
+def test_pipeline_stages_on_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as p
+
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = stage_inputs(spark, [], f"{tmp_path}/d")
+    for name, stage in p.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0, name
+
+
 def test_pipeline_stages(spark, data_dir):
     import corpus_pipeline as p
 
