@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftworks.functions import dates as D
 from siftworks.functions import text as T
 from siftworks.functions import vocabulary as V
-from siftworks.functions.places import NEUTRAL_WORDS, ZONES
+from siftworks.functions.places import LEVELS, NEUTRAL_WORDS, ZONES
 from siftworks.operators import crawl, dedup, publication, report, retention, scoring
 from siftworks.plans import samples
 from siftworks.plans.collect import collect, normalise, valid
@@ -767,3 +767,75 @@ def normalise_posts(spark, sf_dir):
     """F11 and the row constraint."""
     rows = valid(normalise(posts(spark, sf_dir), PARTS, T.ascii_slug))
     return rows.select("id", "company", "title", "location", "remote_type", "url", "date", F.array_join("tech", ",").alias("tech"), "stable_id")
+
+
+# --- the whole run over documents, with the shipped rules --------------------
+
+JOB_TITLES = ["Senior Python Developer", "Staff  Engineer II", "Junior dev, Kafka", "Tech Lead Go", "Head of Data", "Working student Java", "Développeur confirmé C++", "engineer"]
+FIRMS = ["Société Générale", "GitLab ", "Ñandú & Co. ", "日本 ", "", "Zürich-Bank "]
+SHIPPED = retention.Retention(title_exclude=("working student",), seniority_keep=("senior", "staff", "mid"), seniority_drop=("lead",), require_any=("remote",), relocation_regions=("asia", "europe"), tech_any=("python", "kafka", "sql", "c++", "go"))
+SHIPPED_RATE = scoring.Scoring.of(scoring.PRIORITIES, {"a": (9, ["python", "golang"]), "b": (4, ["sql", "C++"])}, 12)
+
+
+def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as postings: titles with levels, companies with accents,
+    descriptions with and without markup, awkward locations."""
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), (F.col("doc_id") % len(values)).cast("int"))
+    turn = F.col("doc_id") % 3
+    body = F.when(turn == 0, F.concat(F.lit("<p>"), T.text(F.col("text")), F.lit("</p><ul><li>SQL</li></ul>"))).when(turn == 1, F.concat(T.text(F.col("text")), F.lit(" golang"))).otherwise("")
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.lit("doc").alias("source"),
+        F.when(F.col("doc_id") % len(FIRMS) == 4, "").otherwise(F.concat(pick(FIRMS), T.text(F.col("source")))).alias("company"),
+        pick(JOB_TITLES).alias("title"),
+        pick([p for _, p, _ in samples.LOCATIONS]).alias("location"),
+        pick([m for _, _, m in samples.LOCATIONS]).alias("remote_type"),
+        F.concat(F.lit("https://jobs.example.com/"), F.col("doc_id").cast("string")).alias("url"),
+        D.iso(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id") * 3600)).alias("date"),
+        body.alias("description"),
+        F.col("doc_id").alias("ord"),
+    )
+
+
+def sql_list(values) -> str:
+    return "[" + ", ".join(map(sql_text, values)) + "]"
+
+
+def sql_level(level: str) -> str:
+    return sql_any([sql_word("title", t) for t in retention.level_terms(level, LEVELS)])
+
+
+SQL_ALL_LEVELS = "array_to_string(list_sort(list_filter([{}], lambda x: x IS NOT NULL)), ', ')".format(", ".join(f"CASE WHEN {sql_level(level)} THEN '{level}' END" for level in LEVELS))
+SQL_REMOTE = sql_any([f"contains(lower({SQL_BOTH}), 'remote')", *[sql_word(SQL_BOTH, t) for z in ("asia", "europe") for t in (z, *ZONES[z])]])
+SHIPPED_RULES = (
+    "contains(lower(title), 'working student')@@'titre-exclu'@@'working student'",
+    f"{sql_level('lead')}@@'seniorite'@@'lead'",
+    f"NOT {sql_any([sql_level(x) for x in SHIPPED.seniority_keep])} AND {SQL_ALL_LEVELS} <> ''@@'seniorite'@@{SQL_ALL_LEVELS}",
+    f"NOT {SQL_REMOTE}@@'localisation'@@CASE WHEN location <> '' THEN location ELSE remote_type END",
+    "NOT list_has_any(string_split(tags, ','), ['Python', 'Kafka', 'SQL', 'C++', 'Go'])@@'tech'@@'C++, Go, Kafka, Python, SQL'",
+)
+SQL_SHIPPED_POINTS = "least(" + " + ".join(f"CASE WHEN list_contains(string_split(tags, ','), '{k}') THEN {v} ELSE 0 END" for k, v in SHIPPED_RATE.points.items()) + ", 12)"
+DOCUMENT_POSTS_SQL = f"""
+dp AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % {len(FIRMS)} = 4 THEN '' ELSE {sql_list(FIRMS)}[1 + doc_id % {len(FIRMS)}] || coalesce(source, '') END AS company,
+  replace({sql_list(JOB_TITLES)}[1 + doc_id % {len(JOB_TITLES)}], '  ', ' ') AS title, {sql_list(p for _, p, _ in samples.LOCATIONS)}[1 + doc_id % {len(samples.LOCATIONS)}] AS location,
+  {sql_list(m for _, _, m in samples.LOCATIONS)}[1 + doc_id % {len(samples.LOCATIONS)}] AS given, strftime(make_timestamp(CAST((1700000000 + doc_id * 3600) * 1000000 AS BIGINT)), '%Y-%m-%dT%H:%M:%S+00:00') AS date,
+  CASE doc_id % 3 WHEN 0 THEN coalesce(text, '') || ' SQL' WHEN 1 THEN coalesce(text, '') || ' golang' ELSE '' END AS body FROM documents),
+dm AS (SELECT *, 'doc:' || coalesce(nullif({SQL_SLUG_OF.format('company')}, ''), '_') || ':' || id AS stable_id,
+  CASE WHEN given IN ('remote', 'hybrid', 'onsite') THEN given ELSE {SQL_MODE.replace('place', 'location')} END AS remote_type FROM dp),
+dt AS (SELECT *, {sql_tags("(title || chr(10) || body)", V.TECHNOLOGIES)} AS tags FROM dm)"""
+
+
+@query(f"WITH {DOCUMENT_POSTS_SQL} SELECT doc_id AS ord, stable_id, tags, {sql_verdict(*SHIPPED_RULES)} FROM dt")
+def judge_documents(spark, sf_dir):
+    """F4, F5, F11 to F16, P1 to P8 with the shipped vocabulary, levels and zones."""
+    rows = retention.judge(normalise(document_posts(spark, sf_dir)), SHIPPED)
+    return rows.select("ord", "stable_id", F.array_join("tech", ",").alias("tags"), "verdict.kept", "verdict.reason", "verdict.detail")
+
+
+@query(f"WITH {DOCUMENT_POSTS_SQL}, j AS (SELECT *, {sql_verdict(*SHIPPED_RULES)} FROM dt WHERE doc_id % 5 <> 0), g AS ({sql_geo('(SELECT * FROM j WHERE kept)')}) SELECT stable_id, title, location, remote_type, date, category, CAST(geo + {SQL_SHIPPED_POINTS} AS INTEGER) AS score, row_number() OVER (ORDER BY geo + {SQL_SHIPPED_POINTS} DESC, date DESC, doc_id) AS position FROM g")
+def collect_documents(spark, sf_dir):
+    """The main query with slugs and markup that need Python, and its order."""
+    raw = document_posts(spark, sf_dir)
+    seen = raw.where("ord % 5 = 0").select(T.stable_id(F.col("source"), F.col("company"), F.col("id")).alias("stable_id"))
+    rows = collect(raw, seen, SHIPPED, SHIPPED_RATE, "ord")["scored"]
+    return scoring.positions(rows, "ord").select("stable_id", "title", "location", "remote_type", "date", "category", "score", "position")

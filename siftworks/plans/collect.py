@@ -32,14 +32,14 @@ def normalise(raw: DataFrame, vocabulary: V.Vocabulary = V.TECHNOLOGIES, slugger
 
 
 def collect(raw: DataFrame, seen: DataFrame, keep: retention.Retention, rate: scoring.Scoring, *order: str, slugger=T.slug) -> dict[str, DataFrame]:
-    """judged, split and ranked frames of one run: retention, then dedup of
+    """judged, split, scored and ranked frames of one run: retention, then dedup of
     what stayed, then scores of what is new.  Two shuffles: one by key, one for
     the final order."""
     rows = normalise(raw, keep.vocabulary, slugger)
     judged = retention.judge(rows, keep)
     split = dedup.split_status(judged.where("verdict.kept").drop("verdict"), seen, *order)
     scored = scoring.score(split.where(F.col("status") == dedup.NEW), rate)
-    return {"judged": judged, "split": split, "ranked": scoring.ranked(scored, *order)}
+    return {"judged": judged, "split": split, "scored": scored, "ranked": scoring.ranked(scored, *order)}
 
 
 def valid(posting: DataFrame) -> DataFrame:
