@@ -108,3 +108,59 @@ def recover(board: Board, journal: Journal, ident: str, pending_since: datetime)
     card = Card(*min(made)) if made else None
     journal.put(ident, card)
     return card
+
+
+@dataclass(frozen=True)
+class Access:
+    """What a token opens; ``scopes`` is None where the service does not tell."""
+
+    repository: str
+    issues: bool
+    scopes: tuple[str, ...] | None = None
+
+
+@dataclass(frozen=True)
+class Project:
+    """A board with the options of its status field."""
+
+    title: str
+    url: str
+    options: tuple[str, ...] = ()
+
+
+class Inspected(Protocol):
+    """What a service must tell before a first run; reads only.  Both raise
+    where something is refused or missing."""
+
+    def access(self) -> Access: ...
+
+    def project(self) -> Project: ...
+
+
+def check(board: Inspected, field_: str, initial: str) -> tuple[bool, list[str]]:
+    """Is the board ready to be published on?  Token, repository, issues, the
+    project and the status that new cards get, in this order, with a line each
+    up to the first that fails."""
+    lines: list[str] = []
+    steps: list[Callable[[], tuple[bool, str]]] = [lambda: _access_line(board.access()), lambda: _project_line(board.project(), field_, initial)]
+    for step in steps:
+        try:
+            fine, line = step()
+        except Exception as e:  # whatever the service refuses is the answer
+            fine, line = False, f"{type(e).__name__}: {e}"
+        lines.append(("ok   " if fine else "KO   ") + line)
+        if not fine:
+            return False, lines
+    return True, lines
+
+
+def _access_line(access: Access) -> tuple[bool, str]:
+    if not access.issues:
+        return False, f"no issues in {access.repository}"
+    return True, f"token accepted for {access.repository}, scopes: {'not told' if access.scopes is None else ', '.join(access.scopes)}"
+
+
+def _project_line(project: Project, field_: str, initial: str) -> tuple[bool, str]:
+    options = ", ".join(project.options) or "none"
+    fine = initial in project.options
+    return fine, f"{project.title} ({project.url}), {field_}: {options}" + ("" if fine else f", without {initial}")
