@@ -162,5 +162,5 @@ def _access_line(access: Access) -> tuple[bool, str]:
 
 def _project_line(project: Project, field_: str, initial: str) -> tuple[bool, str]:
     options = ", ".join(project.options) or "none"
-    fine = initial in project.options
+    fine = initial.strip().casefold() in {o.strip().casefold() for o in project.options}
     return fine, f"{project.title} ({project.url}), {field_}: {options}" + ("" if fine else f", without {initial}")
