@@ -22,6 +22,7 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructField, Struc
 
 from siftworks.functions import dates as D
 from siftworks.functions import text as T
+from siftworks.functions.text import ENTITY, XML_ENTITIES  # values, so that workers need no package
 
 PIVOT = ("id", "source", "company", "title", "location", "remote_type", "url", "date", "description")
 
@@ -238,13 +239,11 @@ def rss_items(s: pd.Series) -> pd.Series:
     from html.entities import html5
     from xml.etree import ElementTree
 
-    keep = {"amp", "lt", "gt", "quot", "apos"}
-    name = re.compile(r"&([A-Za-z][A-Za-z0-9]*);")
     own = {"title": "title", "link": "link", "guid": "guid", "description": "description", "encoded": "content", "pubDate": "pubDate"}
 
     def one(xml):
         try:
-            root = ElementTree.fromstring(name.sub(lambda m: m[0] if m[1] in keep else html5.get(m[1] + ";", m[0]), xml or ""))
+            root = ElementTree.fromstring(re.sub(ENTITY, lambda m: m[0] if m[1] in XML_ENTITIES else html5.get(f"{m[1]};", m[0]), xml or ""))
         except ElementTree.ParseError:
             return None
         top = root.find("channel")
