@@ -204,8 +204,10 @@ def representatives(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     rest = sorted((c for c in columns if c != id_col), key=lambda c: c != text_col)
     rows = materialise(annotate_fingerprints(df, text_col=text_col, fp_col="__fp"), "marked-texts")
     named = groups(rows.select(F.col(key).cast("long").alias("doc_id"), F.col("__fp").alias("fp")))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("first")
-    chosen = named.groupBy("component").agg(first).select(F.col("first.doc_id").alias("id"), F.col("first.fp").alias("fp"))
-    one = rows.groupBy(F.col(key).alias("__id"), "__fp").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__row"))
-    kept = one.join(chosen, (F.col("__fp") == F.col("fp")) & F.col("__id").cast("long").eqNullSafe(F.col("id")), "left_semi")
-    return kept.select(*[F.col("__id").alias(c) if c == id_col else F.col("__row")[c].alias(c) for c in columns])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("key"), "fp")).alias("first")
+    chosen = named.groupBy("component").agg(first).select(F.col("first.none").alias("__none"), F.col("first.key").alias("__key"), F.col("first.fp").alias("__fp"))
+    # plain keys on both sides, so the join finds the texts where the grouping put them
+    keys = [F.col(key).isNull().alias("__none"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("__key"), "__fp"]
+    one = rows.groupBy(*keys).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest], key)).alias("__row"))
+    kept = one.join(chosen, ["__none", "__key", "__fp"], "left_semi")
+    return kept.select(*[F.col("__row")[c].alias(c) for c in columns])
