@@ -61,7 +61,7 @@ def words_of(text: str | None) -> list[str]:
     return re.findall(r"\w+", text.lower()) if text else []
 
 
-def common_subsequence(a: list[str], b: list[str]) -> int:
+def common_subsequence(a: list, b: list) -> int:
     """Length of the longest common subsequence, bit-parallel over ``a``."""
     at: dict[str, int] = {}
     for i, w in enumerate(a):
