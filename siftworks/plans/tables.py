@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks.functions.dates import iso
+from siftworks.session import spread
 
 COLOURS = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
 THINGS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
@@ -19,14 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table whose files have fewer splits than there are cores is dealt over
-    all of them, as judging a row costs more than moving it; a table of more
-    splits stays as it is, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as postings; (id) repeats, so ``ord`` columns tell rows apart."""
     t = lambda n: table(spark, sf_dir, n)

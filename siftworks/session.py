@@ -9,7 +9,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -46,3 +46,11 @@ def session(name: str = "siftworks", master: str | None = None, **conf: str) ->
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     return builder.config(map=settings).getOrCreate()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table whose files have fewer splits than there are cores is dealt over
+    all of them, as the work on a row costs more than moving it; a table of
+    more splits stays as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
