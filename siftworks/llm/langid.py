@@ -30,7 +30,7 @@ def load_pieces(model_path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-    return sorted({p for p in pieces if p != MARK and p.removeprefix(MARK).isalpha() and p.lower() == p}, key=pieces.index)
+    return list(dict.fromkeys(p for p in pieces if p != MARK and p.removeprefix(MARK).isalpha() and p.lower() == p))
 
 
 class Segmenter:
@@ -43,30 +43,39 @@ class Segmenter:
     def __init__(self, pieces: list[str], table):
         import numpy as np
 
-        self.number = {p: i for i, p in enumerate(pieces)}
-        self.longest = max((len(p) for p in pieces), default=1)
-        self.lengths = sorted({len(p) for p in pieces})
+        self.pieces = pieces
+        self.sizes = np.array([*map(len, pieces), 1])
         #: One more row for unknown characters.
         self.table = np.vstack([table, np.full((1, table.shape[1]), UNKNOWN_CHAR)])
         self.unknown = len(pieces)
+        self.automaton = None  # built where it is used: it does not travel
 
     def matches(self, words: list[str]):
         """(end, length, rows, pieces) lists of all matches in equally long
-        words; the mark counts as their first character."""
+        words; the mark counts as their first character.  One automaton finds
+        all pieces in the words strung together."""
+        import ahocorasick
         import numpy as np
 
-        n, get, out = len(words[0]), self.number.get, []
-        for end in range(1, n + 1):
-            for size in self.lengths:
-                if size > end:
-                    break
-                ids = np.fromiter((get(w[end - size : end], -1) for w in words), np.int64, len(words))
-                if size == 1:
-                    ids[ids < 0] = self.unknown
-                rows = np.flatnonzero(ids >= 0)
-                if len(rows):
-                    out.append((end, size, rows, ids[rows]))
-        return out
+        if self.automaton is None:
+            self.automaton = ahocorasick.Automaton()
+            for i, piece in enumerate(self.pieces):
+                self.automaton.add_word(piece, i)
+            self.automaton.make_automaton()
+        n, count = len(words[0]), len(words)
+        found = list(self.automaton.iter("\n".join(words))) if self.pieces else []
+        at, ids = np.array(found, np.int64).reshape(-1, 2).T
+        rows, ends = at // (n + 1), at % (n + 1) + 1
+        covered = np.zeros((count, n), bool)
+        single = self.sizes[ids] == 1
+        covered[rows[single], ends[single] - 1] = True
+        row, place = np.nonzero(~covered)
+        rows, ends, ids = np.concatenate([rows, row]), np.concatenate([ends, place + 1]), np.concatenate([ids, np.full(len(row), self.unknown)])
+        sizes = self.sizes[ids]
+        order = np.lexsort((rows, sizes, ends))
+        rows, ends, ids, sizes = rows[order], ends[order], ids[order], sizes[order]
+        cuts = np.flatnonzero(np.diff(ends * (n + 1) + sizes, prepend=-1))
+        return [(int(ends[i]), int(sizes[i]), rows[i:j], ids[i:j]) for i, j in zip(cuts, [*cuts[1:], len(rows)])]
 
     def forward(self, words: list[str], matches):
         import numpy as np

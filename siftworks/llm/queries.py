@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siftworks.llm import chat, decontam, langid, mixing, quality, secret_scan, simhash, token_store, viterbi, warc
 from siftworks.llm.common import materialise, tables
+from siftworks.session import spread
 
 
 def tokenizer_file(name: str) -> str:
@@ -23,7 +24,7 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(tables(spark, sf_dir, "documents").select("doc_id", "text"))
     fitted = quality.fit_bands(docs, tables(spark, sf_dir, "labels").where("quality = 1"))
     return quality.annotate_quality(docs, fitted=fitted).drop("text")
 
@@ -42,7 +43,7 @@ def op5_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The public model has merge ranks and no probabilities: counts are those
     of a unigram model over its pieces with scores by a Zipf law of the rank,
     and of no published tokenizer."""
-    return viterbi.count_pieces(tables(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return viterbi.count_pieces(spread(tables(spark, sf_dir, "documents").select("doc_id", "text")), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +68,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread(tables(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     model = langid.fit(docs.where(fold != 0), tokenizer_file("piece_bpe_32k.model"))
     found = langid.predict(docs, model)
@@ -75,7 +76,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(tables(spark, sf_dir, "documents").select("doc_id", "text"))
     return decontam.annotate_leaks(docs, tables(spark, sf_dir, "benchmark")).drop("text")
 
 
@@ -93,7 +94,7 @@ def op9_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(tables(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+    return simhash.near_duplicates(spread(tables(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "fingerprint", "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
