@@ -227,7 +227,8 @@ def read_records(index: DataFrame, *, with_payload: bool = False, gap: int = 64
                     for at, size, inside in coalesced(here, gap, most):
                         block, out = f.read_at(size, at), []
                         for k in inside:
-                            h, body = parse_record(zlib.decompress(block[here[k][0] - at :][: here[k][1]], 31))
+                            begin = here[k][0] - at
+                            h, body = parse_record(zlib.decompress(block[begin : begin + here[k][1]], 31))
                             response = h["warc-type"] == "response"
                             digest = base64.b32encode(hashlib.sha1(body).digest()).decode() if response else h["warc-payload-digest"].removeprefix("sha1:")
                             out.append(
