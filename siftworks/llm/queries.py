@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm import chat, decontam, langid, mixing, quality, secret_scan, simhash, token_store, viterbi, warc
+from siftworks.llm import chat, collocations, decontam, langid, mixing, quality, secret_scan, simhash, token_store, viterbi, warc
 from siftworks.llm.common import materialise, tables
 from siftworks.session import spread
 
@@ -97,8 +97,12 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spread(tables(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "fingerprint", "component_id")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(tables(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_token_store, op2_quality_bands, op3_curriculum_mix, op4_warc_index, op5_viterbi_counts, op6_chat_format, op7_language_id, op8_latent_decontamination, op9_secret_ledger, op10_simhash_ball]
+    made = [op1_token_store, op2_quality_bands, op3_curriculum_mix, op4_warc_index, op5_viterbi_counts, op6_chat_format, op7_language_id, op8_latent_decontamination, op9_secret_ledger, op10_simhash_ball, op13_collocations]
     return {f.__name__: f for f in made}
 
 
@@ -155,5 +159,32 @@ FROM d LEFT JOIN f ON d.doc_id = f.doc_id
 """
 
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), t AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k
+), f AS (SELECT lang, k AS size, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30
+), c AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS ws, unnest(range(1, size)) AS k FROM f WHERE size > 1
+), s AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.k + 1:], ' ')
+), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), i AS (
+  SELECT lang, f AS above, string_split(phrase, ' ') AS ws, m, unnest(range(1, size - m + 2)) AS pos FROM (SELECT *, unnest(range(2, size)) AS m FROM f WHERE size > 2)
+), h AS (SELECT lang, array_to_string(ws[pos:pos + m - 1], ' ') AS phrase, max(above) AS above FROM i GROUP BY ALL
+), k AS (
+  SELECT b.lang, b.phrase, b.a, b.l, b.r, b.score FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase
+  WHERE h.above IS NULL OR CAST(100 AS HUGEINT) * h.above < CAST(80 AS HUGEINT) * b.a
+), o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM k)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN t ON t.lang = o.lang WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc_index": OP4_SQL, "op6_chat_format": OP6_SQL, "op9_secret_ledger": op9_sql()}
+    return {"op4_warc_index": OP4_SQL, "op6_chat_format": OP6_SQL, "op9_secret_ledger": op9_sql(), "op13_collocations": OP13_SQL}
