@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm import chat, collocations, decontam, langid, licenses, mixing, quality, secret_scan, simhash, token_store, viterbi, warc
+from siftworks.llm import chat, collocations, decontam, langid, leaderboard, licenses, mixing, quality, secret_scan, simhash, token_store, viterbi, warc
 from siftworks.llm.common import materialise, tables
 from siftworks.session import spread
 
@@ -97,6 +97,10 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spread(tables(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_board_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaderboard.change_feed(*(tables(spark, sf_dir, name) for name in ("sale_lines", "vendors", "items")))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(tables(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -107,7 +111,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_token_store, op2_quality_bands, op3_curriculum_mix, op4_warc_index, op5_viterbi_counts, op6_chat_format, op7_language_id, op8_latent_decontamination, op9_secret_ledger, op10_simhash_ball, op12_license_scan, op13_collocations]
+    made = [op1_token_store, op2_quality_bands, op3_curriculum_mix, op4_warc_index, op5_viterbi_counts, op6_chat_format, op7_language_id, op8_latent_decontamination, op9_secret_ledger, op10_simhash_ball, op11_board_changes, op12_license_scan, op13_collocations]
     return {f.__name__: f for f in made}
 
 
