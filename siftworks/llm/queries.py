@@ -168,6 +168,34 @@ FROM d LEFT JOIN f ON d.doc_id = f.doc_id
 """
 
 
+OP11_SQL = """
+WITH t AS (
+  SELECT *, list_transform(string_split(coalesce(CAST(sale_id AS VARCHAR), '') || ',' || coalesce(CAST(item_id AS VARCHAR), '') || ',' || coalesce(CAST(vendor_id AS VARCHAR), '') || ',' || coalesce(CAST(line_no AS VARCHAR), ''), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS codes FROM sale_lines
+), h AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(codes, lambda c: [c, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) AS h FROM t
+), s AS (SELECT *, coalesce(CAST(CAST(shipped_at AS DATE) - DATE '1970-01-01' AS BIGINT), 19723 + h % 150) AS s FROM h
+), a AS (SELECT *, s + h % 7 + CASE WHEN h % 5 = 0 THEN 20 ELSE 0 END AS day FROM s
+), b AS (SELECT *, greatest(1, least(10, 1 + CAST(floor((day - 19723) * 10 / 180) AS BIGINT))) AS batch FROM a
+), m AS (SELECT batch, max(max(s)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM b GROUP BY batch
+), v AS (SELECT vendor_id, min(nation_id) AS nation FROM vendors GROUP BY vendor_id
+), i AS (SELECT item_id, min(price) AS price FROM items GROUP BY item_id
+), k AS (
+  SELECT nation, b.item_id AS item, day, CAST(CASE WHEN flag = 'swapped' THEN -1 ELSE 1 END * coalesce(floor(100 * amount + 0.5), quantity * floor(100 * price + 0.5), 0) AS BIGINT) AS cents
+  FROM b JOIN m USING (batch) JOIN v USING (vendor_id) JOIN i USING (item_id) WHERE nation IS NOT NULL AND (latest IS NULL OR s + 3 >= latest)
+), d AS (SELECT DISTINCT nation, day FROM k
+), n AS (SELECT nation, day, lead(day) OVER (PARTITION BY nation ORDER BY day) AS following FROM d
+), r AS (
+  SELECT nation, item, day, CAST(sum(sum(cents)) OVER (PARTITION BY nation, item ORDER BY day) AS BIGINT) AS revenue, lead(day) OVER (PARTITION BY nation, item ORDER BY day) AS until FROM k GROUP BY nation, item, day
+), e AS (SELECT r.nation, d.day, r.item, r.revenue FROM r JOIN d ON d.nation = r.nation AND d.day >= r.day AND (r.until IS NULL OR d.day < r.until)
+), o AS (SELECT *, row_number() OVER (PARTITION BY nation, day ORDER BY revenue DESC, item) AS rank FROM e WHERE revenue > 0 QUALIFY rank <= 10
+), p AS (SELECT o.nation, n.following AS day, o.item, o.rank FROM o JOIN n USING (nation, day) WHERE n.following IS NOT NULL
+), c AS (SELECT nation, day, item, p.rank AS was, o.rank AS now FROM p FULL JOIN o USING (nation, day, item) WHERE p.rank IS DISTINCT FROM o.rank)
+SELECT CAST(c.nation AS INTEGER) AS nation_id, c.day AS arrival_day, c.item AS item_id, CAST(greatest(1, least(10, 1 + floor((c.day - 19723) * 10 / 180))) AS INTEGER) AS batch,
+  CASE WHEN was IS NULL THEN 'enter' WHEN now IS NULL THEN 'exit' ELSE 'move' END AS change, CAST(was AS INTEGER) AS old_rank, CAST(now AS INTEGER) AS new_rank, e.revenue
+FROM c JOIN e ON e.nation = c.nation AND e.day = c.day AND e.item = c.item
+"""
+
 OP13_SQL = r"""
 WITH d AS (
   SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
@@ -196,4 +224,4 @@ SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN t ON t.lang = o.lang
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc_index": OP4_SQL, "op6_chat_format": OP6_SQL, "op9_secret_ledger": op9_sql(), "op13_collocations": OP13_SQL}
+    return {"op4_warc_index": OP4_SQL, "op6_chat_format": OP6_SQL, "op9_secret_ledger": op9_sql(), "op11_board_changes": OP11_SQL, "op13_collocations": OP13_SQL}
