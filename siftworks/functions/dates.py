@@ -7,14 +7,30 @@ from pyspark.sql import functions as F
 
 from siftworks.functions.text import strip, text
 
-FORM = "yyyy-MM-dd'T'HH:mm:ss"
 #: Numbers above this are milliseconds.
 MILLISECONDS = 1e11
+#: The end of a date text that says where its clock stands.
+OFFSET = r"(?i)[0-9](\s*(Z|UTC|GMT)|\s*[+-]\d{1,2}(:?\d{2})?)$"
+
+
+def utc_clock(ts: Column) -> Column:
+    """What a clock in UTC shows at an instant, as a timestamp without a zone,
+    whatever the session's zone; one without a zone is such a clock already."""
+    since = F.make_dt_interval(secs=F.unix_seconds(ts.cast("timestamp")))
+    return F.when(F.typeof(ts) == "timestamp", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).otherwise(ts.cast("timestamp_ntz"))
 
 
 def iso(ts: Column) -> Column:
-    """``YYYY-MM-DDTHH:MM:SS+00:00`` of a timestamp (session in UTC), empty for null."""
-    return F.coalesce(F.concat(F.date_format(ts, FORM), F.lit("+00:00")), F.lit(""))
+    """``YYYY-MM-DDTHH:MM:SS+00:00`` of a timestamp, in any session; empty for
+    null.  A timestamp without a zone counts as UTC."""
+    shown = utc_clock(ts).cast("string")
+    return F.coalesce(F.concat(F.replace(F.substring(shown, 1, 19), F.lit(" "), F.lit("T")), F.lit("+00:00")), F.lit(""))
+
+
+def moment(s: Column) -> Column:
+    """Timestamp of a text that begins with an ISO date; UTC without an offset."""
+    bare = F.when(F.length(s) == 10, F.concat(s, F.lit("T00:00:00Z"))).when(~s.rlike(OFFSET), F.concat(s, F.lit("Z")))
+    return F.try_to_timestamp(F.coalesce(bare, F.regexp_replace(s, r"([+-]\d{2})(\d{2})$", "$1:$2")))
 
 
 def from_epoch(number: Column) -> Column:
@@ -38,10 +54,10 @@ def from_text(c: Column) -> Column:
     bare = mail.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2}$")
     return (
         F.when(s.rlike(r"^-?\d{9,}$"), from_epoch(F.expr("0") + s.try_cast("double")))
-        .when(day, F.try_to_timestamp(F.regexp_replace(s, r"([+-]\d{2})(\d{2})$", "$1:$2")))
-        .when(compact, F.try_to_timestamp(s, F.lit("yyyyMMdd")))
+        .when(day, moment(s))
+        .when(compact, moment(F.regexp_replace(s, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")))
         .when(zoned, F.try_to_timestamp(mail, F.lit("d MMM yyyy HH:mm:ss Z")))
-        .when(bare, F.try_to_timestamp(mail, F.lit("d MMM yyyy HH:mm:ss")))
+        .when(bare, F.try_to_timestamp(F.concat(mail, F.lit(" +0000")), F.lit("d MMM yyyy HH:mm:ss Z")))
     )
 
 
@@ -58,9 +74,9 @@ def epoch_to_iso(c: Column) -> Column:
 def instant(c: Column) -> Column:
     """Timestamp of a date text for ordering; null (sorted last) if unreadable."""
     s = text(c)
-    return F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(s))
+    return F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), moment(s))
 
 
 def day_of(c: Column) -> Column:
-    """ISO date of a date text, empty if unreadable."""
-    return F.coalesce(F.date_format(F.when(text(c).rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text(c))), "yyyy-MM-dd"), F.lit(""))
+    """ISO date that a date text names, empty if unreadable."""
+    return F.coalesce(F.when(instant(c).isNotNull(), F.substring(text(c), 1, 10)), F.lit(""))

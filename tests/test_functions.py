@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from siftworks.functions import dates as D
 from siftworks.functions import text as T
 from siftworks.functions import vocabulary as V
 
@@ -67,3 +69,42 @@ def test_vocabulary_index():
     assert V.canonical(["K8S", " python ", "zig", ""]) == ["Kubernetes", "Python", "zig"]
     assert V.extended(["Zig", "zig", "python"])["Zig"] == ("zig",)
     assert "zig" not in V.extended(["Zig", "zig"])
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Paris", "America/St_Johns"])
+def test_dates_are_utc_in_any_session(spark, zone):
+    """Also within the hours that a clock skips or repeats in spring and autumn."""
+    cases = {
+        "2026-09-05T10:20:30Z": "2026-09-05T10:20:30+00:00",
+        "2026-09-05T12:20:30+02:00": "2026-09-05T10:20:30+00:00",
+        "2026-09-05T12:20:30+0200": "2026-09-05T10:20:30+00:00",
+        "2026-09-05T10:20:30.999999": "2026-09-05T10:20:30+00:00",
+        "2026-09-05 10:20:30": "2026-09-05T10:20:30+00:00",
+        "2026-09-05": "2026-09-05T00:00:00+00:00",
+        "20260905": "2026-09-05T00:00:00+00:00",
+        "Sat, 05 Sep 2026 10:20:30 GMT": "2026-09-05T10:20:30+00:00",
+        "5 Sep 2026 10:20:30": "2026-09-05T10:20:30+00:00",
+        "5 Sep 2026 10:20:30 -0230": "2026-09-05T12:50:30+00:00",
+        "1788603630": "2026-09-05T10:20:30+00:00",
+        "1788603630000": "2026-09-05T10:20:30+00:00",
+        "2026-03-29T02:30:00": "2026-03-29T02:30:00+00:00",
+        "2026-03-29T00:30:00Z": "2026-03-29T00:30:00+00:00",
+        "2026-10-25T00:30:00Z": "2026-10-25T00:30:00+00:00",
+        "2026-10-25T01:30:00Z": "2026-10-25T01:30:00+00:00",
+        "2026-03-08T02:15:00": "2026-03-08T02:15:00+00:00",
+        "2026": "",
+        "soon": "",
+        "2026-13-40": "",
+    }
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        rows = spark.createDataFrame([(k,) for k in cases], "raw string")
+        got = {r["raw"]: r["iso"] for r in rows.select("raw", D.to_iso_utc(F.col("raw")).alias("iso")).collect()}
+        assert got == cases
+        wall = spark.sql("SELECT TIMESTAMP_NTZ'2026-03-29 02:30:00' AS t, TIMESTAMP'2026-03-29 12:00:00Z' AS z, DATE'2026-01-02' AS d")
+        shown = wall.select(D.iso(F.col("t")).alias("t"), D.iso(F.col("z")).alias("z"), D.iso(F.col("d")).alias("d"), D.day_of(F.lit("2026-09-14T23:30:00-03:00")).alias("day")).first()
+        assert tuple(shown) == ("2026-03-29T02:30:00+00:00", "2026-03-29T12:00:00+00:00", "2026-01-02T00:00:00+00:00", "2026-09-14")
+        assert rows.select(F.unix_seconds(D.instant(F.lit("2026-03-29T02:30:00")))).first()[0] == 1774751400
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
