@@ -25,7 +25,12 @@ from siftworks.llm.common import materialise, ship_package
 #: Pieces end at these bytes; words end at a space or a tab.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLOCK = "block long, lang string, words array<string>, counts array<long>, codes binary"
-FOUND = "block long, idx int, first long, last long, c long"
+#: A block's phrases of one bucket, in packed columns; ``begin`` is the number of
+#: the first.
+FOUND = "bucket long, block long, begin long, first binary, last binary, counts binary"
+#: What a block hears of a bucket's phrases, and in one row a bucket (block null)
+#: the frequent phrases themselves.
+HEARD = "block long, idx binary, ids binary, id array<long>, first array<long>, last array<long>, f array<long>"
 #: Blocks of a task are numbered within these bits of a block's number, its
 #: words and phrases within 32 bits of a phrase's.
 BLOCK_BITS = 12
@@ -40,21 +45,22 @@ class Numbering(dict):
 
 
 def pack(numbers) -> bytes:
-    """Small whole numbers as zstd-compressed planes of their bytes."""
+    """Whole numbers as zstd-compressed planes of their bytes."""
     import numpy as np
     import pyarrow as pa
 
-    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T)
-    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+    width = numbers.dtype.itemsize
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
 def unpack(raw: bytes):
     import numpy as np
     import pyarrow as pa
 
-    n = int.from_bytes(raw[:8], "little")
-    planes = np.frombuffer(pa.decompress(raw[8:], 4 * n, "zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+    width, n = raw[0], int.from_bytes(raw[1:9], "little")
+    planes = np.frombuffer(pa.decompress(raw[9:], width * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(f"<i{width}").ravel()
 
 
 def spans(raw: bytes, most: int):
@@ -144,58 +150,131 @@ def extend(lists, postings, k: int):
     return keys // width, keys % width, counts, (which, begin)
 
 
-def extended(batches, k: int):
+def dealt(first, last, buckets: int):
+    """The order in which a block numbers its phrases: by bucket, which is a
+    hash of (first, last), then by these; and their buckets in that order."""
+    import numpy as np
+
+    mixed = (first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (last.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    mixed ^= mixed >> np.uint64(29)
+    bucket = ((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(33)).astype(np.int64) % buckets
+    order = np.lexsort((last, first, bucket))
+    return order, bucket[order]
+
+
+def extended(batches, k: int, buckets: int):
     """Rows of FOUND: phrases of ``k`` words of each block with their frequency
-    there.  ``heard`` has, by length, the block's frequent phrases and ids."""
+    there.  ``heard1`` to ``heard{k-1}`` are the block's frequent phrases of
+    fewer words, by their numbers in it, and their ids."""
     import numpy as np
     import pyarrow as pa
 
     for batch in batches:
         for i in range(batch.num_rows):
             codes = unpack(batch.column("codes")[i].as_py())
-            heard = [[batch.column(f"{name}{n}")[i].values for name in ("idx", "ids")] for n in range(1, k) if batch.column(f"idx{n}")[i].is_valid]
-            if len(heard) < k - 1:
+            heard = []
+            for n in range(1, k):
+                parts = batch.column(f"heard{n}")[i].as_py() or []
+                idx = np.concatenate([np.zeros(0, np.int64)] + [unpack(x["idx"]) for x in parts])
+                ids = np.concatenate([np.zeros(0, np.int64)] + [unpack(x["ids"]) for x in parts])
+                by = np.argsort(idx)
+                heard.append((idx[by], ids[by]))
+            if not all(len(idx) for idx, _ in heard):
                 continue
-            kept = [(np.sort(idx.to_numpy()), ids.to_numpy()[np.argsort(idx.to_numpy())]) for idx, ids in heard]
             at = np.flatnonzero(codes >= 0)
-            postings = lists = frequent_only(codes[at].astype(np.int64), at, kept[0][0])
+            (kept, word_ids) = heard[0]
+            postings = lists = frequent_only(codes[at].astype(np.int64), at, kept)
+            ids = word_ids
             for n in range(2, k + 1):
                 first, last, counts, lists = extend(lists, postings, n)
+                first, last = ids[first], word_ids[last]
+                order, bucket = dealt(first, last, buckets)
                 if n < k:
-                    lists = frequent_only(*lists, kept[n - 1][0])
-            if len(first):
-                block = np.full(len(first), batch.column("block")[i].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (block, np.arange(len(first), dtype=np.int32), kept[k - 2][1][first], kept[0][1][last], counts.astype(np.int64))], ["block", "idx", "first", "last", "c"])
+                    kept, ids = heard[n - 1]
+                    lists = frequent_only(*lists, order[kept])
+            first, last, counts = first[order], last[order], counts[order]
+            begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = np.append(begins[1:], len(bucket))
+            block = np.full(len(begins), batch.column("block")[i].as_py(), np.int64)
+            packed = [[pack(x[b:e]) for b, e in zip(begins, ends)] for x in (first, last, counts.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[begins], block, begins)] + [pa.array(x, pa.binary()) for x in packed], ["bucket", "block", "begin", "first", "last", "counts"])
+
+
+def merged(table, least: int):
+    """Rows of HEARD of one bucket: frequencies summed over its blocks.  A
+    frequent phrase's id is its number in the first block where it stands."""
+    import numpy as np
+    import pyarrow as pa
 
+    rows = table.select(["block", "begin", "first", "last", "counts"]).to_pylist()
+    first, last, counts = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("first", "last", "counts"))
+    sizes = [int.from_bytes(r["first"][1:9], "little") for r in rows]
+    row = np.repeat(np.arange(len(rows)), sizes)
+    idx = np.concatenate([r["begin"] + np.arange(n) for r, n in zip(rows, sizes)])
+    own = (np.array([r["block"] for r in rows], np.int64)[row] << 32) + idx
+    order = np.lexsort((own, last, first))
+    first, last = first[order], last[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
+    at = np.flatnonzero(new)
+    f = np.add.reduceat(counts[order].astype(np.int64), at)
+    lead = own[order][at]
+    often = f >= least
+    ids = np.empty(len(order), np.int64)
+    ids[order] = np.repeat(np.where(often, lead, -1), np.diff(np.append(at, len(order))))
+    told, ends = [], np.cumsum(sizes)
+    for r, end, n in zip(rows, ends, sizes):
+        mine = slice(end - n, end)
+        good = ids[mine] >= 0
+        if good.any():
+            told.append((r["block"], pack(idx[mine][good]), pack(ids[mine][good])))
+    nothing = [None] * len(told)
+    columns = [[t[j] for t in told] + [None] for j in range(3)] + [nothing + [x[often].tolist()] for x in (lead, first[at], last[at], f)]
+    kinds = [pa.int64(), pa.binary(), pa.binary()] + [pa.list_(pa.int64())] * 4
+    return pa.Table.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds)], names=["block", "idx", "ids", "id", "first", "last", "f"])
+
+
+def packed_numbers(batches):
+    """A block's frequent words as packed columns."""
+    import numpy as np
+    import pyarrow as pa
 
-def counted(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows of a block's phrases that are frequent over all blocks: with f, and
-    an id that is made of the first block and number where the phrase stands.
-    A phrase has one row a block, so no group is larger than the blocks are many."""
-    same = Window.partitionBy(*key)
-    own = F.shiftleft(F.col("block"), 32) + F.col("idx")
-    return rows.withColumn("own", own).withColumn("f", F.sum("c").over(same)).withColumn("id", F.min("own").over(same)).where(F.col("f") >= least).select("block", "idx", "id", "f", (F.col("own") == F.col("id")).alias("leads"), *key)
+    for batch in batches:
+        rows = [[pack(batch.column(c)[i].values.to_numpy().astype(np.int64)) for i in range(batch.num_rows)] for c in ("idx", "ids")]
+        yield pa.RecordBatch.from_arrays([batch.column("block")] + [pa.array(x, pa.binary()) for x in rows], ["block", "idx", "ids"])
 
 
-def frequent_phrases(df: DataFrame, *, lang_col: str = "lang", text_col: str = "text", least: int = 30, longest: int = 4, block_words: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(df: DataFrame, *, lang_col: str = "lang", text_col: str = "text", least: int = 30, longest: int = 4, block_words: int = 1 << 21, bucket_words: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases of up to ``longest`` words that
-    stand ``least`` times or more, and (lang, n), the words of a language."""
+    stand ``least`` times or more, and (lang, n), the words of a language.
+
+    A task holds a block of about ``block_words`` words, and of the phrases of
+    each length a bucket of as many as ``bucket_words`` words have.
+    """
     spark = df.sparkSession
     ship_package(spark)
     texts = df.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
     blocks = materialise(texts.mapInArrow(partial(cut_blocks, block_words=block_words), BLOCK), "phrase-blocks")
     totals = blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
 
-    words = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("idx", "x")).select("block", "lang", "idx", F.col("x.words").alias("phrase"), F.col("x.counts").alias("c"))
-    heard = materialise(counted(words, ["lang", "phrase"], least), "phrases-1")
-    named = [heard.where("leads").select("id", "lang", "phrase", "f")]
-    known = blocks.select("block", "codes")
+    words = blocks.select("lang", F.shiftleft("block", 32).alias("at"), F.posexplode(F.arrays_zip("words", "counts")).alias("idx", "x")).select("lang", (F.col("at") + F.col("idx")).alias("own"), F.col("x.words").alias("phrase"), F.col("x.counts").alias("c"))
+    same = Window.partitionBy("lang", "phrase")  # a row a block
+    words = words.withColumn("f", F.sum("c").over(same)).withColumn("id", F.min("own").over(same)).where(F.col("f") >= least)
+    heard = materialise(words.select("own", "id", "f", F.when(F.col("own") == F.col("id"), F.struct("lang", "phrase")).alias("lead")), "phrases-1")
+    named = [heard.where("lead IS NOT NULL").select("id", "lead.lang", "lead.phrase", "f")]
+    told = heard.groupBy(F.shiftright("own", 32).alias("block")).agg(F.collect_list(F.struct(F.col("own").bitwiseAND(0xFFFFFFFF).alias("idx"), "id")).alias("x"))
+    told = told.select("block", F.col("x.idx").alias("idx"), F.col("x.id").alias("ids")).mapInArrow(packed_numbers, "block long, idx binary, ids binary")
+    known = materialise(blocks.select("block", "codes").join(told.select("block", F.array(F.struct("idx", "ids")).alias("heard1")), "block"), "phrase-blocks-1")
+    n_words = blocks.agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
+    buckets = max(1, n_words // bucket_words)
     for k in range(2, longest + 1):
-        told = heard.groupBy("block").agg(F.collect_list(F.struct("idx", "id")).alias("x")).select("block", F.col("x.idx").alias(f"idx{k - 1}"), F.col("x.id").alias(f"ids{k - 1}"))
-        known = known.join(told, "block", "left" if k > 2 else "inner")
-        heard = materialise(counted(known.mapInArrow(partial(extended, k=k), FOUND), ["first", "last"], least), f"phrases-{k}")
+        found = known.mapInArrow(partial(extended, k=k, buckets=buckets), FOUND)
+        heard = materialise(found.groupBy("bucket").applyInArrow(lambda t: merged(t, least), HEARD), f"phrases-{k}")
+        told = heard.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("idx", "ids")).alias(f"heard{k}"))
+        known = known.join(told, "block")
+        phrases = heard.where("block IS NULL").select(F.explode(F.arrays_zip("id", "first", "last", "f")).alias("x")).select("x.*")
         front, word = named[-1].select(F.col("id").alias("first"), "lang", F.col("phrase").alias("front")), named[0].select(F.col("id").alias("last"), F.col("phrase").alias("word"))
-        made = heard.where("leads").join(front, "first").join(word, "last")
+        made = phrases.join(front, "first").join(word, "last")
         named.append(materialise(made.select("id", "lang", F.concat_ws(" ", "front", "word").alias("phrase"), "f"), f"named-{k}"))
     all_ = [x.select("lang", F.lit(k).alias("size"), "phrase", "f") for k, x in enumerate(named, 1)]
     out = all_[0]
