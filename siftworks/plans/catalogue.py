@@ -11,10 +11,11 @@ from siftworks.functions import dates as D
 from siftworks.functions import text as T
 from siftworks.functions import vocabulary as V
 from siftworks.functions.places import LEVELS, NEUTRAL_WORDS, ZONES
-from siftworks.operators import crawl, dedup, publication, report, retention, scoring
+from siftworks.operators import crawl, dedup, publication, report, retention, scoring, tagging
 from siftworks.plans import samples
 from siftworks.plans.collect import collect, normalise, valid
 from siftworks.plans.tables import PARTS, POSTS_SQL, TYPES, posts, sql_any, sql_first_word, sql_text, sql_values, sql_word, table
+from siftworks.session import spread
 from siftworks.sources import feeds, jobpages, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,6 +240,57 @@ def tech_extract_terms(spark, sf_dir):
     return rows.select("doc_id", F.array_join(V.tag_posting(F.col("blob"), F.col("text")), ",").alias("tags"))
 
 
+R = "[A-Za-z0-9_+#]"
+#: Every run of term characters of the benchmark's texts, and every two and three
+#: that follow each other, is a term; names are terms as a whole.
+SOURCES_SQL = """
+cut AS (SELECT regexp_extract_all(text, '[A-Za-z0-9_+#]+|[^A-Za-z0-9_+#]+') AS ts FROM benchmark WHERE text IS NOT NULL),
+gram AS (SELECT array_to_string(ts[i:i + 2 * k - 2], '') AS term, ts[i] AS head FROM (SELECT ts, k, unnest(range(1, len(ts) - 2 * k + 3)) AS i FROM cut, (SELECT unnest([1, 2, 3]) AS k)) WHERE regexp_matches(ts[i], '^[A-Za-z0-9_+#]') AND len(ts) >= i + 2 * k - 2),
+term AS (
+  SELECT DISTINCT lower(head) AS name, term FROM gram
+  UNION SELECT 'client', email FROM clients WHERE email IS NOT NULL UNION SELECT 'client', name FROM clients WHERE name IS NOT NULL
+  UNION SELECT 'customer', c_name FROM customer UNION SELECT 'order', 'order ' || o_orderkey FROM orders UNION SELECT 'dot', '.' || p_name FROM part UNION SELECT 'sign', p_name || ' (' FROM part)"""
+SQL_FOLD = "lower(translate({}, 'ſ\u212aıİςµ', 'skiiσμ'))"
+
+
+def vocabulary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, term) rows out of the tables: as many terms as they have words."""
+    t = lambda n: table(spark, sf_dir, n)
+    cut = t("benchmark").where("text IS NOT NULL").select(F.regexp_extract_all("text", F.lit("[A-Za-z0-9_+#]+|[^A-Za-z0-9_+#]+"), F.lit(0)).alias("ts"))
+    at = cut.select("ts", F.explode(F.sequence(F.lit(1), F.size("ts"))).alias("i")).where(F.element_at("ts", F.col("i")).rlike("^[A-Za-z0-9_+#]"))
+    grams = at.select("ts", "i", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("k")).where("size(ts) >= i + 2 * k - 2")
+    of_texts = grams.select(F.lower(F.element_at("ts", F.col("i"))).alias("name"), F.array_join(F.slice("ts", F.col("i"), 2 * F.col("k") - 1), "").alias("term")).distinct()
+    named = [("client", "clients", "email"), ("client", "clients", "name"), ("customer", "customer", "c_name")]
+    out = of_texts
+    for name, source, c in named:
+        out = out.union(t(source).where(f"{c} IS NOT NULL").select(F.lit(name), c))
+    out = out.union(t("orders").select(F.lit("order"), F.concat(F.lit("order "), "o_orderkey")))
+    parts = t("part").select("p_name").distinct()
+    return out.union(parts.select(F.lit("dot"), F.concat(F.lit("."), "p_name"))).union(parts.select(F.lit("sign"), F.concat("p_name", F.lit(" (")))).distinct()
+
+
+@query(
+    f"""WITH {SOURCES_SQL}, folded AS (
+  SELECT name, regexp_matches(term, '\\p{{Lu}}') AS exact, CASE WHEN regexp_matches(term, '\\p{{Lu}}') THEN term ELSE {SQL_FOLD.format("term")} END AS key FROM term
+), d AS (
+  SELECT doc_id, FALSE AS exact, {SQL_FOLD.format("text")} AS s FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id, TRUE, text FROM documents WHERE text IS NOT NULL
+), tok AS (SELECT doc_id, exact, unnest(ts) AS t, generate_subscripts(ts, 1) AS i FROM (SELECT doc_id, exact, regexp_extract_all(s, '{R}+|[^A-Za-z0-9_+#]') AS ts FROM d)
+), w AS (SELECT doc_id, exact, t AS t0, lag(t) OVER w AS prev, {", ".join(f"lead(t, {k}) OVER w AS t{k}" for k in range(1, 10))} FROM tok WINDOW w AS (PARTITION BY doc_id, exact ORDER BY i)
+), free AS (SELECT * FROM w WHERE prev IS NULL OR NOT regexp_matches(prev, '^{R}')
+), cand AS ({" UNION ".join(f"SELECT doc_id, exact, concat({', '.join([chr(39) * 2] + [f't{k}' for k in range(n)])}) AS head, t{n} AS tail, coalesce(regexp_matches(t{n + 1}, '^[A-Za-z_+#]'), FALSE) AS bad FROM free WHERE t{n} IS NOT NULL" for n in range(9))}
+), ends AS (
+  SELECT doc_id, exact, head || tail AS piece FROM cand WHERE regexp_matches(tail, '^{R}') OR NOT bad
+  UNION SELECT doc_id, exact, head || tail[1:n] FROM (SELECT *, unnest(range(1, length(tail))) AS n FROM cand WHERE regexp_matches(tail, '^{R}+$')) WHERE regexp_matches(tail[n + 1:n + 1], '[0-9]')
+), hit AS (SELECT DISTINCT e.doc_id, f.name FROM ends e JOIN folded f ON f.exact = e.exact AND f.key = e.piece)
+SELECT x.doc_id, coalesce(t.tags, '') AS tags FROM documents x LEFT JOIN (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS tags FROM hit GROUP BY doc_id) t ON t.doc_id = x.doc_id"""
+)
+def tech_extract_table(spark, sf_dir):
+    """J7, F12, F14 with a vocabulary of any size as a table, over whole documents."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    tagged_docs = tagging.tag_by_table(docs, vocabulary_terms(spark, sf_dir), id_col="doc_id", text_col="text")
+    return tagged_docs.select("doc_id", F.array_join("tech", ",").alias("tags"))
+
+
 # --- identity and dedup ----------------------------------------------------
 
 
