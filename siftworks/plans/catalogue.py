@@ -11,7 +11,7 @@ from siftworks.functions import dates as D
 from siftworks.functions import text as T
 from siftworks.functions import vocabulary as V
 from siftworks.functions.places import LEVELS, NEUTRAL_WORDS, ZONES
-from siftworks.operators import crawl, dedup, publication, report, retention, scoring, tagging
+from siftworks.operators import crawl, dedup, publication, report, retention, robots, scoring, tagging
 from siftworks.plans import samples
 from siftworks.plans.collect import collect, normalise, valid
 from siftworks.plans.tables import PARTS, POSTS_SQL, TYPES, posts, sql_any, sql_first_word, sql_text, sql_values, sql_word, table
@@ -408,6 +408,39 @@ def robots_allow(spark, sf_dir):
     return rows.select("page_id", "path", crawl.allowed(F.concat(F.lit("https://x.example.com"), F.col("path")), ROBOTS).alias("allowed"))
 
 
+#: Of each host its least and greatest path and its number of pages.
+HOSTS_SQL = f"""
+p AS (SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host, {SQL_PATH} AS path FROM pages),
+h AS (SELECT host, min(path) AS lo, max(path) AS hi, count(*) AS n FROM p GROUP BY host),
+x AS (
+  SELECT host, n, FALSE AS allow, lo[1:4] AS pattern, '^' || regexp_escape(lo[1:4]) AS regex FROM h
+  UNION ALL SELECT host, n, TRUE, lo[1:5], '^' || regexp_escape(lo[1:5]) FROM h
+  UNION ALL SELECT host, n, FALSE, '/*' || hi[5:] || '$', '^/.*' || regexp_escape(hi[5:]) || '$' FROM h
+  UNION ALL SELECT host, n, TRUE, hi[1:5] || '*.html', '^' || regexp_escape(hi[1:5]) || '.*\\.html' FROM h),
+r AS (
+  SELECT host, allow, pattern, regex FROM x WHERE n % 3 > 0
+  UNION ALL SELECT host, FALSE, '/*?page=', '^/.*\\?page=' FROM h WHERE n % 3 = 0
+  UNION ALL SELECT host, TRUE, hi[1:6], '^' || regexp_escape(hi[1:6]) FROM h WHERE n % 3 = 0)"""
+
+
+def host_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(host, content): a robots file for every host of the pages, out of its
+    paths; a third of the hosts names no agent of ours."""
+    path = T.path_of(F.col("url"))
+    of = table(spark, sf_dir, "pages").groupBy(robots.host_of(F.col("url")).alias("host")).agg(F.min(path).alias("lo"), F.max(path).alias("hi"), F.count("*").alias("n"))
+    cut = lambda c, n: F.substring(c, 1, n)
+    ours = F.concat(F.lit("User-agent: *\nDisallow: /\n\nUser-agent: SiftBot\nDisallow: "), cut("lo", 4), F.lit("\nAllow: "), cut("lo", 5), F.lit("\nDisallow: /*"), F.substring("hi", 5, 9999), F.lit("$\nAllow: "), cut("hi", 5), F.lit("*.html\n"))
+    others = F.concat(F.lit("User-agent: other\nDisallow: /\n\nUser-agent: *\nDisallow: /*?page= # lists\nAllow: "), cut("hi", 6))
+    return of.select("host", F.when(F.col("n") % 3 == 0, others).otherwise(ours).alias("content"))
+
+
+@query(f"WITH {HOSTS_SQL}, m AS (SELECT page_id, max(CASE WHEN allow THEN 2 * length(pattern) + 1 ELSE 2 * length(pattern) END) AS best FROM p JOIN r ON p.host = r.host AND regexp_matches(p.path, r.regex) GROUP BY page_id) SELECT p.page_id, coalesce(m.best % 2 = 1, TRUE) AS allowed FROM p LEFT JOIN m ON m.page_id = p.page_id")
+def robots_many_hosts(spark, sf_dir):
+    """J5, P10, P13, G9 with a robots file for every host of the pages."""
+    rules = robots.rules_of_hosts(host_files(spark, sf_dir), "SiftBot/1.0")
+    return robots.allowed_by_host(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "allowed")
+
+
 SQL_SLUG = "lower(trim(regexp_replace(split_part(regexp_replace(url, '/+$', ''), '/', -1), '[-_+]+', ' ', 'g')))"
 
 
