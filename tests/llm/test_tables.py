@@ -275,6 +275,46 @@ def test_op6_layouts(spark):
     assert chat.render(chat.canonical_turns(rows.where("conv_id = 7"))).first()["formatted"] == ""
 
 
+IN_USE = ['{"messages":[{"role":"","text":""}]}', '{"prompt":"","response":""}', '{"prompt":"","response":"","system":""}']
+
+
+def test_op6_every_mapping_in_use_decides(spark, data_dir, monkeypatch):
+    """Three layouts meet in the query; without a mapping, or with one that takes
+    the wrong field, its conversations change and no others do."""
+    took = lambda: {r["conv_id"]: tuple(r) for r in queries.op6_chat_format(spark, data_dir.replace("sf0.001", "sf0.01")).collect()}
+    whole, changed = took(), []
+    for example in IN_USE:
+        with monkeypatch.context() as m:
+            m.delitem(chat.MAPPINGS, example)
+            without = took()
+        assert without.keys() == whole.keys()
+        changed.append({k for k in whole if without[k] != whole[k]})
+        assert all(without[k][1] == 0 for k in changed[-1])
+    assert all(changed) and set.union(*changed) == set(whole) and sum(map(len, changed)) == len(whole) and -1 in changed[1]
+    with monkeypatch.context() as m:
+        m.setitem(chat.MAPPINGS, IN_USE[1], chat.Exchange((("user", ("response",)), ("assistant", ("prompt",)))))
+        turned = took()
+    assert {k for k in whole if turned[k] != whole[k]} == changed[1] - {-1}  # the probe says the same twice
+
+
+def test_op6_records_in_columns(spark):
+    """A null column is a field that is absent; unlike layouts of one table."""
+    kind = "conv_id long, record struct<instruction:string,input:string,output:string,conversations:array<struct<from:string,value:string>>,prompt:int,completion:string>"
+    rows = [
+        (1, ("p", None, "r", None, None, None)),
+        (2, ("p", "", "r", None, None, None)),
+        (3, (None, None, None, [("human", "a"), ("gpt", "b"), ("other", "c")], None, None)),
+        (4, (None, None, None, None, 7, "x")),
+        (5, (None, None, "r", None, None, None)),
+        (6, None),
+        (7, (None, None, None, [], None, None)),
+    ]
+    got = {r["conv_id"]: r["turns"] and [(t["role"], t["text"]) for t in r["turns"]] for r in chat.canonical_turns(spark.createDataFrame(rows, kind)).collect()}
+    assert got[1] == got[2] == [("user", "p"), ("assistant", "r")]
+    assert got[3] == [("user", "a"), ("assistant", "b"), ("other", "c")] and got[4] == [("user", "7"), ("assistant", "x")]
+    assert got[5] is got[6] is got[7] is None
+
+
 def test_op6_plan_is_native(spark, data_dir):
     plan = chat.render(chat.canonical_turns(chat.records_of_rows(spark.read.parquet(f"{data_dir}/conversations.parquet"))))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
