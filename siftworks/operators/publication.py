@@ -194,6 +194,31 @@ def card_state(registry: DataFrame) -> Column:
     )
 
 
+def card_states(events: DataFrame, *, key: str = "stable_id", kind: str = "kind", order: tuple[str, ...] = ("at",)) -> DataFrame:
+    """stable_id, state, pending_since (first field of ``order``) of cards from
+    the events of their making: ``intent``, ``failed`` (it certainly was not
+    made), ``lost`` (it may have been), ``created``, ``placed``, ``removed`` (by
+    hand).
+
+    A card that was created stays so; before, an intent that no failure followed
+    is pending, and a lost answer leaves it so.  On or off the board is what
+    came last after the creation; events of a place before it, and kinds that
+    are not listed, change nothing.  All that counts of a card's events are some
+    first and last places in their order, so the fold is one aggregate that is
+    combined before its shuffle, however many events a card has.
+    """
+    at = F.struct(*order)
+    of = lambda *kinds: F.when(F.col(kind).isin(*kinds), at)
+    rows = events.groupBy(F.col(key).alias("stable_id")).agg(
+        F.min(of("created")).alias("made"), F.max(of("intent")).alias("meant"), F.max(of("failed")).alias("failed"), F.max(of("placed")).alias("placed"), F.max(of("removed")).alias("removed")
+    )
+    later = lambda a, b: F.col(a).isNotNull() & F.coalesce(F.col(a) > F.col(b), F.lit(True))
+    on, off = later("placed", "removed") & (F.col("placed") > F.col("made")), F.col("removed") > F.col("made")
+    pending = F.col("made").isNull() & later("meant", "failed")
+    state = F.when(F.col("made").isNull(), F.when(pending, "pending").otherwise("absent")).when(on, "complete").when(off, "off_board").otherwise("to_place")
+    return rows.select("stable_id", state.alias("state"), F.when(pending, F.col("meant")[order[0]]).alias("pending_since"))
+
+
 def in_recovery_window(created: Column, pending_since: Column) -> Column:
     """May a card made at ``created`` be the one that was under way?"""
     return created >= pending_since - F.make_interval(mins=F.lit(RECOVERY_MINUTES))

@@ -408,6 +408,31 @@ def robots_allow(spark, sf_dir):
     return rows.select("page_id", "path", crawl.allowed(F.concat(F.lit("https://x.example.com"), F.col("path")), ROBOTS).alias("allowed"))
 
 
+@query(f"WITH {ENTRIES_SQL}, s AS (SELECT strftime(max(ts) - INTERVAL 7 DAY, '%Y-%m-%dT%H:%M:%S+00:00') AS mark FROM events) SELECT loc, lastmod, pos FROM ent, s WHERE (lastmod <> '' AND lastmod > s.mark) OR lastmod = ''")
+def bootstrap_select(spark, sf_dir):
+    """A first run, seven days back from the last event."""
+    last = table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+    return crawl.select_new(entries(spark, sf_dir), crawl.start_cursor(None, last)).select("loc", "lastmod", "pos")
+
+
+@query("WITH e AS (SELECT lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host, page_id, url FROM pages) SELECT host, row_number() OVER (PARTITION BY host ORDER BY page_id) - 1 AS pos, url AS loc, CASE WHEN page_id % 3 = 0 THEN '' ELSE strftime(DATE '2026-01-01' + CAST(page_id % 200 AS INTEGER), '%Y-%m-%dT00:00:00+00:00') END AS lastmod FROM e")
+def sitemap_entries(spark, sf_dir):
+    """a sitemap file for every host of the pages, parsed."""
+    day = F.when(F.col("page_id") % 3 != 0, F.concat(F.lit("<lastmod>"), F.date_add(F.lit("2026-01-01").cast("date"), (F.col("page_id") % 200).cast("int")).cast("string"), F.lit("</lastmod>"))).otherwise("")
+    one = F.concat(F.lit("<url><loc> "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc>"), day, F.lit("</url>"))
+    listed = table(spark, sf_dir, "pages").groupBy(robots.host_of(F.col("url")).alias("host")).agg(F.array_sort(F.collect_list(F.struct("page_id", one.alias("x")))).alias("xs"))
+    xml = F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join("xs.x", ""), F.lit("</urlset>"))
+    parsed = jobpages.readable(jobpages.sitemap_entries(listed.select("host", xml.cast("binary").alias("content"))))
+    return parsed.select("host", F.col("pos").cast("long").alias("pos"), "loc", "lastmod")
+
+
+@query("WITH w AS (SELECT page_id, list_filter(string_split(regexp_extract(replace(url, '.', '-'), '^[a-z]+://([^/?#]*)', 1), '-'), lambda x: x <> '') AS ws FROM pages) SELECT page_id, array_to_string(list_transform(ws, lambda x: upper(x[1:1]) || lower(x[2:])), ' ') AS company FROM w")
+def company_from_url(spark, sf_dir):
+    """hosts as slugs of companies."""
+    slug = F.replace(robots.host_of(F.col("url")), F.lit("."), F.lit("-"))
+    return table(spark, sf_dir, "pages").select("page_id", T.company_of_path(F.concat(F.lit("https://jobs.example/at/"), slug, F.lit("/jobs/1"))).alias("company"))
+
+
 #: Of each host its least and greatest path and its number of pages.
 HOSTS_SQL = f"""
 p AS (SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host, {SQL_PATH} AS path FROM pages),
@@ -747,6 +772,31 @@ def card_states(spark, sf_dir):
     return reg.select("stable_id", publication.card_state(reg).alias("state"))
 
 
+@query(f"SELECT outcome, count(*) AS n FROM ({ORACLES['publication_plan']}) AS planned GROUP BY outcome")
+def publication_outcome_counts(spark, sf_dir):
+    """G10."""
+    return publication.outcome_counts(publication_plan(spark, sf_dir))
+
+
+#: Events of the making of cards: users and types are cards, their events in turn
+#: one of the kinds.
+CARD_EVENTS = ("intent", "lost", "failed", "intent", "created", "placed", "removed", "placed", "seen")
+
+
+@query(
+    f"""WITH k AS (SELECT user_id || ':' || event_type AS stable_id, ts, event_id, [{", ".join(map(sql_text, CARD_EVENTS))}][1 + CAST(value * 100 AS BIGINT) % {len(CARD_EVENTS)}] AS kind FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY stable_id ORDER BY ts, event_id) AS i, min(CASE WHEN kind = 'created' THEN event_id END) OVER (PARTITION BY stable_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) IS NOT NULL AS made FROM k),
+p AS (SELECT stable_id, made, last_value(CASE WHEN made AND kind IN ('placed', 'removed') THEN kind END IGNORE NULLS) OVER w AS board, last_value(CASE WHEN kind IN ('intent', 'failed') THEN kind END IGNORE NULLS) OVER w AS meant, last_value(CASE WHEN kind IN ('intent', 'failed') THEN ts END IGNORE NULLS) OVER w AS meant_at
+  FROM n WINDOW w AS (PARTITION BY stable_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) QUALIFY i = count(*) OVER (PARTITION BY stable_id))
+SELECT stable_id, CASE WHEN NOT made THEN CASE WHEN meant = 'intent' THEN 'pending' ELSE 'absent' END WHEN board = 'placed' THEN 'complete' WHEN board = 'removed' THEN 'off_board' ELSE 'to_place' END AS state, CASE WHEN NOT made AND meant = 'intent' THEN meant_at END AS pending_since FROM p"""
+)
+def card_states_of_events(spark, sf_dir):
+    """States folded from events, combined before the shuffle."""
+    kind = F.element_at(F.array(*map(F.lit, CARD_EVENTS)), (1 + F.round(F.col("value") * 100, 0).cast("long") % len(CARD_EVENTS)).cast("int"))
+    rows = table(spark, sf_dir, "events").select(F.concat_ws(":", "user_id", "event_type").alias("stable_id"), kind.alias("kind"), "ts", "event_id")
+    return publication.card_states(rows, order=("ts", "event_id"))
+
+
 @query("WITH i AS (SELECT o_orderkey AS number, 'n' || o_orderkey AS node_id, o_custkey FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderstatus <> 'P'), c AS (SELECT 'co:' || o_custkey AS stable_id, min(number) AS issue, arg_min(node_id, number) AS node_id FROM i GROUP BY o_custkey), b AS (SELECT o_orderkey AS number, 'item' || o_orderkey AS item FROM orders WHERE o_orderkey % 2 = 0) SELECT stable_id, issue, c.node_id, item, item IS NULL AS off_board FROM c LEFT JOIN b ON issue = number")
 def registry_rebuild(spark, sf_dir):
     """K7, K8, K9, G8, J6."""
