@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from siftworks.llm.common import ship_package, slices, text_of, work_dir
 
+#: Schemes that Hadoop and Arrow name differently.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 END = b"\r\n\r\n"
 #: WARC fields want a date; archives of a table have no capture time.
 EPOCH = "1970-01-01T00:00:00Z"
@@ -105,12 +107,13 @@ def write_archive(planned: DataFrame, path: str | None = None, *, level: int = 6
 
 def record_bytes(page: int | None, url: str, payload: str, size: int, digest: str, kind: str, refers: int | None) -> bytes:
     """One WARC/1.1 record.  Every header states the size and the digest of the
-    full payload, so a revisit, which has no body, still tells them."""
+    full payload, so a revisit, which has no body, still tells them.  The digest
+    is part of the record's id, as unlike pages may share their own."""
     body = payload.encode()
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{'none' if page is None else page}>",
+        f"WARC-Record-ID: <urn:page:{'none' if page is None else page}:{digest}>",
         f"WARC-Target-URI: {url}",
         f"WARC-Date: {EPOCH}",
         "Content-Type: text/html; charset=utf-8",
@@ -118,7 +121,7 @@ def record_bytes(page: int | None, url: str, payload: str, size: int, digest: st
         f"X-Payload-Length: {size}",
     ]
     if kind == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers}>"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers}:{digest}>"]
     lines.append(f"Content-Length: {len(body)}")
     return "\r\n".join(lines).encode() + END + body + END
 
@@ -170,7 +173,7 @@ def build_index(spark: SparkSession, path: str, to: str | None = None) -> DataFr
 
         for batch in batches:
             for name in batch.column("path").to_pylist():
-                system, local = fs.FileSystem.from_uri(name)
+                system, local = fs.FileSystem.from_uri(arrow_uri(name))
                 rows = []
                 with system.open_input_stream(local) as f:
                     for at, size, data in members(f.read):
@@ -222,7 +225,7 @@ def read_records(index: DataFrame, *, with_payload: bool = False, gap: int = 64
             rows = zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length")))
             for file, group in groupby(rows, key=lambda r: r[0]):
                 here = [(at, n) for _, at, n in group]
-                system, name = fs.FileSystem.from_uri(file)
+                system, name = fs.FileSystem.from_uri(arrow_uri(file))
                 with system.open_input_file(name) as f:
                     for at, size, inside in coalesced(here, gap, most):
                         block, out = f.read_at(size, at), []
@@ -249,9 +252,16 @@ def read_records(index: DataFrame, *, with_payload: bool = False, gap: int = 64
     return runs.repartition(n, "file", "run").sortWithinPartitions("file", "offset").mapInArrow(read, schema)
 
 
+def arrow_uri(uri: str) -> str:
+    """A file's address as Arrow names its scheme: Hadoop has older and other
+    names of one store."""
+    scheme, found, rest = uri.partition("://")
+    return f"{SCHEMES.get(scheme.lower(), scheme)}://{rest}" if found else uri
+
+
 def number(urn: str) -> int | None:
-    """The id in ``<urn:page:17>``."""
-    name = urn.removeprefix("<urn:page:").rstrip(">")
+    """The page's id in ``<urn:page:17:DIGEST>``."""
+    name = urn.removeprefix("<urn:page:").rstrip(">").partition(":")[0]
     return None if name == "none" else int(name)
 
 

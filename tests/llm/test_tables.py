@@ -197,6 +197,21 @@ def test_op4_coalesced_ranges():
     assert warc.coalesced([], 2, 8) == []
 
 
+def test_op4_unlike_pages_of_one_id(spark):
+    """Both are written, under record ids of their own, and come back whole."""
+    rows = [(1, "u1", "<p>a</p>"), (1, "u2", "<p>b</p>"), (2, "u3", "<p>a</p>"), (None, "u4", "x"), (None, "u5", "y")]
+    path = warc.write_archive(warc.plan_records(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)))
+    got = sorted((r["page_id"] is None, r["page_id"] or 0, r["record_type"], r["refers_to"]) for r in warc.read_records(warc.build_index(spark, path)).collect())
+    assert got == [(False, 1, "response", None), (False, 1, "revisit", 2), (False, 2, "response", None), (True, 0, "response", None), (True, 0, "response", None)]
+    ids = [warc.record_bytes(p, u, "", 1, d, "response", None).split(b"WARC-Record-ID: ")[1].split(b"\r\n")[0] for p, u, d in ((1, "u1", "AAAA"), (1, "u2", "BBBB"), (None, "u4", "CCCC"))]
+    assert len(set(ids)) == 3 and [warc.number(i.decode()) for i in ids] == [1, 1, None]
+
+
+def test_op4_schemes_of_stores():
+    """Hadoop's names of a store become Arrow's; other addresses stay."""
+    assert [warc.arrow_uri(u) for u in ("s3a://bucket/a b/part-0", "S3N://x/y", "file:///tmp/x", "hdfs://h:1/x", "/plain")] == ["s3://bucket/a b/part-0", "s3://x/y", "file:///tmp/x", "hdfs://h:1/x", "/plain"]
+
+
 def test_op4_empty(spark):
     path = warc.write_archive(warc.plan_records(pages(spark).where("false")))
     assert warc.read_records(warc.build_index(spark, path)).count() == 0
