@@ -108,3 +108,20 @@ def test_dates_are_utc_in_any_session(spark, zone):
         assert rows.select(F.unix_seconds(D.instant(F.lit("2026-03-29T02:30:00")))).first()[0] == 1774751400
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_accents_fold_as_unicode_decomposes(spark):
+    """Every character, alone and in a text; no Python in the plan."""
+    import unicodedata
+
+    chars = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or c > 0xF000 and c < 0x20000)]
+    texts = ["".join(chars[i : i + 500]) for i in range(0, len(chars), 500)] + ["ño Café ½ ﬁn ㎏ Łódź ß", "plain ASCII -- x", "", None, "Ａ１ ｅ́"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(4)
+    folded = rows.select("i", T.folded_ascii(F.col("t")).alias("f"), T.slug(F.col("t")).alias("s"))
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    got = {r["i"]: r for r in folded.collect()}
+    for i, t in enumerate(texts):
+        want = unicodedata.normalize("NFKD", t or "").encode("ascii", "ignore").decode()
+        assert got[i]["f"] == want, t
+    assert got[len(texts) - 5]["s"] == "no-cafe-12-fin-kg-odz"
