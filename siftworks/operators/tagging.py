@@ -58,7 +58,8 @@ def fold(c: Column) -> Column:
 
 
 def unodd(c: Column) -> Column:
-    return F.translate(c, ODD, PLAIN)
+    """Odd characters as plain ones; ASCII, which has none, is passed."""
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(F.translate(c, ODD, PLAIN))
 
 
 def term_table(terms: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ def tag_pairs(df: DataFrame, terms: DataFrame, *, id_col: str, text_col: str) ->
     cut = cut.where(F.length("piece").between(1, max((x.longest for x in shapes), default=0)))
     key = lambda mark: F.concat(F.lit(mark), F.col("piece") if mark == EXACT else fold(F.col("piece")))
     marks = [m for m, some in ((EXACT, any(x.exact for x in shapes)), (FOLDED, any(x.folded for x in shapes))) if some]
-    rows = cut.select("id", F.explode(F.array(*[F.when(F.contains("marks", F.lit(m)), key(m)) for m in marks] or [F.lit(None).cast("string")])).alias("key"))
+    rows = cut.select("id", F.explode(F.array(*[F.when(F.contains("marks", F.lit(m)), key(m)) for m in marks] or [F.lit(None).cast("string")])).alias("key")).where("key IS NOT NULL")
     return rows.join(table.select("key", "name").distinct(), "key").select("id", "name").distinct()
 
 
