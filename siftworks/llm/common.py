@@ -191,7 +191,7 @@ class LatinCutter:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        texts = pc.ascii_lower(texts.cast(pa.string()))
+        texts = pc.ascii_lower(texts).cast(pa.string())
         _, places, data = texts.buffers()
         places = np.frombuffer(places, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
         raw = np.frombuffer(data or b"", np.uint8)[places[0] : places[-1]].copy()

@@ -321,8 +321,8 @@ def scan_batches(batches, text_col: str, schema):
     nothing = (0, None, None, "", "", 0.0, [])
     for whole in batches:
         for batch in slices(whole, 16 << 20, text_col):
-            text = batch.column(text_col).cast(pa.large_string()).fill_null("")
-            lower = pc.ascii_lower(text)
+            text = batch.column(text_col).fill_null("")
+            lower = pc.ascii_lower(text)  # no cast before: of a slice's, Arrow 23 lowers the wrong bytes
             counts = pc.count_substring_regex(lower, f"[^{GAP}]+").cast(pa.int64())
             gate = pc.match_substring_regex(lower, GATE).to_pylist()
             rows = [judge(scanner, text[i].as_py().encode()) if hit else nothing for i, hit in enumerate(gate)]

@@ -186,6 +186,30 @@ def test_op12_rules_have_their_keywords():
                 assert gate.search(shown), shown
 
 
+def test_op12_slices_of_a_batch(spark):
+    """Batches of much text are cut; a slice does not begin where its buffers do."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    texts = ["MIT License " + "filler " * 1_300_000, *SNIPPETS, "é filler " * 900_000 + "CC BY", "The Apache License", *SNIPPETS]
+    schema = to_arrow_schema(StructType.fromDDL(f"doc_id long, text string, {licenses.FIELDS.split(', ', 1)[1]}"))
+    for kind in (pa.string(), pa.large_string()):
+        whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, kind)], names=["doc_id", "text"])
+        for batch in (whole, whole.slice(1, 20)):
+            target = schema.set(1, pa.field("text", kind))
+            made = list(licenses.scan_batches([batch], "text", target))
+            assert len(made) > (batch.num_rows == len(texts))
+            for r in (r for b in made for r in b.to_pylist()):
+                t = r["text"]
+                if len(t) < 1000:
+                    assert tuple(r[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")) == judged_by_hand(t), t
+                elif t.startswith("MIT"):
+                    assert (r["n_words"], r["n_base"]) == (1_300_002, 1)
+                else:
+                    assert (r["n_words"], r["n_base"], r["last_word"]) == (1_800_002, 1, 1_800_000)
+
+
 def test_op12_empty_table(spark):
     got = licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string"))
     assert got.collect() == [] and "detections" in got.columns
