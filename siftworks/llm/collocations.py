@@ -244,7 +244,7 @@ def packed_numbers(batches):
         yield pa.RecordBatch.from_arrays([batch.column("block")] + [pa.array(x, pa.binary()) for x in rows], ["block", "idx", "ids"])
 
 
-def frequent_phrases(df: DataFrame, *, lang_col: str = "lang", text_col: str = "text", least: int = 30, longest: int = 4, block_words: int = 1 << 21, bucket_words: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(df: DataFrame, *, lang_col: str = "lang", text_col: str = "text", least: int = 30, longest: int = 4, block_words: int = 1 << 20, bucket_words: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases of up to ``longest`` words that
     stand ``least`` times or more, and (lang, n), the words of a language.
 
@@ -288,7 +288,7 @@ def words_of(phrase: Column, begin: Column, n: Column) -> Column:
     return F.array_join(F.slice(F.split(phrase, " ", -1), begin, n), " ")
 
 
-def collocations(df: DataFrame, *, lang_col: str = "lang", text_col: str = "text", least: int = 30, longest: int = 4, top: int = 2000, share: tuple[int, int] = (80, 100), block_words: int = 1 << 21) -> DataFrame:
+def collocations(df: DataFrame, *, lang_col: str = "lang", text_col: str = "text", least: int = 30, longest: int = 4, top: int = 2000, share: tuple[int, int] = (80, 100), block_words: int = 1 << 20) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of two words
     or more of each language by score, then a, then phrase.
 
