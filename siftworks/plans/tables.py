@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks.functions.dates import iso
@@ -20,12 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as postings; (id) repeats, so ``ord`` columns tell rows apart."""
+def posts(spark: SparkSession, sf_dir: str, tags: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Line items as postings; (id) repeats, so ``ord`` columns tell rows apart.
+
+    ``tags`` makes ``tech`` of a title.  A title is a part's, so it is tagged
+    once a part and not once a line.
+    """
     t = lambda n: table(spark, sf_dir, n)
+    part = t("part").withColumn("title", F.concat_ws(" ", "p_name", "p_type"))
+    if tags:
+        part = spread(part).withColumn("tech", tags(F.col("title")))
     rows = (
         spread(t("lineitem"))
-        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -35,7 +44,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
         F.lit("li").alias("source"),
         F.col("s_name").alias("company"),
-        F.concat_ws(" ", "p_name", "p_type").alias("title"),
+        "title",
         F.col("r_name").alias("location"),
         mode.alias("remote_type"),
         F.concat(F.lit("https://jobs.example.com/"), F.col("p_partkey"), F.lit("/"), F.replace("p_name", F.lit(" "), F.lit("-"))).alias("url"),
@@ -44,6 +53,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("ord1"),
         F.col("l_suppkey").alias("ord2"),
         F.col("l_extendedprice").alias("ord3"),
+        *(["tech"] if tags else []),
     )
 
 
