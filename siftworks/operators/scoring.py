@@ -105,8 +105,12 @@ def score(postings: DataFrame, rules: Scoring) -> DataFrame:
 
 def ranked(scored: DataFrame, *order: str) -> DataFrame:
     """Best score first, then the latest date, undated last, then the input
-    order that the ``order`` columns state."""
-    return scored.orderBy(F.col("score").desc(), instant(F.col("date")).desc_nulls_last(), *order)
+    order that the ``order`` columns state.
+
+    A sort evaluates its expressions at every comparison, so the date is read
+    into a column before."""
+    rows = scored.withColumn("__at", instant(F.col("date")))
+    return rows.orderBy(F.col("score").desc(), F.col("__at").desc_nulls_last(), *order).drop("__at")
 
 
 def positions(scored: DataFrame, *order: str) -> DataFrame:
