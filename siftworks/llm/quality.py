@@ -7,7 +7,7 @@ must lie in a band whose limits depend on the length: short texts compress
 little, long ones more, so one threshold for all would reject clean documents
 at one end or keep repetitive ones at the other.
 
-Limits are fitted by :func:`fit_bands` on a bounded sample of documents that
+Limits are fitted by :func:`fit_bands` on all documents that
 are labelled good, half an octave of length each; where there are no labels, or
 too few of a length, the wide ones of :data:`BANDS` hold.
 """
@@ -38,8 +38,6 @@ CHUNK_BAND = (1.40, 3.6)
 #: out of band.
 BAD_CHUNKS = 0.3
 
-#: Documents labelled good that a fit reads, about.
-FIT_ROWS = 20_000
 #: A fitted limit lies this share beyond the extreme of the good documents ...
 MARGIN = 0.03
 #: ... of which a half octave must have this many.
@@ -124,23 +122,19 @@ def measure(text: str | None, compress, bands=BANDS, chunk_bytes=CHUNK_BYTES, ch
     return n_words, chars, symbols, len(lines) - len(set(lines)), repeats, failed, kept, ratio, len(chunks), bad, bad_tail
 
 
-def fit_bands(df: DataFrame, good: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: int = FIT_ROWS, margin: float = MARGIN, least: int = LEAST_ROWS, level: int = 3, chunk_bytes: int = CHUNK_BYTES) -> dict[int, tuple[float, float]]:
+def fit_bands(df: DataFrame, good: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN, least: int = LEAST_ROWS, level: int = 3, chunk_bytes: int = CHUNK_BYTES) -> dict[int, tuple[float, float]]:
     """Limits (lowest, highest ratio) by half octave of length, and of chunks.
 
-    ``good`` has the ids of documents labelled good.  About ``rows`` of them,
-    chosen by a hash of the id, are broadcast (8 bytes each) and found among
-    ``df``, so no text is shuffled; those that fail the base rules don't count.
+    ``good`` has the ids of documents labelled good, all of which count but
+    those that fail the base rules.  All texts are measured where they lie and
+    their ratios meet the ids, so no text is shuffled.
     A limit is the extreme ratio, widened by ``margin``.  Lengths of fewer than
     ``least`` documents have no limits; no label, no limits.  Null ids are left
     out; rows that repeat an id all count.
     """
-    spark = df.sparkSession
-    ship_package(spark)
+    ship_package(df.sparkSession)
     ids = good.select(F.col(f"`{id_col}`").alias("id")).where("id is not null").distinct()
-    n = ids.count()
-    share = min(1.0, rows / n) if n else 0.0
-    chosen = F.broadcast(ids.where(F.shiftrightunsigned(F.xxhash64("id"), 1) / float(2**63) <= share))
-    texts = df.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).join(chosen, "id", "left_semi").select("text")
+    texts = df.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).where("id is not null")
 
     def run(batches):
         import pyarrow as pa
@@ -149,19 +143,21 @@ def fit_bands(df: DataFrame, good: DataFrame, *, id_col: str = "doc_id", text_co
         hold("nothing")
         compress = zstandard.ZstdCompressor(level=level).compress
         for batch in batches:
-            out: list[tuple[int, float, float]] = []
-            for t in batch.column("text"):
+            out: list[tuple[int, int, float, float]] = []
+            for i, t in enumerate(batch.column("text")):
                 raw = t.as_py().encode()
                 words = raw.split()
                 if len(words) >= 50 and 100 * repeated_words(words) <= 50 * len(words):
                     whole = len(raw) / len(compress(raw))
-                    out.append((octave_half(len(raw)), whole, whole))
+                    out.append((i, octave_half(len(raw)), whole, whole))
                     chunks, tail = chunk_ratios(raw, compress, chunk_bytes)
                     if each := chunks + [tail] * (tail is not None):
-                        out.append((CHUNKS, min(each), max(each)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 3, (pa.int32(), pa.float64(), pa.float64()))], names=["at", "low", "high"])
+                        out.append((i, CHUNKS, min(each), max(each)))
+            row, *made = [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 4, (pa.int64(), pa.int32(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(row), *made], names=["id", "at", "low", "high"])
 
-    found = texts.mapInArrow(run, "at int, low double, high double").groupBy("at").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"))
+    kind = texts.schema["id"].dataType.simpleString()
+    found = texts.mapInArrow(run, f"id {kind}, at int, low double, high double").join(ids, "id", "left_semi").groupBy("at").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"))
     return {r["at"]: (r["low"] * (1 - margin), r["high"] * (1 + margin)) for r in found.collect() if r["n"] >= least}  # a row a half octave
 
 

@@ -188,6 +188,14 @@ def test_op2_fitted_bands_by_brute_force(spark, data_dir):
     assert quality.fit_bands(docs_, docs_.where("false")) == {} == quality.fit_bands(docs_.where("false"), docs_)
 
 
+def test_op2_fits_all_labelled_documents(spark):
+    """30 long documents among 60,000 labelled ones: a sample would miss too many."""
+    from pyspark.sql import functions as F
+
+    docs_ = spark.range(60_000).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.when(F.col("id") % 2000 == 0, 2000).otherwise(50)), lambda k: F.substring(F.md5((k + F.col("id")).cast("string")), 1, 5)), " ").alias("text"))
+    assert len(quality.fit_bands(docs_, docs_)) == 3
+
+
 def test_op2_rejects_base64(spark):
     rng = random.Random(6)
     texts = []
